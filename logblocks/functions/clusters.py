@@ -68,6 +68,19 @@ class Clusters:
             path += (token,)
         return path
 
+    def _by_leaf(self, codes: np.ndarray, words: list[str]):
+        """(clusters, row numbers) per leaf that the rows reach."""
+        if not self.prefix:
+            return [(self.leaves[()], np.arange(len(codes)))]
+        # one number per distinct run of leading tokens
+        place = np.zeros(len(codes), np.int64)
+        for level in range(self.prefix):
+            _, place = np.unique(place * (len(words) + 1) + codes[:, level], return_inverse=True)
+        _, first = np.unique(place, return_index=True)
+        leaves = [self._leaf([words[c] for c in codes[r, : self.prefix]]) for r in first]
+        group = np.array([id(leaf) if leaf else 0 for leaf in leaves])[place]
+        return [(leaf, np.flatnonzero(group == g)) for g, leaf in {id(x): x for x in leaves if x}.items()]
+
     def match(self, codes: np.ndarray, words: list[str], code_of: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
         """(cluster per row or -1, whether the row fits that template as it is)."""
         rows = len(codes)
@@ -76,13 +89,9 @@ class Clusters:
             return chosen, np.zeros(rows, bool)
         if self.n == 0:
             return np.zeros(rows, np.int64), np.ones(rows, bool)
-        heads, place = np.unique(codes[:, : self.prefix], axis=0, return_inverse=True)
-        place = place.reshape(-1)
         equal = np.full(rows, -1, np.int64)
         wild = np.full(rows, -1, np.int64)
-        for h, head in enumerate(heads):
-            leaf = self._leaf([words[c] for c in head])
-            at = np.flatnonzero(place == h)
+        for leaf, at in self._by_leaf(codes, words):
             own = codes[at]
             for cluster in leaf:
                 template = self.templates[cluster]

@@ -10,16 +10,27 @@ from pyspark.sql import functions as F
 WHITE_SPACE = "\\t-\\r \\u0085\\u00a0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 SEPARATOR_CONTROLS = "\\u001c-\\u001f"
 
+# The ASCII members of the two classes above, without the space.
+ASCII_WHITE_SPACE = "\t\n\v\f\r"
+ASCII_SEPARATOR_CONTROLS = "\x1c\x1d\x1e\x1f"
+
 # Fixed value: the block id pattern.
 BLOCK_ID = "(blk_[0-9\\-]+)"
 
 
 def words(text: Column, extra_delimiters: str = "", controls: bool = False) -> Column:
-    """Non-empty runs between white space; each extra delimiter counts as a space."""
-    if extra_delimiters:
-        text = F.translate(text, extra_delimiters, " " * len(extra_delimiters))
+    """Non-empty runs between white space; each extra delimiter counts as a space.
+
+    Text that is ASCII and whose only white space is the space character, as
+    nearly all log text is, splits on that one byte; the rest takes the regex,
+    which costs about four times as much.
+    """
+    spaced = F.translate(text, extra_delimiters, " " * len(extra_delimiters)) if extra_delimiters else text
+    plain = F.octet_length(text) == F.char_length(text)
+    for char in ASCII_WHITE_SPACE + (ASCII_SEPARATOR_CONTROLS if controls else ""):
+        plain = plain & ~F.contains(text, F.lit(char))
     chars = WHITE_SPACE + (SEPARATOR_CONTROLS if controls else "")
-    return F.array_remove(F.split(text, f"[{chars}]+"), "")
+    return F.array_remove(F.when(plain, F.split(spaced, " ")).otherwise(F.split(spaced, f"[{chars}]+")), "")
 
 
 def strip(text: Column, controls: bool = False) -> Column:
