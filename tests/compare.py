@@ -24,17 +24,16 @@ def connect(sf_dir: str):
     return con
 
 
-def _cell(value):
-    if isinstance(value, bool) or value is None or isinstance(value, str):
-        return value
-    if isinstance(value, float):
-        return "nan" if math.isnan(value) else float(value)
-    return float(value) if hasattr(value, "as_integer_ratio") and not isinstance(value, int) else value
-
-
 def normal(columns, rows):
+    """Rows as tuples in column-name order, sorted."""
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted(([columns[i] for i in order] and tuple(_cell(r[i]) for i in order) for r in rows), key=repr)
+    return sorted((tuple(r[i] for i in order) for r in rows), key=repr)
+
+
+def same(a, b) -> bool:
+    if isinstance(a, float) and isinstance(b, float) and math.isnan(a) and math.isnan(b):
+        return True
+    return type(a) is type(b) and a == b
 
 
 def difference(spark_df, con, sql: str) -> str:
@@ -48,7 +47,7 @@ def difference(spark_df, con, sql: str) -> str:
     if len(expected) != len(got):
         return f"{len(got)} rows against {len(expected)}"
     for a, b in zip(got, expected):
-        if a != b:
+        if not all(map(same, a, b)):
             return f"{a} against {b}"
     return "" if got else "no rows on either side"
 
