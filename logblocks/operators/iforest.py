@@ -192,15 +192,15 @@ def grow_forest(vectors: DataFrame, n_features: int, params: ForestParams, key:
     return materialize(grow(sample, n_features, params, trees.depth_limit(size)), "nodes"), size
 
 
-def weighted_quantile(scores: DataFrame, score: str, weight: str, share: float) -> float:
-    """Exact quantile with linear interpolation between neighbours, at any number of rows."""
+def weighted_quantiles(scores: DataFrame, score: str, weight: str, shares: list[float]) -> list[float]:
+    """Exact quantiles with linear interpolation between neighbours, at any number of rows."""
     by_score = materialize(scores.groupBy(F.col(score).alias("score")).agg(F.sum(weight).alias("n")), "quantile")
     total = by_score.agg(F.sum("n")).first()[0]
-    place = share * (total - 1)
     running = running_sums(by_score, "score", {"upto": "n"})
     at = lambda k: F.min(F.when(F.col("upto") > k, F.col("score")))
-    low, high = running.agg(at(int(np.floor(place))), at(int(np.ceil(place)))).first()
-    return low + (high - low) * (place - np.floor(place))
+    places = [share * (total - 1) for share in shares]
+    ends = running.agg(*[at(int(end(place))) for place in places for end in (np.floor, np.ceil)]).first()
+    return [float(ends[2 * i] + (ends[2 * i + 1] - ends[2 * i]) * (p - np.floor(p))) for i, p in enumerate(places)]
 
 
 @dataclass
@@ -331,5 +331,5 @@ def fit_forest(vectors: DataFrame, n_features: int, params: ForestParams, key: s
     model = ForestModel(nodes, n_features, size, params)
     if params.contamination is not None:
         rows = model.prefix_scores(distinct_vectors(vectors), [params.n_trees]).select(F.col("scores")[0].alias("s"), "weight")
-        model.offset = float(weighted_quantile(rows, "s", "weight", params.contamination))
+        [model.offset] = weighted_quantiles(rows, "s", "weight", [params.contamination])
     return model

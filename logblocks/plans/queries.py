@@ -21,9 +21,11 @@ from logblocks.operators import (
     sequences,
     splits,
     templates,
+    tuning,
 )
+from logblocks.operators.iforest import ForestParams
 from logblocks.operators.staging import staging_path
-from logblocks.plans import logview, stages
+from logblocks.plans import detect, logview, stages
 from logblocks.sources import lines as line_source
 from logblocks.sources import sinks, tables
 
@@ -461,3 +463,65 @@ def metrics_history_row(spark, sf_dir):
         "labeled_normals",
         "guardrails_status",
     )
+
+
+# detectors: drawn at random, so checked by properties in the tests instead of SQL
+
+
+def _features(spark, sf_dir) -> int:
+    return stages.vocabulary(spark, sf_dir).count()
+
+
+def _forest(spark, sf_dir):
+    return stages.detector(spark, sf_dir)
+
+
+@query
+def iforest_scores(spark, sf_dir):
+    """Isolation scores and native classes of every labelled block."""
+    found = _forest(spark, sf_dir).scored
+    return found.select("block_id", "label", "is_test", "anomaly_score", "if_class")
+
+
+@query
+def iforest_predictions(spark, sf_dir):
+    """Flags at the calibrated threshold."""
+    found = _forest(spark, sf_dir).predictions
+    return found.select("block_id", "prediction", "anomaly_score", "decision_threshold", "score_direction", "algorithm")
+
+
+@query
+def iforest_test_report(spark, sf_dir):
+    return _forest(spark, sf_dir).test_report
+
+
+@query
+def rforest_scores(spark, sf_dir):
+    """The supervised baseline, calibrated upward."""
+    found = detect.train(
+        stages.vectors(spark, sf_dir),
+        _features(spark, sf_dir),
+        score.RANDOM_FOREST,
+        allow_supervised=True,
+        random_forest={"n_trees": 40, "max_depth": 12},
+    )
+    return found.predictions.select("block_id", "label", "prediction", "anomaly_score", "score_direction")
+
+
+@query
+def grid_search_best(spark, sf_dir):
+    """Reduced grid over the training rows; every setting with its mean F1."""
+    train = stages.vectors(spark, sf_dir).where(~F.col("is_test"))
+    ratio = splits.contamination(train).first()[0]
+    grid = {"n_trees": [20, 40], "max_samples": [0.8, 1.0], "max_features": [0.75, 1.0]}
+    table, _ = tuning.grid_search(train, _features(spark, sf_dir), tuning.reduced_contamination_grid(ratio), grid)
+    return table
+
+
+@query
+def detected_incidents(spark, sf_dir):
+    """Log to incidents: the 20 most severe blocks of the forest, with their first lines."""
+    flagged = _forest(spark, sf_dir).predictions.where(F.col("prediction") == 1).withColumn("row_idx", F.col("first_line"))
+    top = incidents.rank_anomalies(flagged, 20).select("rank", "block_id", "severity", "anomaly_score")
+    excerpts = incidents.block_excerpts(logview.log_lines(spark, sf_dir), top, 5)
+    return top.join(excerpts, "block_id", "left").select("rank", "block_id", "severity", "anomaly_score", "line_rank", "line")

@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logblocks.operators import blocks, features, sequences, splits
+from logblocks.functions.text import first_block_id
+from logblocks.operators import calibrate, features, score, sequences, splits
 from logblocks.operators.staging import materialize
 from logblocks.operators.templates import Templates, mine_templates
-from logblocks.plans import logview
+from logblocks.plans import detect, logview
 
 _built: dict[tuple, object] = {}
 
@@ -31,7 +32,7 @@ def forget() -> None:
 
 def mine(spark: SparkSession, sf_dir: str) -> Templates:
     """Templates of the whole log, freshly mined; rows keep the block they first name."""
-    log = logview.parsed(spark, sf_dir).withColumn("block_id", logview.text.first_block_id(F.col("message")))
+    log = logview.parsed(spark, sf_dir).withColumn("block_id", first_block_id(F.col("message")))
     return mine_templates(log, keep=("line_no", "block_id", "severity"), source=f"{sf_dir}/events.parquet")
 
 
@@ -90,11 +91,15 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled blocks flagged at the calibrated threshold of the plain score."""
-    from logblocks.operators import calibrate, score
-
     def build():
         scored = scores(spark, sf_dir)
         flagged = score.apply_threshold(scored.drop("label"), calibrate.calibrate(scored))
         return materialize(flagged, "predictions")
 
     return _once(spark, sf_dir, "predictions", build)
+
+
+def detector(spark: SparkSession, sf_dir: str) -> detect.Detector:
+    """The calibrated isolation forest with its default settings."""
+    build = lambda: detect.train(vectors(spark, sf_dir), vocabulary(spark, sf_dir).count())
+    return _once(spark, sf_dir, "detector", build)
