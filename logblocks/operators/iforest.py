@@ -211,28 +211,25 @@ class ForestModel:
     params: ForestParams
     offset: float = -0.5
 
-    def _tree_groups(self) -> list[tuple[int, int]]:
-        """Runs of trees whose nodes fit one broadcast."""
-        sizes = sorted((r.tree, r["count"]) for r in self.nodes.groupBy("tree").count().collect())
-        groups, room = [], 0
-        for tree, count in sizes:
-            if groups and count <= room:
-                groups[-1] = (groups[-1][0], tree)
-                room -= count
-            else:
-                groups.append((tree, tree))
-                room = BROADCAST_NODES - count
-        return groups
-
     def path_lengths(self, vectors: DataFrame, prefixes: list[int] | None = None) -> DataFrame:
-        """Adds ``paths``: summed path lengths over the first k trees, per k in ``prefixes``."""
+        """Adds ``paths``: summed path lengths over the first k trees, per k in ``prefixes``.
+
+        The trees go to the tasks in runs whose nodes fit one broadcast.
+        """
         prefixes = prefixes or [self.params.n_trees]
-        largest = self.nodes.groupBy("tree").count().agg(F.max("count")).first()[0]
-        if largest > BROADCAST_NODES:
+        sizes = sorted(tuple(r) for r in self.nodes.groupBy("tree").count().collect())  # one row per tree
+        if max(count for _, count in sizes) > BROADCAST_NODES:
             return self._path_lengths_by_join(vectors, prefixes)
-        summed = vectors.withColumn("paths", F.array(*[F.lit(0.0)] * len(prefixes)))
-        for first, last in self._tree_groups():
-            part = self.nodes.where(F.col("tree").between(first, last)).toPandas()  # at most BROADCAST_NODES rows
+        runs, room = [], 0
+        for tree, count in sizes:
+            if count > room:
+                runs.append([tree, tree])
+                room = BROADCAST_NODES
+            runs[-1][1] = tree
+            room -= count
+        summed = vectors.withColumn("paths", F.array_repeat(F.lit(0.0), len(prefixes)))
+        for first, last in runs:
+            part = self.nodes.where(F.col("tree").between(first, last)).toArrow()  # at most BROADCAST_NODES rows
             arrays = [part[c].to_numpy() for c in ("tree", "node", "feature", "cut", "size")]
             summed = _add_paths(summed, arrays, self.n_features, prefixes)
         return summed

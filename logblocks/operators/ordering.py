@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logblocks.operators.staging import broadcast_if_small, materialize
+from logblocks.operators.staging import broadcast_if_small, fits, materialize
 
 ORDER_BUCKETS = 512
+SMALL_ROWS = 50_000
 LINE_BUCKET = 1_000_000
 
 
@@ -34,14 +35,21 @@ def number_rows(df: DataFrame, *order, name: str = "row_idx") -> DataFrame:
     )
 
 
-def running_sums(df: DataFrame, order: str, sums: dict[str, str], ascending: bool = True, buckets: int = ORDER_BUCKETS) -> DataFrame:
+def running_sums(
+    df: DataFrame, order: str, sums: dict[str, str], ascending: bool = True, buckets: int = ORDER_BUCKETS, small: int = SMALL_ROWS
+) -> DataFrame:
     """Adds inclusive running sums of ``sums`` (new name -> column) in the order of a unique number.
 
-    The order column is cut at approximate quantiles. Each bucket sums up its
-    own rows; the buckets' totals, at most ``buckets`` rows, give the offsets.
-    The cuts only balance the work: any cuts give the same sums.
+    Up to ``small`` rows, counted first, are summed in one window. Beyond, the
+    order column is cut at approximate quantiles. Each bucket sums up its own
+    rows; the buckets' totals, at most ``buckets`` rows, give the offsets. The
+    cuts only balance the work: any cuts give the same sums.
     """
-    cuts = df.agg(F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 10_000).alias("_cuts"))
+    if fits(df, small):
+        upto = Window.orderBy(F.col(order).asc() if ascending else F.col(order).desc()).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({new: F.sum(c).over(upto) for new, c in sums.items()})
+    shares = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    cuts = df.agg(F.expr(f"percentile_approx(`{order}`, array({shares}), 10000)").alias("_cuts"))
     bucket = F.size(F.filter("_cuts", lambda cut: cut < F.col(order)))
     placed = df.crossJoin(F.broadcast(cuts)).withColumn("_bucket", bucket).drop("_cuts")
     direction = (lambda c: F.col(c).asc()) if ascending else (lambda c: F.col(c).desc())

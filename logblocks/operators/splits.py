@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from logblocks.operators.staging import materialize
+
 MIN_CONTAMINATION = 1e-6
 
 
@@ -61,5 +63,5 @@ def calibration_split(train: DataFrame, key: str, label: str, fraction: float =
     counts = train.groupBy(label).agg(F.count("*").alias("n")).agg(F.count("*"), F.min("n")).first()
     if counts[0] < 2 or counts[1] < 2:
         return train, train
-    split = stratified_split(train, key, label, fraction, seed)
+    split = materialize(stratified_split(train, key, label, fraction, seed), "split")
     return split.where(~F.col("is_test")).drop("is_test"), split.where("is_test").drop("is_test")

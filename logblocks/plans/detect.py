@@ -42,7 +42,6 @@ def train(
     if "is_test" not in vectors.columns:
         vectors = materialize(splits.stratified_split(vectors, "block_id", "label", 0.3, 42), "split")
     fit_rows, held = splits.calibration_split(vectors.where(~F.col("is_test")), "block_id", "label")
-    fit_rows, held = materialize(fit_rows, "fit"), materialize(held.select("block_id"), "held")
     if algorithm == score.ISOLATION_FOREST:
         ratio = splits.contamination(fit_rows).first()[0]
         if tune:
@@ -54,7 +53,7 @@ def train(
         scored = materialize(supervised.score_random_forest(model, vectors, n_features), "scored")
     else:
         raise ValueError(f"unsupported algorithm: {algorithm}")
-    held_scores = scored.join(held, "block_id", "left_semi")
+    held_scores = scored.join(held.select("block_id"), "block_id", "left_semi")
     threshold = materialize(
         calibrate.calibrate(
             held_scores, lower_is_anomalous=algorithm == score.ISOLATION_FOREST, beta=beta, min_precision=min_precision, algorithm=algorithm
