@@ -201,23 +201,26 @@ def mine_templates(
     extra_delimiters: str = "_",
     prior: DataFrame | None = None,
     source: str = "",
+    max_changes: int = MAX_CHANGES,
 ) -> Templates:
     """Clusters messages into templates in ``line_no`` order.
 
     Events are named ``E1, E2, ...`` by the first line of their cluster. With a
-    ``prior`` catalog, its clusters and event names carry on.
+    ``prior`` catalog, its clusters and event names carry on. The change lines
+    and the catalog go to every task, so a log with more than ``max_changes``
+    of them fails before that; a higher value costs memory and nothing else.
     """
     require_columns(log, [message, "line_no", *keep], "log")
     spark = log.sparkSession
     rules = Rules(depth, max_children, similarity)
-    known = [] if prior is None else prior.orderBy("cluster_id").limit(MAX_CHANGES).collect()
+    known = [] if prior is None else _bounded(prior.orderBy("cluster_id"), max_changes)
     passed = ["line_no", *[c for c in keep if c != "line_no"]]
     lines = log.select(*passed, message_tokens(F.col(message), extra_delimiters).alias("_tokens"))
 
     planned: list[tuple[int, list[str]]] = []
     found = _thin(materialize(_change_lines(lines, Seed(rules, known, {})), "changes"), Seed(rules, known, {}))
     while True:
-        planned, states, seed = _plan(found, planned, Seed(rules, known, {}))
+        planned, states, seed = _plan(found, planned, Seed(rules, known, {}), max_changes)
         names = _event_names(states, known)
         staged = materialize(_assign(lines, passed, seed, names), "assigned")
         found = staged.where(F.col("_change").isNotNull()).select("line_no", F.col("_change").alias("tokens"))
@@ -235,11 +238,17 @@ def mine_templates(
     return Templates(assigned, catalog, metadata)
 
 
-def _plan(found: DataFrame, planned: list, fresh: Seed) -> tuple[list, dict[int, Clusters], Seed]:
+def _bounded(rows: DataFrame, most: int) -> list[Row]:
+    """All rows; raises when there are more than ``most``."""
+    found = rows.limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} lines change the templates; mask values first or raise max_changes")
+    return found
+
+
+def _plan(found: DataFrame, planned: list, fresh: Seed, most: int) -> tuple[list, dict[int, Clusters], Seed]:
     """Replays old and new change lines together, in line order."""
-    new = found.limit(MAX_CHANGES + 1).collect()
-    if len(new) + len(planned) > MAX_CHANGES:
-        raise ValueError(f"more than {MAX_CHANGES} lines change the templates; raise the similarity or mask values first")
+    new = _bounded(found, max(0, most - len(planned)))
     rows = sorted({line: tokens for line, tokens in planned + [(r.line_no, list(r.tokens)) for r in new]}.items())
     states, kept = _replay(rows, fresh)
     for n in {len(r.log_template_tokens) for r in fresh.known} - set(states):

@@ -58,7 +58,7 @@ def with_sequence_ids(sequences: DataFrame, order: str = "row_idx") -> DataFrame
 
 def read_vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """``(event, idx)`` from one JSON object of event -> index, indices checked."""
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     pairs = F.explode(F.from_json("value", "map<string, int>")).alias("event", "idx")
     return check_vocabulary_index(raw.select(pairs))
 
