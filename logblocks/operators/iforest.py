@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from logblocks.functions import trees
 from logblocks.operators.ordering import running_sums
 from logblocks.operators.staging import broadcast_if_small, materialize
+from logblocks.shipping import ship
 
 AUTO_SAMPLES = 256
 GROW_ROWS = 200_000
@@ -180,6 +181,7 @@ def _draw_splits(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.Re
 
 def grow_forest(vectors: DataFrame, n_features: int, params: ForestParams, key: str = "block_id", grow_rows: int = GROW_ROWS) -> tuple[DataFrame, int]:
     """(node table, rows per tree)."""
+    ship(vectors.sparkSession)
     whole = materialize(distinct_vectors(vectors), "distinct")
     total = whole.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
     size = params.sample_size(total)
@@ -286,6 +288,7 @@ class ForestModel:
 
 def _add_paths(rows: DataFrame, arrays: list[np.ndarray], n_features: int, prefixes: list[int]) -> DataFrame:
     """Adds the path lengths of some trees to the running sums, batch by batch."""
+    ship(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(arrays)
     schema = T.StructType([f for f in rows.schema if f.name != "paths"] + [rows.schema["paths"]])
     names = schema.names

@@ -12,6 +12,7 @@ from logblocks.functions.metrics import severity
 from logblocks.operators.blocks import all_references
 from logblocks.operators.ordering import number_rows, rank_within
 from logblocks.operators.staging import broadcast_if_small
+from logblocks.shipping import ship
 
 # Spark prunes `row_number() <= n` before the shuffle up to this n.
 GROUP_LIMIT = 1000
@@ -119,6 +120,7 @@ class StaticClient:
 
 def summarize(prompts: DataFrame, client: Callable[[str], str] | StaticClient) -> DataFrame:
     """``(summary)`` per prompt row from any callable or ``summarize`` method, stripped."""
+    ship(prompts.sparkSession)
     call = getattr(client, "summarize", client)
 
     def answer(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

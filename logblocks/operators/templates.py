@@ -3,16 +3,18 @@
 Clusters change at few lines only (a new cluster, or a new wildcard); all other
 lines fit the clusters as they are. So:
 
-1. every partition clusters its own lines from scratch and reports the lines
-   that changed something; the merged report is replayed in line order and
-   thinned to the lines that still matter;
-2. with those change lines broadcast, every partition knows the exact clusters
-   as of each of its lines and assigns its lines without any shuffle;
-3. a line that changes clusters but is not in the list is added to it and step
-   2 runs again. With no such line, by induction on the line order, the result
-   equals one pass over the whole log.
-
-No group of lines ever gathers in one task, however common one message is.
+1. the partitions that hold the first lines cluster them, each from scratch, and
+   report the lines that changed something; the merged report is replayed in
+   line order and thinned to the lines that still matter;
+2. with those change lines broadcast, every partition knows the clusters as of
+   each of its lines and assigns all its lines without any shuffle;
+3. a line anywhere that changes clusters but is not in the list is added to it,
+   and step 2 runs again on the lines with the same number of tokens: only they
+   share clusters with it. When no such line is left, by induction on the line
+   order, the result equals one pass over the whole log.
+
+Step 1 only saves rounds of step 3. No group of lines ever gathers in one task,
+however common one message is.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,9 @@ from pyspark.sql import types as T
 from logblocks.functions.clusters import Clusters, Rules
 from logblocks.functions.text import words
 from logblocks.operators.staging import broadcast_if_small, materialize, require_columns
+from logblocks.shipping import ship
 
+FIRST_LINES = 1_000_000
 REPLAY_ROWS = 50_000
 MAX_CHANGES = 2_000_000
 
@@ -202,6 +207,7 @@ def mine_templates(
     prior: DataFrame | None = None,
     source: str = "",
     max_changes: int = MAX_CHANGES,
+    first_lines: int = FIRST_LINES,
 ) -> Templates:
     """Clusters messages into templates in ``line_no`` order.
 
@@ -209,33 +215,45 @@ def mine_templates(
     ``prior`` catalog, its clusters and event names carry on. The change lines
     and the catalog go to every task, so a log with more than ``max_changes``
     of them fails before that; a higher value costs memory and nothing else.
+    ``first_lines`` sets how far step 1 reads; any value gives the same result.
     """
     require_columns(log, [message, "line_no", *keep], "log")
     spark = log.sparkSession
+    ship(spark)
     rules = Rules(depth, max_children, similarity)
     known = [] if prior is None else _bounded(prior.orderBy("cluster_id"), max_changes)
     passed = ["line_no", *[c for c in keep if c != "line_no"]]
     lines = log.select(*passed, message_tokens(F.col(message), extra_delimiters).alias("_tokens"))
 
-    planned: list[tuple[int, list[str]]] = []
-    found = _thin(materialize(_change_lines(lines, Seed(rules, known, {})), "changes"), Seed(rules, known, {}))
+    fresh = Seed(rules, known, {})
+    found = _thin(materialize(_change_lines(lines.where(F.col("line_no") < first_lines), fresh), "changes"), fresh)
+    planned, parts, todo = [], [], lines
     while True:
-        planned, states, seed = _plan(found, planned, Seed(rules, known, {}), max_changes)
-        names = _event_names(states, known)
-        staged = materialize(_assign(lines, passed, seed, names), "assigned")
+        planned, states, seed = _plan(found, planned, fresh, max_changes)
+        staged = materialize(_assign(todo, passed, seed), "assigned")
         found = staged.where(F.col("_change").isNotNull()).select("line_no", F.col("_change").alias("tokens"))
-        if found.isEmpty():
+        again = [r[0] for r in found.select(F.size("tokens")).distinct().collect()]
+        if not again:
+            parts.append(staged)
             break
+        parts.append(staged.where(~F.col("_n").isin(again)))
+        todo = lines.where(F.size("_tokens").isin(again))
         found = _thin(found, seed)
-    assigned = staged.select(*keep, "event_id", "template_at_line")
-    catalog = _catalog(spark, staged, states, names, known)
-    metadata = staged.agg(F.count("*").alias("total_lines"), F.count_distinct("event_id").alias("total_templates")).select(
+    whole = reduce(DataFrame.unionByName, parts).drop("_change")
+    names = _event_names(states, known)
+    labels = [(n, i, name) for n, of_n in names.items() for i, name in enumerate(of_n)]
+    events = spark.createDataFrame(labels, "_n int, _cluster int, event_id string")
+    assigned = whole.join(broadcast_if_small(events), ["_n", "_cluster"]).select(*keep, "event_id", "template_at_line")
+    sizes = materialize(whole.groupBy("_n", "_cluster").agg(F.count("*").alias("_lines")), "sizes").join(events, ["_n", "_cluster"])
+    metadata = sizes.agg(
+        F.coalesce(F.sum("_lines"), F.lit(0)).alias("total_lines"), F.count("*").alias("total_templates")
+    ).select(
         F.lit(datetime.now(timezone.utc).isoformat()).alias("generated_at"),
         F.lit(source).alias("source"),
         "total_lines",
         "total_templates",
     )
-    return Templates(assigned, catalog, metadata)
+    return Templates(assigned, _catalog(spark, sizes, states, names, known), metadata)
 
 
 def _bounded(rows: DataFrame, most: int) -> list[Row]:
@@ -271,40 +289,35 @@ def _event_names(states: dict[int, Clusters], known: list[Row]) -> dict[int, lis
     return names
 
 
-def _assign(lines: DataFrame, passed: list[str], seed: Seed, names: dict[int, list[str]]) -> DataFrame:
-    """Kept columns, event, template as of the line, and the tokens of an unplanned change."""
-    shared = lines.sparkSession.sparkContext.broadcast((seed, names))
+def _assign(lines: DataFrame, passed: list[str], seed: Seed) -> DataFrame:
+    """Kept columns, cluster, template as of the line, and the tokens of an unplanned change."""
+    shared = lines.sparkSession.sparkContext.broadcast((seed.rules._asdict(), [tuple(r) for r in seed.known], seed.changes))
+    known_fields = seed.known[0].__fields__ if seed.known else []
     schema = T.StructType(
         [lines.schema[c] for c in passed]
         + [
-            T.StructField("event_id", T.StringType()),
+            T.StructField("_n", T.IntegerType()),
+            T.StructField("_cluster", T.IntegerType()),
             T.StructField("template_at_line", T.StringType()),
             T.StructField("_change", T.ArrayType(T.StringType())),
         ]
     )
 
     def assign(batches):
-        start, known = shared.value
+        rules, known, changes = shared.value
+        start = Seed(Rules(**rules), [Row(*known_fields)(*r) for r in known], changes)
         for batch, counts, cluster, text, changed in _assigned(batches, start):
-            event = np.full(len(counts), None, object)
-            for n in np.unique(counts).tolist():
-                at = np.flatnonzero(counts == n)
-                # a cluster beyond the names belongs to an unplanned change, and the pass is repeated
-                labels = np.array(known.get(n, []) + [None], object)
-                event[at] = labels[np.minimum(cluster[at], len(labels) - 1)]
+            tokens = batch.column("_tokens")
+            change = pa.nulls(len(counts), tokens.type)
             if changed.any():
-                change = pc.if_else(pa.array(changed), batch.column("_tokens"), pa.scalar(None, batch.column("_tokens").type))
-            else:
-                change = pa.nulls(len(counts), batch.column("_tokens").type)
-            columns = [batch.column(c) for c in passed]
-            yield pa.RecordBatch.from_arrays(
-                columns + [pa.array(event, pa.string()), pa.array(text, pa.string()), change], schema.names
-            )
+                change = pc.if_else(pa.array(changed), tokens, pa.scalar(None, tokens.type))
+            columns = [batch.column(c) for c in passed] + [pa.array(counts, pa.int32()), pa.array(cluster, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(text, pa.string()), change], schema.names)
 
     return lines.mapInArrow(assign, schema)
 
 
-def _catalog(spark: SparkSession, staged: DataFrame, states, names, known: list[Row]) -> DataFrame:
+def _catalog(spark: SparkSession, sizes: DataFrame, states, names, known: list[Row]) -> DataFrame:
     """Final templates with the number of their lines, prior runs' lines included."""
     before = {r.event_id: r for r in known}
     rows = []
@@ -322,10 +335,9 @@ def _catalog(spark: SparkSession, staged: DataFrame, states, names, known: list[
                     old.first_line if old else state.first_lines[i],
                 )
             )
-    sizes = staged.groupBy("event_id").agg(F.count("*").alias("_lines"))
     return (
         spark.createDataFrame(rows, CATALOG)
-        .join(sizes, "event_id", "left")
+        .join(sizes.select("event_id", "_lines"), "event_id", "left")
         .withColumn("size", F.col("size") + F.coalesce("_lines", F.lit(0)))
         .drop("_lines")
     )

@@ -56,7 +56,8 @@ def parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_lines(log_lines(spark, sf_dir))
 
 
-def _block_warns(parsed_lines: DataFrame) -> DataFrame:
+def block_warns(parsed_lines: DataFrame) -> DataFrame:
+    """Lines, warnings and first line of each block."""
     return (
         parsed_lines.withColumn("block_id", text.first_block_id("message"))
         .where(F.col("block_id").isNotNull())
@@ -69,14 +70,13 @@ def _block_warns(parsed_lines: DataFrame) -> DataFrame:
     )
 
 
-def labels(parsed_lines: DataFrame) -> DataFrame:
+def labels(blocks: DataFrame) -> DataFrame:
     """``(label_row, BlockId, Label)`` in a fixed row order.
 
     A block is an anomaly when more than half of its lines are warnings. Blocks
     of every tenth user have no label; the second row of each block whose first
     line is a multiple of 500 repeats its key, and ``blk_0`` is not in the log.
     """
-    blocks = _block_warns(parsed_lines)
     user = (F.abs(F.regexp_extract("block_id", "(-?[0-9]+)$", 1).cast("bigint")) / 1000).cast("bigint")
     label = F.when(F.col("warns") * 2 > F.col("lines"), " Anomaly").otherwise("Normal")
     known = blocks.where(user % 10 != 9).select(
@@ -91,9 +91,9 @@ def labels(parsed_lines: DataFrame) -> DataFrame:
     return known.unionByName(again).unionByName(absent)
 
 
-def warn_scores(parsed_lines: DataFrame) -> DataFrame:
+def warn_scores(blocks: DataFrame) -> DataFrame:
     """``(block_id, row_idx, anomaly_score)`` with score ``1 - warns / lines``; low is bad."""
-    return _block_warns(parsed_lines).select(
+    return blocks.select(
         "block_id",
         F.col("first_line").alias("row_idx"),
         (1 - F.col("warns") / F.col("lines")).alias("anomaly_score"),

@@ -46,8 +46,12 @@ def rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assigned.where(F.col("block_id").isNotNull()).select("block_id", "line_no", "event_id", "severity")
 
 
+def warns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _once(spark, sf_dir, "warns", lambda: materialize(logview.block_warns(logview.parsed(spark, sf_dir)), "warns"))
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "labels", lambda: materialize(logview.labels(logview.parsed(spark, sf_dir)), "labels"))
+    return _once(spark, sf_dir, "labels", lambda: materialize(logview.labels(warns(spark, sf_dir)), "labels"))
 
 
 def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +87,7 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plain score of every labelled block: block_id, row_idx, anomaly_score, label."""
 
     def build():
-        scored = logview.warn_scores(logview.parsed(spark, sf_dir))
+        scored = logview.warn_scores(warns(spark, sf_dir))
         return materialize(scored.join(labelled(spark, sf_dir).select("block_id", "label"), "block_id"), "scores")
 
     return _once(spark, sf_dir, "scores", build)

@@ -66,8 +66,7 @@ def mined(result):
     return [(r.event_id, r.template_at_line) for r in result.assigned.orderBy("line_no").collect()]
 
 
-@pytest.mark.parametrize("partitions", [0, 4, 16])
-@pytest.mark.parametrize("similarity,depth,children", [(0.4, 4, 100), (0.7, 5, 3), (0.2, 6, 4)])
+@pytest.mark.parametrize("partitions,similarity,depth,children", [(0, 0.4, 4, 100), (4, 0.4, 4, 100), (16, 0.4, 4, 100), (4, 0.7, 5, 3), (4, 0.2, 6, 4)])
 def test_equals_one_pass(spark, partitions, similarity, depth, children):
     messages = random_log(similarity, 1500)
     expected, final = one_by_one(messages, depth, children, similarity)
@@ -85,6 +84,15 @@ def test_thinning_keeps_the_result(spark, monkeypatch):
     assert mined(mine_templates(frame(spark, messages, 16))) == one_by_one(messages)[0]
 
 
+@pytest.mark.parametrize("first_lines", [0, 1, 200])
+def test_any_head_start_gives_the_same_result(spark, first_lines):
+    messages = random_log(6, 1500)
+    expected, final = one_by_one(messages)
+    result = mine_templates(frame(spark, messages, 6), first_lines=first_lines)
+    assert mined(result) == expected
+    assert {r.event_id: r.template for r in result.catalog.collect()} == {f"E{i + 1}": t for i, t in enumerate(final)}
+
+
 def test_hot_message(spark):
     """Two thirds of the lines are one message; the clusters change around them."""
     messages = random_log(9, 600)
