@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logblocks.functions import trees
-from logblocks.operators.ordering import running_sums
-from logblocks.operators.staging import broadcast_if_small, materialize
+from logblocks.operators.ordering import SMALL_ROWS, running_sums
+from logblocks.operators.staging import broadcast_if_small, fits, materialize
 from logblocks.shipping import ship
 
 AUTO_SAMPLES = 256
@@ -194,15 +194,25 @@ def grow_forest(vectors: DataFrame, n_features: int, params: ForestParams, key:
     return materialize(grow(sample, n_features, params, trees.depth_limit(size)), "nodes"), size
 
 
-def weighted_quantiles(scores: DataFrame, score: str, weight: str, shares: list[float]) -> list[float]:
-    """Exact quantiles with linear interpolation between neighbours, at any number of rows."""
-    by_score = materialize(scores.groupBy(F.col(score).alias("score")).agg(F.sum(weight).alias("n")), "quantile")
-    total = by_score.agg(F.sum("n")).first()[0]
-    running = running_sums(by_score, "score", {"upto": "n"})
+def weighted_quantiles(scores: DataFrame, columns: list, weight: str, shares: list[float]) -> list[list[float]]:
+    """Exact quantiles per score column, with linear interpolation between neighbours.
+
+    Few rows, counted first, take one aggregation. Beyond, each column's
+    distinct scores get running sums, so that no task holds them all.
+    """
+    if fits(scores, SMALL_ROWS):
+        found = scores.agg(*[F.percentile(c, shares, F.col(weight)) for c in columns]).first()
+        return [list(row) for row in found]
+    places = [share * (scores.agg(F.sum(weight)).first()[0] - 1) for share in shares]
     at = lambda k: F.min(F.when(F.col("upto") > k, F.col("score")))
-    places = [share * (total - 1) for share in shares]
-    ends = running.agg(*[at(int(end(place))) for place in places for end in (np.floor, np.ceil)]).first()
-    return [float(ends[2 * i] + (ends[2 * i + 1] - ends[2 * i]) * (p - np.floor(p))) for i, p in enumerate(places)]
+    result = []
+    for column in columns:
+        by_score = materialize(scores.groupBy(column.alias("score")).agg(F.sum(weight).alias("n")), "quantile")
+        running = running_sums(by_score, "score", {"upto": "n"})
+        ends = running.agg(*[at(int(end(place))) for place in places for end in (np.floor, np.ceil)]).first()
+        between = lambda i, p: float(ends[2 * i] + (ends[2 * i + 1] - ends[2 * i]) * (p - np.floor(p)))
+        result.append([between(i, p) for i, p in enumerate(places)])
+    return result
 
 
 @dataclass
@@ -330,6 +340,6 @@ def fit_forest(vectors: DataFrame, n_features: int, params: ForestParams, key: s
     nodes, size = grow_forest(vectors, n_features, params, key)
     model = ForestModel(nodes, n_features, size, params)
     if params.contamination is not None:
-        rows = model.prefix_scores(distinct_vectors(vectors), [params.n_trees]).select(F.col("scores")[0].alias("s"), "weight")
-        [model.offset] = weighted_quantiles(rows, "s", "weight", [params.contamination])
+        rows = materialize(model.prefix_scores(distinct_vectors(vectors), [params.n_trees]).select("scores", "weight"), "fit-scores")
+        [[model.offset]] = weighted_quantiles(rows, [F.col("scores")[0]], "weight", [params.contamination])
     return model

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from dataclasses import replace
 from itertools import product
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logblocks.operators.iforest import ForestModel, ForestParams, fit_forest, grow_forest, weighted_quantiles
 from logblocks.operators.staging import materialize
+from logblocks.shipping import ship
 
 FOLDS = 3
 
@@ -36,40 +39,46 @@ def reduced_contamination_grid(ratio: float) -> list[float]:
 
 
 def grid_search(
-    vectors: DataFrame, n_features: int, contaminations: list[float], grid: dict = FULL_GRID, seed: int = 42, key: str = "block_id"
+    vectors: DataFrame,
+    n_features: int,
+    contaminations: list[float],
+    grid: dict = FULL_GRID,
+    seed: int = 42,
+    key: str = "block_id",
+    parallelism: int = 4,
 ) -> tuple[DataFrame, ForestParams]:
     """(every setting with its mean F1 and rank, the best setting).
 
     Contamination moves only the cut, and a smaller forest is the first trees
     of a larger one with the same draws. So each (samples, features, fold)
-    grows one forest, and all its sizes and cuts are scored from that.
+    grows one forest, and all its sizes and cuts are scored from that;
+    ``parallelism`` forests are in work at a time.
     """
     spark = vectors.sparkSession
+    ship(spark)
     fold = F.pmod(F.xxhash64(F.lit(seed), F.lit("fold"), key), F.lit(FOLDS)).cast("int")
     rows = materialize(vectors.select(key, "idxs", "cnts", "label", fold.alias("fold")), "folds")
     cells = materialize(
         rows.groupBy("idxs", "cnts", "fold").agg(F.count("*").alias("n"), F.sum("label").alias("pos")), "fold-cells"
     )
     sizes = sorted(grid["n_trees"])
-    f1: dict[tuple, list[float]] = {}
-    for features, samples in product(grid["max_features"], grid["max_samples"]):
+
+    def scored(features: float, samples, k: int) -> dict[tuple, float]:
         params = ForestParams(sizes[-1], samples, features, None, seed)
-        for k in range(FOLDS):
-            nodes, drawn = grow_forest(rows.where(F.col("fold") != k), n_features, params, key)
-            model = ForestModel(nodes, n_features, drawn, params)
-            scored = materialize(model.prefix_scores(cells, sizes), "fold-scores")
-            train, test = scored.where(F.col("fold") != k), scored.where(F.col("fold") == k)
-            cuts = {
-                (i, c): cut
-                for i in range(len(sizes))
-                for c, cut in zip(
-                    contaminations,
-                    weighted_quantiles(train.select(F.col("scores")[i].alias("s"), "n"), "s", "n", contaminations),
-                )
-            }
-            for (i, c), value in _f1_at(test, cuts).items():
-                f1.setdefault((c, features, str(samples), sizes[i]), []).append(value)
-    mean = {setting: sum(values) / len(values) for setting, values in f1.items()}
+        nodes, drawn = grow_forest(rows.where(F.col("fold") != k), n_features, params, key)
+        model = ForestModel(nodes, n_features, drawn, params)
+        scores = materialize(model.prefix_scores(cells, sizes), "fold-scores")
+        columns = [F.col("scores")[i] for i in range(len(sizes))]
+        cuts = weighted_quantiles(scores.where(F.col("fold") != k), columns, "n", contaminations)
+        found = _f1_at(scores.where(F.col("fold") == k), cuts)
+        return {
+            (c, features, str(samples), n): found[i][j] for i, n in enumerate(sizes) for j, c in enumerate(contaminations)
+        }
+
+    work = list(product(grid["max_features"], grid["max_samples"], range(FOLDS)))
+    with ThreadPool(min(parallelism, len(work))) as pool:
+        results = pool.map(inheritable_thread_target(spark)(lambda task: scored(*task)), work)
+    mean = {setting: sum(r[setting] for r in results if setting in r) / FOLDS for r in results for setting in r}
     order = [
         (c, features, str(samples), n)
         for c, features, samples, n in product(contaminations, grid["max_features"], grid["max_samples"], grid["n_trees"])
@@ -81,18 +90,17 @@ def grid_search(
     return spark.createDataFrame(table, RESULT), chosen
 
 
-def _f1_at(test: DataFrame, cuts: dict[tuple[int, float], float]) -> dict[tuple[int, float], float]:
-    """F1 of the anomaly class per (forest size, contamination), in one aggregation."""
+def _f1_at(test: DataFrame, cuts: list[list[float]]) -> list[list[float]]:
+    """F1 of the anomaly class per forest size and cut, in one aggregation."""
     sums = [F.sum("pos")]
-    for (i, _), cut in cuts.items():
-        low = F.col("scores")[i] < cut
-        sums += [F.sum(F.when(low, F.col("pos")).otherwise(0)), F.sum(F.when(low, F.col("n")).otherwise(0))]
-    found = [x or 0 for x in test.agg(*sums).first()]
-    result = {}
-    for j, setting in enumerate(cuts):
-        hit, flagged = found[1 + 2 * j], found[2 + 2 * j]
-        result[setting] = 2 * hit / (flagged + found[0]) if flagged + found[0] else 0.0
-    return result
+    for i, of_size in enumerate(cuts):
+        for cut in of_size:
+            low = F.col("scores")[i] < cut
+            sums += [F.sum(F.when(low, F.col("pos")).otherwise(0)), F.sum(F.when(low, F.col("n")).otherwise(0))]
+    total, *found = [x or 0 for x in test.agg(*sums).first()]
+    f1 = [2 * hit / (flagged + total) if flagged + total else 0.0 for hit, flagged in zip(found[::2], found[1::2])]
+    width = len(cuts[0])
+    return [f1[i * width : (i + 1) * width] for i in range(len(cuts))]
 
 
 def refit(vectors: DataFrame, n_features: int, best: ForestParams, **changes) -> ForestModel:

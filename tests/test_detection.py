@@ -173,12 +173,15 @@ def test_average_path():
 @pytest.mark.parametrize("small", [0, 50_000])
 def test_weighted_quantiles(spark, monkeypatch, small):
     monkeypatch.setattr(ordering.running_sums, "__defaults__", (True, 16, small))
+    monkeypatch.setattr(iforest, "SMALL_ROWS", small)
     draw = random.Random(8)
     data = [(round(draw.random(), 2), draw.randrange(1, 6)) for _ in range(300)]
     shares = [0.0, 0.03, 0.3, 0.5, 1.0]
-    found = iforest.weighted_quantiles(spark.createDataFrame(data, "s double, n long"), "s", "n", shares)
+    frame = spark.createDataFrame(data, "s double, n long")
+    found = iforest.weighted_quantiles(frame, [F.col("s"), -F.col("s")], "n", shares)
     flat = np.repeat([s for s, _ in data], [n for _, n in data])
-    assert found == pytest.approx(list(np.quantile(flat, shares)))
+    assert found[0] == pytest.approx(list(np.quantile(flat, shares)))
+    assert found[1] == pytest.approx(list(np.quantile(-flat, shares)))
 
 
 def test_saved_model_scores_alike(spark, tmp_path):
