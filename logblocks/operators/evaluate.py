@@ -52,15 +52,14 @@ def top_anomalies(predictions: DataFrame, k: int, direction: str = "lower", tie:
 
 
 def with_labels(predictions: DataFrame, labelled: DataFrame) -> DataFrame:
-    """Predictions joined to labels by block; raises when a row has no partner."""
+    """Predictions joined to labels by block; a row without its partner fails the job."""
     pairs = predictions.join(labelled.select("block_id", "label"), "block_id", "full")
-    counts = pairs.agg(
-        _count(F.col("label").isNull()).alias("unlabelled"),
-        _count(F.col("prediction").isNull()).alias("unpredicted"),
-    ).first()
-    if counts.unlabelled or counts.unpredicted:
-        raise ValueError(f"{counts.unlabelled} predictions lack a label, {counts.unpredicted} labels lack a prediction")
-    return predictions.join(labelled.select("block_id", "label"), "block_id")
+
+    def present(name: str, what: str):
+        lost = F.raise_error(F.concat(F.lit(f"no {what} for block "), F.col("block_id"))).cast("int")
+        return F.coalesce(F.col(name).cast("int"), lost)
+
+    return pairs.withColumns({"label": present("label", "label"), "prediction": present("prediction", "prediction")})
 
 
 def confusion(pairs: DataFrame) -> DataFrame:
@@ -84,49 +83,30 @@ def confusion(pairs: DataFrame) -> DataFrame:
 def classification_report(pairs: DataFrame) -> DataFrame:
     """Per class, and as macro and weighted averages: precision, recall, F1, support.
 
-    A ratio without a denominator counts as 0. Works on at most four
-    (label, prediction) counts after the aggregation.
+    A ratio without a denominator counts as 0. One aggregation yields the four
+    counts; the rows of the report are arithmetic on them.
     """
-    cells = pairs.groupBy("label", "prediction").agg(F.count("*").alias("n"))
-    names = F.explode(F.array(*[F.struct(F.lit(c).alias("cls"), F.lit(n).alias("class")) for c, n in ((0, "Normal"), (1, "Anomaly"))])).alias("c")
-    n = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
-    is_label, is_pred = F.col("label") == F.col("c.cls"), F.col("prediction") == F.col("c.cls")
-    per_class = (
-        cells.select("*", names)
-        .groupBy("c.cls", "c.class")
-        .agg(n(is_label & is_pred).alias("tp"), n(is_pred).alias("predicted"), n(is_label).alias("support"))
-    )
+    hit = lambda p, y: _count((F.col("prediction") == p) & (F.col("label") == y))
+    counts = pairs.agg(hit(0, 0).alias("tn"), hit(0, 1).alias("fn"), hit(1, 0).alias("fp"), hit(1, 1).alias("tp"))
+    tn, fn, fp, tp = (F.col(c) for c in ("tn", "fn", "fp", "tp"))
     safe = lambda a, b: F.coalesce(ratio(a, b), F.lit(0.0))
-    rows = per_class.select(
-        "class",
-        safe(F.col("tp"), F.col("predicted")).alias("precision"),
-        safe(F.col("tp"), F.col("support")).alias("recall"),
-        safe(2 * F.col("tp"), F.col("predicted") + F.col("support")).alias("f1"),
-        "support",
-    )
-    wide = per_class.groupBy().pivot("class", ["Normal", "Anomaly"]).agg(
-        F.first("tp").alias("tp"), F.first("predicted").alias("predicted"), F.first("support").alias("support")
-    )
-    value = lambda cls, metric: {
-        "precision": safe(F.col(f"{cls}_tp"), F.col(f"{cls}_predicted")),
-        "recall": safe(F.col(f"{cls}_tp"), F.col(f"{cls}_support")),
-        "f1": safe(2 * F.col(f"{cls}_tp"), F.col(f"{cls}_predicted") + F.col(f"{cls}_support")),
-    }[metric]
-    total = F.col("Normal_support") + F.col("Anomaly_support")
-    metrics = ("precision", "recall", "f1")
-    macro = wide.select(
-        F.lit("macro avg").alias("class"),
-        *[((value("Normal", m) + value("Anomaly", m)) / 2).alias(m) for m in metrics],
-        total.alias("support"),
-    )
-    weighted = wide.select(
-        F.lit("weighted avg").alias("class"),
-        *[
-            safe(value("Normal", m) * F.col("Normal_support") + value("Anomaly", m) * F.col("Anomaly_support"), total).alias(m)
-            for m in metrics
-        ],
-        total.alias("support"),
-    )
-    accuracy = safe(F.col("Normal_tp") + F.col("Anomaly_tp"), total)
-    accurate = wide.select(F.lit("accuracy").alias("class"), *[accuracy.alias(m) for m in metrics], total.alias("support"))
-    return rows.unionByName(accurate).unionByName(macro).unionByName(weighted)
+
+    def metrics(right, predicted, support):
+        return [safe(right, predicted), safe(right, support), safe(2 * right, predicted + support)]
+
+    normal, anomaly = metrics(tn, tn + fn, tn + fp), metrics(tp, tp + fp, tp + fn)
+    total = tn + fn + fp + tp
+    macro = [(n + a) / 2 for n, a in zip(normal, anomaly)]
+    weighted = [safe(n * (tn + fp) + a * (tp + fn), total) for n, a in zip(normal, anomaly)]
+    lines = {
+        "Normal": (normal, tn + fp),
+        "Anomaly": (anomaly, tp + fn),
+        "accuracy": ([safe(tn + tp, total)] * 3, total),
+        "macro avg": (macro, total),
+        "weighted avg": (weighted, total),
+    }
+    rows = [
+        F.struct(F.lit(name).alias("class"), *[v.alias(m) for v, m in zip(values, ("precision", "recall", "f1"))], support.alias("support"))
+        for name, (values, support) in lines.items()
+    ]
+    return counts.select(F.inline(F.array(*rows)))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SAMPLE_EVENTS = 10
+from logblocks.operators.staging import materialize
 
-CHECK = "name string, status string, issues array<string>, details map<string, string>"
+SAMPLE_EVENTS = 10
 
 
 class GuardrailError(RuntimeError):
@@ -79,7 +79,7 @@ def check_vocabulary(events: DataFrame, vocab: DataFrame, drift_tolerance: float
     if vocab.isEmpty():
         raise GuardrailError("Event vocabulary is empty; retrain the model.")
     known = vocab.select(F.col("event").alias("event_id"), F.lit(True).alias("_known"))
-    seen = events.select("event_id").distinct().join(known, "event_id", "left")
+    seen = materialize(events.select("event_id").distinct().join(known, "event_id", "left"), "events-seen")
     unknown = F.when(F.col("_known").isNull(), F.col("event_id"))
     observed = seen.agg(F.count("*").alias("observed"), F.count(unknown).alias("unknown"))
     samples = (
@@ -150,7 +150,3 @@ def raise_on_failure(checks: DataFrame) -> DataFrame:
     if error:
         raise GuardrailError(error)
     return checks
-
-
-def checks_table(spark: SparkSession, rows: list[Row]) -> DataFrame:
-    return spark.createDataFrame(rows, CHECK)

@@ -19,11 +19,12 @@ from pyspark.sql import types as T
 
 from logblocks.functions import trees
 from logblocks.operators.ordering import SMALL_ROWS, running_sums
-from logblocks.operators.staging import broadcast_if_small, fits, materialize
+from logblocks.operators.staging import BROADCAST_MAX_ROWS, broadcast_if_small, fits, materialize
 from logblocks.shipping import ship
 
 AUTO_SAMPLES = 256
 GROW_ROWS = 200_000
+HASH_CELLS = 4096
 BROADCAST_NODES = 2_000_000
 MATRIX_CELLS = 4_000_000
 
@@ -66,12 +67,14 @@ def draw_samples(rows: DataFrame, key: str, total: int, size: int, n_trees: int,
     hashed = _with_trees(rows.select(key, "idxs", "cnts"), n_trees).withColumn("_h", F.xxhash64(F.lit(seed), "tree", key))
 
     def ranked(candidates: DataFrame) -> DataFrame:
-        celled = candidates.withColumn("_cell", F.shiftright("_h", 52))
+        celled = candidates.withColumn("_cell", F.shiftright("_h", 64 - HASH_CELLS.bit_length() + 1))
         before = Window.partitionBy("tree").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
         cells = celled.groupBy("tree", "_cell").agg(F.count("*").alias("_n"))
         offsets = cells.select("tree", "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
         inside = Window.partitionBy("tree", "_cell").orderBy("_h", key)
-        kept = celled.join(broadcast_if_small(offsets), ["tree", "_cell"]).where(F.col("_o") < size)
+        if n_trees * HASH_CELLS <= BROADCAST_MAX_ROWS:
+            offsets = F.broadcast(offsets)  # at most HASH_CELLS rows per tree
+        kept = celled.join(offsets, ["tree", "_cell"]).where(F.col("_o") < size)
         return kept.withColumn("_rank", F.row_number().over(inside) + F.col("_o")).where(F.col("_rank") <= size)
 
     share = (size + 8 * size**0.5 + 32) / total

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from logblocks.functions.metrics import severity
 from logblocks.operators.blocks import all_references
 from logblocks.operators.ordering import number_rows, rank_within
-from logblocks.operators.staging import broadcast_if_small
+from logblocks.operators.staging import broadcast_if_small, materialize
 from logblocks.shipping import ship
 
 # Spark prunes `row_number() <= n` before the shuffle up to this n.
@@ -51,7 +51,7 @@ def block_excerpts(lines: DataFrame, blocks: DataFrame, max_lines: int = 0) -> D
     Whole raw lines count, malformed ones too, once per distinct block they
     name. ``max_lines <= 0`` keeps every line.
     """
-    wanted = broadcast_if_small(blocks.select("block_id").distinct())
+    wanted = broadcast_if_small(materialize(blocks.select("block_id").distinct(), "wanted"))
     found = all_references(lines).select("block_id", "line_no", "line").join(wanted, "block_id", "left_semi")
     if 0 < max_lines <= GROUP_LIMIT:
         first = Window.partitionBy("block_id").orderBy("line_no")
@@ -92,6 +92,7 @@ def prompt_lines(ranked: DataFrame, excerpts: DataFrame, system_prompt: str = ""
 
 def prompt_text(rows: DataFrame, max_rows: int = PROMPT_MAX_LINES) -> DataFrame:
     """One row ``(prompt)``. A prompt too long for one text stays in rows: write ``prompt_lines``."""
+    rows = materialize(rows, "prompt")  # counted, then joined: the log is read once
     if rows.limit(max_rows + 1).count() > max_rows:
         raise ValueError(f"the prompt has more than {max_rows} lines; limit blocks or lines, or write the prompt rows")
     parts = F.array_sort(F.collect_list(F.struct("section", "line_no", "text")))
@@ -102,9 +103,9 @@ def incident_prompt(
     flagged: DataFrame, lines: DataFrame, top_n: int = 20, max_lines: int = 0, system_prompt: str = "", order: str = "row_idx"
 ) -> DataFrame:
     """Flagged rows and raw lines to prompt rows; raises when nothing is flagged."""
-    if flagged.isEmpty():
+    ranked = materialize(rank_anomalies(flagged, top_n, order).select("rank", "block_id"), "ranked")
+    if ranked.isEmpty():
         raise ValueError("no anomalies detected in predictions")
-    ranked = rank_anomalies(flagged, top_n, order)
     return prompt_lines(ranked, block_excerpts(lines, ranked, max_lines), system_prompt)
 
 

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from logblocks.functions.metrics import rounded_f1, rounded_ratio
 from logblocks.operators import evaluate, guardrails
-from logblocks.operators.staging import materialize
 
 HISTORY = (
     "generated_at string, data_csv string, predictions_csv string, algorithm string, "
@@ -94,8 +93,3 @@ def write_run(report: DataFrame, history: DataFrame | None, failure: str | None,
         history.coalesce(1).write.mode("append").option("header", True).csv(history_path)
     if failure:
         raise guardrails.GuardrailError(failure)
-
-
-def staged_predictions(predictions: DataFrame) -> DataFrame:
-    """Predictions written once, since the report reads them several times."""
-    return materialize(predictions, "predictions")

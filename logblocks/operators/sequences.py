@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logblocks.functions.text import label_flag
 from logblocks.operators.ordering import number_rows
-from logblocks.operators.staging import broadcast_if_small, require_columns
+from logblocks.operators.staging import broadcast_if_small, materialize, require_columns
 
 SEGMENT_EVENTS = 250_000
 
@@ -24,12 +24,13 @@ def block_sequences(rows: DataFrame, segment_events: int = SEGMENT_EVENTS) -> Da
     larger block is cut by line range into segments of at most that many
     events, each its own group; its segments in order are the whole sequence.
     """
-    large = block_totals(rows).where(F.col("n_events") > segment_events).select("block_id", F.lit(True).alias("_large"))
-    cell = F.when(F.col("_large"), F.floor(F.col("line_no") / segment_events)).otherwise(0)
+    large = materialize(block_totals(rows).where(F.col("n_events") > segment_events).select("block_id"), "large-blocks")
+    slim, cell = rows.select("block_id", "line_no", "event_id"), F.lit(0)
+    if not large.isEmpty():
+        slim = slim.join(broadcast_if_small(large.withColumn("_large", F.lit(True))), "block_id", "left")
+        cell = F.when(F.col("_large"), F.floor(F.col("line_no") / segment_events)).otherwise(0)
     return (
-        rows.select("block_id", "line_no", "event_id")
-        .join(broadcast_if_small(large), "block_id", "left")
-        .groupBy("block_id", cell.cast("bigint").alias("segment"))
+        slim.groupBy("block_id", cell.cast("bigint").alias("segment"))
         .agg(F.array_sort(F.collect_list(F.struct("line_no", "event_id"))).alias("_e"))
         .select(
             "block_id",

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from logblocks.functions.clusters import Clusters, Rules
 from logblocks.functions.text import words
-from logblocks.operators.staging import broadcast_if_small, materialize, require_columns
+from logblocks.operators.staging import BROADCAST_MAX_ROWS, broadcast_if_small, materialize, require_columns
 from logblocks.shipping import ship
 
 FIRST_LINES = 1_000_000
@@ -243,7 +243,9 @@ def mine_templates(
     names = _event_names(states, known)
     labels = [(n, i, name) for n, of_n in names.items() for i, name in enumerate(of_n)]
     events = spark.createDataFrame(labels, "_n int, _cluster int, event_id string")
-    assigned = whole.join(broadcast_if_small(events), ["_n", "_cluster"]).select(*keep, "event_id", "template_at_line")
+    if len(labels) <= BROADCAST_MAX_ROWS:
+        events = F.broadcast(events)
+    assigned = whole.join(events, ["_n", "_cluster"]).select(*keep, "event_id", "template_at_line")
     sizes = materialize(whole.groupBy("_n", "_cluster").agg(F.count("*").alias("_lines")), "sizes").join(events, ["_n", "_cluster"])
     metadata = sizes.agg(
         F.coalesce(F.sum("_lines"), F.lit(0)).alias("total_lines"), F.count("*").alias("total_templates")

@@ -291,7 +291,7 @@ _SELECTS = {
         from (select (select count(*) from vocab) as o, (select count(*) from info_vocab) as v,
           (select count(*) from vocab where event not in (select event_id from info_vocab)) as u,
           (select string_agg(event, ''', ''' order by event) from vocab where event not in (select event_id from info_vocab)) as s)""",
-    "observed_events": "select count(distinct event_id) as observed_events from refs",
+    "observed_events": "select count(distinct event_id) as observed_events from refs where block_id in (select block_id from labelled)",
     "run_counts": "select * from label_counts, flag_counts, confusion",
     "run_summary": """select l.*, f.*, 'lower' as score_direction,
         (select block_id from preds where prediction = 1 order by anomaly_score, block_id limit 1) as top_block,

@@ -383,13 +383,9 @@ def _check(checks: DataFrame) -> DataFrame:
     return checks.select("name", "status", F.array_join("issues", "; ").alias("issues"), detail.alias("details"))
 
 
-def _labelled_sequence_table(spark, sf_dir):
-    return sequences.labelled_sequences(sequences.block_sequences(stages.rows(spark, sf_dir)), stages.labels(spark, sf_dir))
-
-
 @query
 def guardrail_sequences(spark, sf_dir):
-    return _check(guardrails.check_sequences(_labelled_sequence_table(spark, sf_dir)))
+    return _check(guardrails.check_sequences(stages.sequence_table(spark, sf_dir)))
 
 
 @query
@@ -410,8 +406,7 @@ def guardrail_vocabulary(spark, sf_dir):
 
 @query
 def observed_events(spark, sf_dir):
-    built = sequences.block_sequences(stages.rows(spark, sf_dir))
-    return sequences.sequence_events(built).agg(F.count_distinct("event_id").alias("observed_events"))
+    return sequences.sequence_events(stages.sequence_table(spark, sf_dir)).agg(F.count_distinct("event_id").alias("observed_events"))
 
 
 @query
@@ -421,8 +416,8 @@ def run_counts(spark, sf_dir):
 
 def _report(spark, sf_dir):
     labelled, vocab = stages.labelled(spark, sf_dir), stages.vocabulary(spark, sf_dir)
-    table = _labelled_sequence_table(spark, sf_dir)
-    events = stages.rows(spark, sf_dir).join(labelled.select("block_id"), "block_id", "left_semi")
+    table = stages.sequence_table(spark, sf_dir)
+    events = sequences.sequence_events(table)
     index = sequences.block_index(labelled, "label_row")
     checks = guardrails.run_guardrails(table, events, vocab, index)
     artifacts = {"sequences": "sequences", "predictions": "predictions", "vocabulary": "vocabulary"}

@@ -68,6 +68,16 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sequence_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sequence artifact: labelled blocks with their events in order."""
+
+    def build():
+        built = sequences.block_sequences(rows(spark, sf_dir))
+        return materialize(sequences.labelled_sequences(built, labels(spark, sf_dir)), "sequences")
+
+    return _once(spark, sf_dir, "sequences", build)
+
+
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, sf_dir, "vocabulary", lambda: materialize(features.vocabulary(rows(spark, sf_dir)), "vocabulary"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from logblocks.operators.staging import broadcast_if_small
+from logblocks.operators.staging import broadcast_if_small, materialize
 
 SPLIT_ROWS = 4_000_000
 
@@ -35,8 +35,11 @@ def number_file_rows(rows: DataFrame, name: str = "line_no") -> DataFrame:
         F.monotonically_increasing_id().alias("_id"),
     ).groupBy("_path", "_start").agg(F.min("_id").alias("_first"), F.count("*").alias("_n"))
     before = Window.orderBy("_path", "_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        F.xxhash64("_path").alias("_file"), "_start", "_first", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    offsets = materialize(
+        splits.select(
+            F.xxhash64("_path").alias("_file"), "_start", "_first", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+        ),
+        "splits",
     )
     at = F.col("_id") - F.col("_first")
     number = F.when((at >= 0) & (at < F.col("_n")), F.col("_offset") + at).otherwise(

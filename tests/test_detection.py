@@ -87,8 +87,13 @@ def test_rounding_rule():
 
 def test_unmatched_predictions_are_an_error(spark):
     found = spark.createDataFrame([("a", 1)], "block_id string, prediction int")
-    with pytest.raises(ValueError, match="1 predictions lack a label"):
-        evaluate.with_labels(found, spark.createDataFrame([("b", 1)], "block_id string, label int"))
+    for block, lost in (("a", None), ("b", "no (label for block a|prediction for block b)")):
+        pairs = evaluate.with_labels(found, spark.createDataFrame([(block, 1)], "block_id string, label int"))
+        if lost is None:
+            assert evaluate.confusion(pairs).first().true_positives == 1
+        else:
+            with pytest.raises(Exception, match=lost):
+                evaluate.confusion(pairs).collect()
 
 
 # forests
