@@ -75,11 +75,10 @@ class _Track:
     def __init__(self, seed: Seed, n: int):
         self.seed, self.n = seed, n
         self.lines, self.tokens = seed.changes.get(n, (np.empty(0, np.int64), []))
-        self.left_plan = False
         self._restart()
 
     def _restart(self) -> None:
-        self.at, self.state = 0, self.seed.clusters(self.n)
+        self.at, self.state, self.last, self.left_plan = 0, self.seed.clusters(self.n), -1, False
 
     def _step(self) -> int:
         cluster, _ = self.state.add(self.tokens[self.at], int(self.lines[self.at]))
@@ -90,9 +89,10 @@ class _Track:
         """(cluster, text, unplanned change) for rows in line order."""
         chosen, texts = np.empty(len(lines), np.int64), np.empty(len(lines), object)
         changed = np.zeros(len(lines), bool)
-        if not self.left_plan and self.at and len(lines) and lines[0] <= self.lines[self.at - 1]:
+        if lines[0] < self.last:
+            # the next file of the partition; a change found after later lines would hide earlier ones
             self._restart()
-        i = 0
+        self.last, i = lines[-1], 0
         while i < len(lines):
             j = len(lines)
             if not self.left_plan:
@@ -223,7 +223,9 @@ def mine_templates(
     rules = Rules(depth, max_children, similarity)
     known = [] if prior is None else _bounded(prior.orderBy("cluster_id"), max_changes)
     passed = ["line_no", *[c for c in keep if c != "line_no"]]
-    lines = log.select(*passed, message_tokens(F.col(message), extra_delimiters).alias("_tokens"))
+    # one row per generator input: filters stay above it and do not split the message again
+    tokens = F.explode(F.array(message_tokens(F.col(message), extra_delimiters)))
+    lines = log.select(*passed, tokens.alias("_tokens"))
 
     fresh = Seed(rules, known, {})
     found = _thin(materialize(_change_lines(lines.where(F.col("line_no") < first_lines), fresh), "changes"), fresh)
