@@ -23,6 +23,11 @@ def flagged(score: Column, threshold: Column, direction: Column) -> Column:
     return F.when(hit, 1).otherwise(0).cast("int")
 
 
+def class_flag(if_class: Column) -> Column:
+    """1 for the forest's own anomaly class (-1), else 0."""
+    return F.when(if_class == -1, 1).otherwise(0).cast("int")
+
+
 def severity(score: Column, threshold: Column, direction: Column) -> Column:
     """Distance beyond the threshold on the anomalous side; 0 when both are 0."""
     distance = F.when(F.lower(direction) == "higher", score - threshold).otherwise(threshold - score)

@@ -6,7 +6,6 @@ import json
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from logblocks.functions.metrics import rounded_f1, rounded_ratio
 from logblocks.operators import evaluate, guardrails

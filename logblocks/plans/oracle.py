@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from logblocks.operators.incidents import BULLET, CLOSING, INSTRUCTION
 from logblocks.plans.logview import lines_sql
-from logblocks.plans.queries import SPLIT_TIME, SYSTEM_PROMPT
+from logblocks.plans.queries import SYSTEM_PROMPT
 
 _LOG = lines_sql("strftime(ts,'%y%m%d %H%M%S')", "events")
 
@@ -304,6 +304,3 @@ _SELECTS = {
 def statements() -> dict[str, str]:
     """SQL per query; queries without a twin are checked against brute force in the tests."""
     return {name: _with(select) for name, select in _SELECTS.items()}
-
-
-__all__ = ["SPLIT_TIME", "statements"]

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logblocks.functions.text import first_block_id, label_flag
+from logblocks.functions.metrics import class_flag
+from logblocks.functions.text import label_flag
 from logblocks.operators import (
     blocks,
     calibrate,
@@ -23,7 +24,6 @@ from logblocks.operators import (
     templates,
     tuning,
 )
-from logblocks.operators.iforest import ForestParams
 from logblocks.operators.staging import staging_path
 from logblocks.plans import detect, logview, stages
 from logblocks.sources import lines as line_source
@@ -475,7 +475,8 @@ def _forest(spark, sf_dir):
 def iforest_scores(spark, sf_dir):
     """Isolation scores and native classes of every labelled block."""
     found = _forest(spark, sf_dir).scored
-    return found.select("block_id", "label", "is_test", "anomaly_score", "if_class")
+    native = class_flag(F.col("if_class")).alias("native_prediction")
+    return found.select("block_id", "label", "is_test", "anomaly_score", "if_class", native)
 
 
 @query

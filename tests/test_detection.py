@@ -239,6 +239,21 @@ def test_prefix_of_a_forest_is_the_smaller_forest(spark):
     assert nodes_of(large.where("tree < 3")) == nodes_of(small)
 
 
+def test_features_must_match_the_vocabulary(spark):
+    vocab = spark.createDataFrame([("E1", 0), ("E2", 1)], "event string, idx int")
+    score.check_features(2, vocab)
+    with pytest.raises(ValueError, match="3 features"):
+        score.check_features(3, vocab)
+
+
+def test_native_classes_and_default_cuts(spark):
+    rows = spark.createDataFrame([(-1, -0.1), (1, 0.0), (1, 0.6)], "if_class int, anomaly_score double")
+    assert [r[0] for r in rows.select(metrics.class_flag(F.col("if_class"))).collect()] == [1, 0, 0]
+    assert [r.prediction for r in score.apply_default(rows).collect()] == [1, 0, 0]
+    upward = score.apply_default(rows, score.RANDOM_FOREST).collect()
+    assert [(r.prediction, r.score_direction) for r in upward] == [(0, "higher"), (0, "higher"), (1, "higher")]
+
+
 def test_contamination_candidates():
     assert tuning.reduced_contamination_grid(0.03) == [0.03, 0.045, 0.05]
     assert tuning.reduced_contamination_grid(0.08) == [0.08, 0.1]

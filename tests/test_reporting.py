@@ -1,9 +1,8 @@
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
-from logblocks.operators import evaluate, features, guardrails, incidents, report, sequences
+from logblocks.operators import evaluate, guardrails, incidents, report, sequences
 from logblocks.operators.guardrails import GuardrailError
 from tests.conftest import lines_of
 
