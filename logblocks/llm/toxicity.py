@@ -4,8 +4,9 @@
    number of toxic and of clean documents that have it. Tasks add up dense arrays, Spark sums them.
 2. Ratio: r = log((toxic + 1) / (N_toxic + 2)) - log((clean + 1) / (N_clean + 2)). The ``FEATURES`` buckets
    whose counts differ most between the classes (likelihood ratio) become features.
-3. Fit: logistic regression on r * presence over at most ``FIT_ROWS`` training documents (the
-   smallest id hashes; the bound is a parameter). Features of that sample are all that the driver gets.
+3. Fit: logistic regression on r * presence over about ``FIT_ROWS`` training documents (those
+   with the smallest id hashes; the bound is a parameter, kept by the hash threshold). Features of that
+   sample are all that the driver gets.
 4. Score: one pass over all whole texts, no shuffle: the sum of weight * r of the n-grams present.
 
 A null text counts as empty and gets the bare intercept. Documents with several label rows count as toxic
@@ -27,8 +28,9 @@ from logblocks.shipping import ship
 
 GRAMS = (4, 5, 6)
 BITS = 20
-FEATURES = 20_000
-FIT_ROWS = 20_000
+FEATURES = 8_192
+FIT_ROWS = 8_000
+HASHES = 1 << 30
 THRESHOLD = 0.7
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -86,7 +88,7 @@ def fit_logistic(rows: list[np.ndarray], ratio: np.ndarray, label: np.ndarray, l
     """Weights and intercept of a logistic regression on ratio * presence, by accelerated gradient steps."""
     n = len(rows)
     cols = np.concatenate(rows) if n else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(n), [len(r) for r in rows])
+    owner = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
     value = ratio[cols]
     # Scaling by the mean squared length bounds the curvature of the mean loss.
     curve = 0.25 * (1 + max(np.bincount(owner, value**2, n).max(initial=0.0), 1e-9))
@@ -127,7 +129,8 @@ def train(rows: DataFrame, features: int = FEATURES, fit_rows: int = FIT_ROWS) -
             found = [place[buckets(t)] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"), "cols": [f[f >= 0].astype("<i4").tobytes() for f in found]})
 
-    sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows) if clean + toxic > fit_rows else rows
+    share = min(1.0, fit_rows / (clean + toxic))
+    sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)) < int(share * HASHES))
     fitted = sample.select("text", "toxic").mapInArrow(featurise, "toxic int, cols binary").toPandas()
     w, b = fit_logistic(
         [np.frombuffer(c, "<i4") for c in fitted["cols"]], ratio, fitted["toxic"].to_numpy().astype(float)
