@@ -510,7 +510,7 @@ class Repeats:
         self.spark, self.hot_class = docs.sparkSession, hot_class
         ship(self.spark)
         ids = docs.groupBy(F.col(id_col)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
-        uid = F.xxhash64(whole(F.col(text_col))).cast("int") if ids else F.lit(0)
+        uid = F.hash(whole(F.col(text_col))) if ids else F.lit(0)
         self.texts = docs.select(
             F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"),
             uid.alias("uid"),
