@@ -32,12 +32,16 @@ def check_sequences(sequences: DataFrame) -> DataFrame:
     field = sequences.schema["events"].dataType
     is_list = isinstance(field, T.ArrayType) and isinstance(field.elementType, T.StringType)
     labelled = "label" in sequences.columns
+    # a long block may be several rows, one per segment
+    blocks = F.countDistinct("block_id") if "block_id" in sequences.columns else F.count("*")
     facts = sequences.agg(
         F.count("*").alias("rows"),
+        blocks.alias("blocks"),
         F.count("events").alias("lists"),
         F.count("label" if labelled else F.lit(1)).alias("labels"),
     )
     bad_list = F.lit(True) if not is_list else F.col("lists") < F.col("rows")
+    # The texts of the issues.
     issues = [
         F.when(F.col("rows") == 0, "x_data is empty"),
         F.when((F.col("rows") > 0) & bad_list, "x_data entries must be iterable sequences of events"),
@@ -46,7 +50,7 @@ def check_sequences(sequences: DataFrame) -> DataFrame:
             F.format_string("y_data length %d does not match x_data length %d", "labels", "rows"),
         ),
     ]
-    return _check(facts, "npz_schema", issues, {"num_sequences": F.col("rows"), "has_labels": F.lit(labelled)})
+    return _check(facts, "npz_schema", issues, {"num_sequences": F.col("blocks"), "has_labels": F.lit(labelled)})
 
 
 def check_block_index(index: DataFrame | None, expected: DataFrame) -> DataFrame:

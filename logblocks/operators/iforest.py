@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logblocks.functions import trees
-from logblocks.operators.ordering import SMALL_ROWS, running_sums
-from logblocks.operators.staging import BROADCAST_MAX_ROWS, broadcast_if_small, fits, materialize
+from logblocks.operators.ordering import running_sums
+from logblocks.operators.staging import BROADCAST_MAX_ROWS, broadcast_if_small, materialize
 from logblocks.shipping import ship
 
 AUTO_SAMPLES = 256
@@ -200,12 +200,9 @@ def grow_forest(vectors: DataFrame, n_features: int, params: ForestParams, key:
 def weighted_quantiles(scores: DataFrame, columns: list, weight: str, shares: list[float]) -> list[list[float]]:
     """Exact quantiles per score column, with linear interpolation between neighbours.
 
-    Few rows, counted first, take one aggregation. Beyond, each column's
-    distinct scores get running sums, so that no task holds them all.
+    Each column's distinct scores get running sums, so that no task holds them
+    all; the formula is the same for any number of rows.
     """
-    if fits(scores, SMALL_ROWS):
-        found = scores.agg(*[F.percentile(c, shares, F.col(weight)) for c in columns]).first()
-        return [list(row) for row in found]
     places = [share * (scores.agg(F.sum(weight)).first()[0] - 1) for share in shares]
     at = lambda k: F.min(F.when(F.col("upto") > k, F.col("score")))
     result = []
@@ -249,13 +246,14 @@ class ForestModel:
             summed = _add_paths(summed, arrays, self.n_features, prefixes)
         return summed
 
-    def _path_lengths_by_join(self, vectors: DataFrame, prefixes: list[int], key: str = "block_id") -> DataFrame:
-        """The same by one join per level, for trees too large to send to every task."""
-        state = _with_trees(vectors.select(key, "idxs", "cnts"), self.params.n_trees).withColumn("node", F.lit(1).cast("bigint"))
+    def _path_lengths_by_join(self, vectors: DataFrame, prefixes: list[int]) -> DataFrame:
+        """The same by one join per level and distinct vector, for trees too large to send to every task."""
+        key = ["idxs", "cnts"]
+        state = _with_trees(vectors.select(*key).distinct(), self.params.n_trees).withColumn("node", F.lit(1).cast("bigint"))
         ends = None
         while True:
             leaves = self.nodes.where(F.col("feature") == trees.LEAF).select("tree", "node", "size")
-            ended = state.join(leaves, ["tree", "node"]).select(key, "tree", "node", "size")
+            ended = state.join(leaves, ["tree", "node"]).select(*key, "tree", "node", "size")
             ends = ended if ends is None else ends.unionByName(ended)
             state = materialize(_descend(state, self.nodes), "walk")
             if state.isEmpty():
@@ -265,7 +263,7 @@ class ForestModel:
             2.0 * (F.log(size - 1) + trees.EULER_GAMMA) - 2.0 * (size - 1) / size
         )
         path = F.floor(F.log2("node")) + rest
-        sums = ends.groupBy(key).agg(F.array(*[F.sum(F.when(F.col("tree") < k, path).otherwise(0.0)) for k in prefixes]).alias("paths"))
+        sums = ends.groupBy(*key).agg(F.array(*[F.sum(F.when(F.col("tree") < k, path).otherwise(0.0)) for k in prefixes]).alias("paths"))
         return vectors.join(sums, key)
 
     def _score(self, paths, n_trees: int):

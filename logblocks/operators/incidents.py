@@ -16,7 +16,6 @@ from logblocks.shipping import ship
 
 # Spark prunes `row_number() <= n` before the shuffle up to this n.
 GROUP_LIMIT = 1000
-PROMPT_MAX_LINES = 100_000
 
 # The sentences of the prompt.
 INSTRUCTION = (
@@ -26,7 +25,6 @@ INSTRUCTION = (
 )
 CLOSING = "Summarize the most critical issues, probable causes, and recommended next steps."
 NO_LINES = "(No log lines found for this block)"
-NO_ANOMALIES = "Summarize the following anomalies: (no anomalies provided)"
 BULLET = "  • "
 
 
@@ -90,11 +88,8 @@ def prompt_lines(ranked: DataFrame, excerpts: DataFrame, system_prompt: str = ""
     return opening.unionByName(titles).unionByName(body).unionByName(gaps).unionByName(closing)
 
 
-def prompt_text(rows: DataFrame, max_rows: int = PROMPT_MAX_LINES) -> DataFrame:
-    """One row ``(prompt)``. A prompt too long for one text stays in rows: write ``prompt_lines``."""
-    rows = materialize(rows, "prompt")  # counted, then joined: the log is read once
-    if rows.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"the prompt has more than {max_rows} lines; limit blocks or lines, or write the prompt rows")
+def prompt_text(rows: DataFrame) -> DataFrame:
+    """One row ``(prompt)``, as one text; the rows themselves stay distributed in ``prompt_lines``."""
     parts = F.array_sort(F.collect_list(F.struct("section", "line_no", "text")))
     return rows.agg(F.concat(F.array_join(F.transform(parts, lambda p: p["text"]), "\n"), F.lit("\n")).alias("prompt"))
 

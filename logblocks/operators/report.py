@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
-from logblocks.functions.metrics import rounded_f1, rounded_ratio
+from logblocks.functions.metrics import report_ratios, rounded_ratio
 from logblocks.operators import evaluate, guardrails
 
 HISTORY = (
@@ -50,9 +50,7 @@ def run_summary(
     evaluation = None
     if labelled:
         cells = {k: counts[k] for k in ("true_positives", "false_positives", "true_negatives", "false_negatives")}
-        tp, fp, fn = cells["true_positives"], cells["false_positives"], cells["false_negatives"]
-        precision, recall = rounded_ratio(tp, tp + fp), rounded_ratio(tp, tp + fn)
-        evaluation = {**cells, "precision": precision, "recall": recall, "f1": rounded_f1(precision, recall)}
+        evaluation = {**cells, **report_ratios(cells)}
     summary = {
         "generated_at": generated_at or datetime.now(timezone.utc).isoformat(),
         "artifacts": artifacts,

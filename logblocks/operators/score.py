@@ -15,7 +15,7 @@ DEFAULTS = {ISOLATION_FOREST: ("lower", 0.0), RANDOM_FOREST: ("higher", 0.5)}
 
 
 def apply_threshold(scored: DataFrame, threshold: DataFrame, score: str = "anomaly_score") -> DataFrame:
-    """Adds prediction, threshold, direction and algorithm from a 1-row threshold table.
+    """Adds prediction, threshold, direction and algorithm from a threshold table of exactly one row.
 
     ``lower`` flags strictly below the threshold, so the boundary rows that
     calibration counted are left out; random-forest scores always flag upward.
@@ -24,7 +24,9 @@ def apply_threshold(scored: DataFrame, threshold: DataFrame, score: str = "anoma
         F.col("score_threshold").cast("double").alias("decision_threshold"),
         F.coalesce("score_direction", F.lit("lower")).alias("score_direction"),
         F.coalesce("algorithm", F.lit(ISOLATION_FOREST)).alias("algorithm"),
-    ).limit(1)
+    )
+    if (rows := config.limit(2).count()) != 1:
+        raise ValueError(f"a threshold table needs exactly one row, found {'none' if not rows else 'more'}")
     acting = F.when(F.col("algorithm") == RANDOM_FOREST, "higher").otherwise(F.col("score_direction"))
     return scored.crossJoin(F.broadcast(config)).withColumn(
         "prediction", flagged(F.col(score), F.col("decision_threshold"), acting)

@@ -160,8 +160,10 @@ def _replay(rows, seed: Seed) -> tuple[dict[int, Clusters], dict[int, list]]:
 def _thin(changes: DataFrame, seed: Seed) -> DataFrame:
     """Drops reported lines that change nothing when replayed together, range by range.
 
-    Thinning is a saving only: a needed line that it drops is found again.
+    Thinning is a saving only: a needed line that it drops is found again. The first reported
+    line of each token count is a real change and always stays, so every round adds one.
     """
+    reported = changes
 
     def replay(table: pa.Table) -> pa.Table:
         table = table.sort_by("line_no")
@@ -183,7 +185,10 @@ def _thin(changes: DataFrame, seed: Seed) -> DataFrame:
         if left > total * 0.9:
             break
         total = left
-    return changes
+    if changes is reported:
+        return changes
+    first = reported.groupBy(F.size("tokens").alias("_n")).agg(F.min(F.struct("line_no", "tokens")).alias("_first"))
+    return changes.unionByName(first.select("_first.line_no", "_first.tokens"))
 
 
 @dataclass
@@ -231,7 +236,10 @@ def mine_templates(
     found = _thin(materialize(_change_lines(lines.where(F.col("line_no") < first_lines), fresh), "changes"), fresh)
     planned, parts, todo = [], [], lines
     while True:
+        before = len(planned)
         planned, states, seed = _plan(found, planned, fresh, max_changes)
+        if parts and len(planned) == before:
+            raise RuntimeError("a round of template mining found changes but planned none of them")
         staged = materialize(_assign(todo, passed, seed), "assigned")
         found = staged.where(F.col("_change").isNotNull()).select("line_no", F.col("_change").alias("tokens"))
         again = [r[0] for r in found.select(F.size("tokens")).distinct().collect()]

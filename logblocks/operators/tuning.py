@@ -29,13 +29,9 @@ def contamination_grid(ratio: float) -> list[float]:
 
 
 def reduced_contamination_grid(ratio: float) -> list[float]:
-    """The data's ratio, and milder ones only where they are larger."""
-    found = {round(ratio, 6)}
-    if ratio < 0.05:
-        found.add(0.05)
-    if ratio < 0.1:
-        found.add(round(min(0.1, ratio * 1.5), 6))
-    return sorted(found)
+    """The data's ratio and what exceeds it of 0.05 and one and a half times the ratio, 0.1 at most."""
+    larger = [share for share in (0.05, min(0.1, 1.5 * ratio)) if share > ratio]
+    return sorted({round(share, 6) for share in (ratio, *larger)})
 
 
 def grid_search(

@@ -45,10 +45,6 @@ def lines_sql(stamp: str, events: str) -> str:
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(line_no, line)``, one line per ``events`` row."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if len(events.inputFiles()) < cores:
-        # a table in few files reads in few tasks; spread runs of lines over the cores
-        events = events.repartition(cores, F.floor(F.col("event_id") / 1024))
     return spark.sql(lines_sql("date_format(ts,'yyMMdd HHmmss')", "{events}"), events=events)
 
 

@@ -17,12 +17,9 @@ def number_file_rows(rows: DataFrame, name: str = "line_no") -> DataFrame:
     its split is its task-local id less the split's smallest. The split table,
     one small row per split, holds the counts of the splits before. A row that
     does not fit its split's recorded range fails the job instead of getting a
-    wrong number.
+    wrong number; where executors come and go between the two reads, fix
+    ``spark.sql.files.minPartitionNum`` for the session.
     """
-    spark = rows.sparkSession
-    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
-        # splits depend on the core count unless this is fixed; both reads must agree
-        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
     placed = rows.select(
         "*",
         F.xxhash64("_metadata.file_path").alias("_file"),

@@ -82,7 +82,10 @@ def test_rounding_rule():
     assert metrics.rounded_ratio(1, 32) == 0.0312
     assert metrics.rounded_ratio(3, 160) == 0.0187
     assert metrics.rounded_ratio(1, 0) is None
-    assert metrics.rounded_f1(0.0, 0.0) is None and metrics.rounded_f1(0.5, 0.25) == 0.3333
+    counts = lambda tp, fp, fn: {"true_positives": tp, "false_positives": fp, "false_negatives": fn}
+    assert metrics.report_ratios(counts(1, 1, 3)) == {"precision": 0.5, "recall": 0.25, "f1": 0.3333}
+    assert metrics.report_ratios(counts(0, 1, 1)) == {"precision": 0.0, "recall": 0.0, "f1": None}
+    assert metrics.report_ratios(counts(0, 0, 1)) == {"precision": None, "recall": 0.0, "f1": None}
 
 
 def test_unmatched_predictions_are_an_error(spark):
@@ -170,6 +173,15 @@ def test_walks_agree(spark, monkeypatch):
         assert in_runs[block] == pytest.approx(whole[block]) and by_join[block] == pytest.approx(whole[block])
 
 
+def test_fit_with_trees_too_large_to_broadcast(spark, monkeypatch):
+    vectors = cloud(spark)
+    params = ForestParams(4, 64, 1.0, 0.1)
+    fitted = lambda: {r.block_id: (round(r.anomaly_score, 9), r.if_class) for r in iforest.fit_forest(vectors, 6, params).transform(vectors).collect()}
+    whole = fitted()
+    monkeypatch.setattr(iforest, "BROADCAST_NODES", 1)
+    assert fitted() == whole
+
+
 def test_average_path():
     assert list(trees.average_path([0, 1, 2])) == [0, 0, 1]
     assert float(trees.average_path(256)) == pytest.approx(2 * (math.log(255) + 0.5772156649) - 2 * 255 / 256)
@@ -178,7 +190,6 @@ def test_average_path():
 @pytest.mark.parametrize("small", [0, 50_000])
 def test_weighted_quantiles(spark, monkeypatch, small):
     monkeypatch.setattr(ordering.running_sums, "__defaults__", (True, 16, small))
-    monkeypatch.setattr(iforest, "SMALL_ROWS", small)
     draw = random.Random(8)
     data = [(round(draw.random(), 2), draw.randrange(1, 6)) for _ in range(300)]
     shares = [0.0, 0.03, 0.3, 0.5, 1.0]

@@ -111,6 +111,16 @@ def test_resume_continues(spark, cut):
     assert {r.event_id: r.template for r in second.catalog.collect()} == {f"E{i + 1}": t for i, t in enumerate(final)}
 
 
+def test_resume_ends_when_thinning_drops_a_needed_line(spark, monkeypatch):
+    """Alone, the later lines look like the old template; the first must not be thinned away with them."""
+    monkeypatch.setattr(templates, "REPLAY_ROWS", 1)
+    messages = ["a b c d e", "a b x y e", "a q x y r", "a q z w r"]
+    log = frame(spark, messages, 3)
+    first = mine_templates(log.where("line_no < 1"))
+    second = mine_templates(log.where("line_no >= 1"), prior=first.catalog)
+    assert mined(first) + mined(second) == one_by_one(messages)[0]
+
+
 def test_three_messages(spark):
     log = frame(spark, ["Receiving block blk_1 src", "Receiving block blk_2 src", "PacketResponder terminating now ok"], 1)
     result = mine_templates(log, similarity=0.5)
