@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -15,15 +17,18 @@ class GuardrailError(RuntimeError):
     """One or more checks failed."""
 
 
-def _check(facts: DataFrame, name: str, issues: list, details: dict) -> DataFrame:
-    """One check row; ``issues`` are texts that are null when the rule holds."""
-    found = F.array_compact(F.array(*issues)) if issues else F.array().cast("array<string>")
-    pairs = [x for key, value in details.items() for x in (F.lit(key), value.cast("string"))]
-    return facts.withColumn("issues", found).select(
+def _check(facts: DataFrame, name: str, issues: list, details: dict, list_none: bool = True) -> DataFrame:
+    """One check row; ``issues`` are texts that are null when the rule holds.
+
+    ``details`` is a JSON object with numbers and booleans as such; it lists the issues, an empty
+    list only if ``list_none``.
+    """
+    listed = F.col("issues") if list_none else F.when(F.size("issues") > 0, F.col("issues"))
+    return facts.withColumn("issues", F.array_compact(F.array(*issues))).select(
         F.lit(name).alias("name"),
         F.when(F.size("issues") > 0, "fail").otherwise("ok").alias("status"),
         "issues",
-        F.create_map(*pairs).alias("details"),
+        F.to_json(F.struct(*[value.alias(key) for key, value in details.items()], listed.alias("issues"))).alias("details"),
     )
 
 
@@ -32,11 +37,8 @@ def check_sequences(sequences: DataFrame) -> DataFrame:
     field = sequences.schema["events"].dataType
     is_list = isinstance(field, T.ArrayType) and isinstance(field.elementType, T.StringType)
     labelled = "label" in sequences.columns
-    # a long block may be several rows, one per segment
-    blocks = F.countDistinct("block_id") if "block_id" in sequences.columns else F.count("*")
     facts = sequences.agg(
         F.count("*").alias("rows"),
-        blocks.alias("blocks"),
         F.count("events").alias("lists"),
         F.count("label" if labelled else F.lit(1)).alias("labels"),
     )
@@ -50,21 +52,19 @@ def check_sequences(sequences: DataFrame) -> DataFrame:
             F.format_string("y_data length %d does not match x_data length %d", "labels", "rows"),
         ),
     ]
-    return _check(facts, "npz_schema", issues, {"num_sequences": F.col("blocks"), "has_labels": F.lit(labelled)})
+    return _check(facts, "npz_schema", issues, {"num_sequences": F.col("rows"), "has_labels": F.lit(labelled)})
 
 
-def check_block_index(index: DataFrame | None, expected: DataFrame) -> DataFrame:
-    """Block index against the 1-row ``expected_rows`` table; a missing index only warns."""
+def check_block_index(index: DataFrame | None, expected: DataFrame, path: str = "") -> DataFrame:
+    """Block index, read from ``path``, against the 1-row ``expected_rows`` table; a missing index only warns."""
+    # Fixed values, here and below: the texts of the message and of the issues.
     if index is None:
         return expected.select(
             F.lit("block_index").alias("name"),
             F.lit("warn").alias("status"),
             F.array().cast("array<string>").alias("issues"),
-            F.create_map(
-                F.lit("message"),
-                F.lit("Block index not found; skipping length validation."),
-                F.lit("expected_rows"),
-                F.col("expected_rows").cast("string"),
+            F.to_json(
+                F.struct(F.lit(f"Block index not found at {path}; skipping length validation.").alias("message"), "expected_rows")
             ).alias("details"),
         )
     facts = index.agg(F.count("*").alias("rows")).crossJoin(expected)
@@ -75,7 +75,7 @@ def check_block_index(index: DataFrame | None, expected: DataFrame) -> DataFrame
             F.format_string("Block index row count %d does not match expected %d", "rows", "expected_rows"),
         ),
     ]
-    return _check(facts, "block_index", issues, {"rows": F.col("rows")})
+    return _check(facts, "block_index", issues, {"path": F.lit(path), "rows": F.col("rows")})
 
 
 def check_vocabulary(events: DataFrame, vocab: DataFrame, drift_tolerance: float = 0.25, max_unknown_events: int = 0) -> DataFrame:
@@ -96,6 +96,7 @@ def check_vocabulary(events: DataFrame, vocab: DataFrame, drift_tolerance: float
     facts = observed.crossJoin(samples).crossJoin(size).withColumn(
         "drift", F.abs(F.col("observed") - F.col("vocab_size")) / F.col("vocab_size")
     )
+    # The texts of the issues.
     quoted = F.concat(F.lit("['"), F.array_join("samples", "', '"), F.lit("']"))
     issues = [
         F.when(
@@ -119,6 +120,7 @@ def check_vocabulary(events: DataFrame, vocab: DataFrame, drift_tolerance: float
             "drift": F.col("drift"),
             "unknown_event_count": F.col("unknown"),
         },
+        list_none=False,
     )
 
 
@@ -126,9 +128,10 @@ def guardrail_report(checks: list[Row]) -> tuple[dict, str | None]:
     """The report section of collected check rows, and the failure text if any failed."""
     failed = [c for c in checks if c.status == "fail"]
     if failed:
+        # Fixed value: the text of a failure.
         error = "Guardrail checks failed: " + ", ".join(f"{c.name}: {list(c.issues)}" for c in failed)
         return {"status": "fail", "error": error}, error
-    return {c.name: {"status": c.status, **c.details, "issues": list(c.issues)} for c in checks}, None
+    return {c.name: {"status": c.status, **json.loads(c.details)} for c in checks}, None
 
 
 def run_guardrails(
@@ -138,12 +141,13 @@ def run_guardrails(
     index: DataFrame | None,
     drift_tolerance: float = 0.25,
     max_unknown_events: int = 0,
+    index_path: str = "",
 ) -> DataFrame:
     """All checks as one three-row table."""
-    expected = sequences.agg(F.count_distinct("block_id").alias("expected_rows"))
+    expected = sequences.agg(F.count("*").alias("expected_rows"))
     return (
         check_sequences(sequences)
-        .unionByName(check_block_index(index, expected))
+        .unionByName(check_block_index(index, expected, index_path))
         .unionByName(check_vocabulary(events, vocab, drift_tolerance, max_unknown_events))
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logblocks.functions.metrics import report_ratios, rounded_ratio
 from logblocks.operators import evaluate, guardrails
 
+# The columns of the history and, below, the keys of the summary.
 HISTORY = (
     "generated_at string, data_csv string, predictions_csv string, algorithm string, "
     "precision double, recall double, f1 double, "

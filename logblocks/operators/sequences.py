@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logblocks.functions.text import label_flag
-from logblocks.operators.ordering import number_rows
-from logblocks.operators.staging import broadcast_if_small, materialize, require_columns
-
-SEGMENT_EVENTS = 250_000
+from logblocks.operators.ordering import number_rows, rank_within
+from logblocks.operators.staging import require_columns
 
 
 def block_totals(rows: DataFrame) -> DataFrame:
@@ -17,24 +15,27 @@ def block_totals(rows: DataFrame) -> DataFrame:
     return rows.groupBy("block_id").agg(F.count("*").alias("n_events"), F.min("line_no").alias("first_line"))
 
 
-def block_sequences(rows: DataFrame, segment_events: int = SEGMENT_EVENTS) -> DataFrame:
-    """``(block_id, segment, first_line, n_events, events)`` from ``(block_id, line_no, event_id)``.
+def ordered_events(rows: DataFrame) -> DataFrame:
+    """``(block_id, pos, line_no, event_id)``: every event with its 0-based place in its block.
+
+    The base form of a sequence. It stays distributed however long a block is: positions come from
+    line ranges and their offsets.
+    """
+    ranked = rank_within(rows.select("block_id", "line_no", "event_id"), "block_id", "line_no", "pos")
+    return ranked.select("block_id", (F.col("pos") - 1).alias("pos"), "line_no", "event_id")
+
+
+def block_sequences(rows: DataFrame) -> DataFrame:
+    """``(block_id, first_line, n_events, events)``: one row per block, its events in line order.
 
-    A block of up to ``segment_events`` events is one row with segment 0. A
-    larger block is cut by line range into segments of at most that many
-    events, each its own group; its segments in order are the whole sequence.
+    The published form. A row holds one block's whole list; where a block may not fit
+    one row, read ``ordered_events`` instead.
     """
-    large = materialize(block_totals(rows).where(F.col("n_events") > segment_events).select("block_id"), "large-blocks")
-    slim, cell = rows.select("block_id", "line_no", "event_id"), F.lit(0)
-    if not large.isEmpty():
-        slim = slim.join(broadcast_if_small(large.withColumn("_large", F.lit(True))), "block_id", "left")
-        cell = F.when(F.col("_large"), F.floor(F.col("line_no") / segment_events)).otherwise(0)
     return (
-        slim.groupBy("block_id", cell.cast("bigint").alias("segment"))
+        rows.groupBy("block_id")
         .agg(F.array_sort(F.collect_list(F.struct("line_no", "event_id"))).alias("_e"))
         .select(
             "block_id",
-            "segment",
             F.col("_e")[0]["line_no"].alias("first_line"),
             F.size("_e").cast("bigint").alias("n_events"),
             F.col("_e.event_id").alias("events"),

@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 MAX_DEPTH = 30  # the library's ceiling; the reference run has none
 
 
 def with_features(vectors: DataFrame, n_features: int) -> DataFrame:
-    """Adds the ``features`` vector: one count per vocabulary index."""
-    count = lambda i: F.coalesce(F.get("cnts", F.array_position("idxs", i).cast("int") - 1), F.lit(0)).cast("double")
-    every = F.transform(F.sequence(F.lit(0), F.lit(n_features - 1)), count)
-    return vectors.withColumn("features", array_to_vector(every))
+    """Adds the sparse ``features`` vector of ``idxs`` (ascending) and ``cnts``."""
+    fields = F.struct(  # the vector type's own fields; 0 marks a sparse one
+        F.lit(0).alias("type"),
+        F.lit(n_features).alias("size"),
+        F.col("idxs").cast("array<int>").alias("indices"),
+        F.col("cnts").cast("array<double>").alias("values"),
+    )
+    text = F.to_json(F.struct(fields.alias("features")))
+    return vectors.withColumn("features", F.from_json(text, StructType().add("features", VectorUDT()))["features"])
 
 
 def fit_random_forest(
@@ -39,3 +46,11 @@ def score_random_forest(model: RandomForestClassificationModel, vectors: DataFra
     return scored.withColumn("anomaly_score", vector_to_array("probability")[1]).drop(
         "features", "rawPrediction", "probability", "prediction"
     )
+
+
+def save_random_forest(model: RandomForestClassificationModel, path: str) -> None:
+    model.write().save(path)
+
+
+def load_random_forest(path: str) -> RandomForestClassificationModel:
+    return RandomForestClassificationModel.load(path)

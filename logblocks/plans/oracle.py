@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from logblocks.operators.incidents import BULLET, CLOSING, INSTRUCTION
 from logblocks.plans.logview import lines_sql
-from logblocks.plans.queries import SYSTEM_PROMPT
 
 _LOG = lines_sql("strftime(ts,'%y%m%d %H%M%S')", "events")
 
@@ -183,15 +181,43 @@ _BASE = (
     ),
     (
         "body",
-        f"""select rank as section, -1 as line_no, 'Block ' || rank || ': ' || block_id as text from ranked where rank <= 20
-           union all select r.rank, coalesce(e.line_no, 0), coalesce('{BULLET}' || e.line, '(No log lines found for this block)')
+        """select rank as section, -1 as line_no, 'Block ' || rank || ': ' || block_id as text from ranked where rank <= 20
+           union all select r.rank, coalesce(e.line_no, 0), coalesce('  • ' || e.line, '(No log lines found for this block)')
            from ranked r left join (select * from excerpts where line_rank <= 5) e using (block_id) where r.rank <= 20
            union all select rank, 4611686018427387904, '' from ranked where rank <= 20""",
     ),
     (
         "prompt",
-        f"""select '{SYSTEM_PROMPT}' || chr(10) || chr(10) || '{INSTRUCTION}' || chr(10) || chr(10)
-           || string_agg(text, chr(10) order by section, line_no) || chr(10) || '{CLOSING}' || chr(10) as prompt from body""",
+        """select 'You are an on-call assistant.' || chr(10) || chr(10)
+           || 'Analyze the following anomalous Hadoop Distributed File System (HDFS) blocks and provide a concise '
+           || 'incident-oriented summary for an on-call site reliability engineer. Highlight root causes, impacted '
+           || 'components, and any remediation suggestions.' || chr(10) || chr(10)
+           || string_agg(text, chr(10) order by section, line_no) || chr(10)
+           || 'Summarize the most critical issues, probable causes, and recommended next steps.' || chr(10) as prompt from body""",
+    ),
+    (
+        "report_row",
+        """select *, case when p is not null and r is not null and p + r > 0 then round(2 * p * r / (p + r), 4) end as f from (
+           select *, case when true_positives + false_positives > 0 then round(true_positives / (true_positives + false_positives), 4) end as p,
+             case when true_positives + false_negatives > 0 then round(true_positives / (true_positives + false_negatives), 4) end as r
+           from cells)""",
+    ),
+    ("seen", "select distinct event_id from refs where block_id in (select block_id from labelled)"),
+    (
+        "info_check",
+        """select *, case when abs(o - v) / v > 0.25::double
+             then format('Observed event count {} deviates from vocab size {} by {:.2f}%', o, v, 100 * abs(o - v) / v) end as drifted,
+           case when u > 0 then format('Encountered {} events not present in vocabulary (samples: [''{}''])', u, s) end as missed
+           from (select name, count(*) as o, (select count(*) from info_vocab) as v, count(*) filter (i is null) as u,
+             string_agg(event_id, ''', ''' order by event_id) filter (i is null) as s
+             from (select 'all' as name, event as event_id from vocab union all select 'labelled', event_id from seen) x
+             left join (select event_id as i from info_vocab) k on k.i = x.event_id group by name)""",
+    ),
+    (
+        "vocab_check",
+        """select o, v, u, abs(o - v) / v as drift, case when abs(o - v) / v > 0.25::double or u > 0 then 'fail' else 'ok' end as status
+           from (select (select count(*) from seen) as o, (select count(*) from vocab) as v,
+             (select count(*) from seen where event_id not in (select event from vocab)) as u)""",
     ),
     (
         "per_class",
@@ -235,8 +261,9 @@ _SELECTS = {
         template_final as log_template_tokens from names join finals using (kind) join (select kind, count(*) as size from kinds group by kind) using (kind)""",
     "template_metadata": "select count(*) as total_lines, count(distinct kind) as total_templates from kinds",
     "template_resume": "select line_no, event_id from mined",
-    "block_sequences": "select block_id, 0 as segment, first_line, n_events, events from sequences",
-    "labelled_sequences": "select label_row, block_id, 0 as segment, events, label from sequences join first_labels using (block_id)",
+    "block_sequences": "select block_id, first_line, n_events, events from sequences",
+    "ordered_events": "select block_id, row_number() over (partition by block_id order by line_no) - 1 as pos, line_no, event_id from refs",
+    "labelled_sequences": "select label_row, block_id, events, label from sequences join first_labels using (block_id)",
     "missing_labelled_blocks": """select label_row, "BlockId" as block_id from labels_ where label_row not in (select label_row from labelled)""",
     "unused_blocks": 'select block_id, n_events, first_line from totals where block_id not in (select "BlockId" from labels_)',
     "block_index": 'select row_number() over (order by label_row) - 1 as "Index", block_id as "BlockId", label as "Label" from labelled',
@@ -280,24 +307,52 @@ _SELECTS = {
     "incident_prompt_rows": "select section, line_no, text from body",
     "incident_prompt": "select prompt from prompt",
     "summarize_static": "select (length(prompt) - length(replace(prompt, chr(10), ''))) || ' lines' as summary from prompt",
-    "guardrail_sequences": """select 'npz_schema' as name, 'ok' as status, '' as issues,
-        'has_labels=true; num_sequences=' || (select count(*) from labelled) as details""",
-    "guardrail_index": """select 'block_index' as name, 'fail' as status, 'Block index row count ' || (select count(*) from labelled)
-        || ' does not match expected ' || (select count(*) from totals) as issues, 'rows=' || (select count(*) from labelled) as details""",
-    "guardrail_vocabulary": """select 'vocabulary' as name, 'fail' as status,
-        format('Observed event count {} deviates from vocab size {} by {:.2f}%; Encountered {} events not present in vocabulary (samples: [''{}''])',
-          o, v, 100 * abs(o - v) / v, u, s) as issues,
-        'observed_event_count=' || o || '; unknown_event_count=' || u || '; vocab_size=' || v as details
-        from (select (select count(*) from vocab) as o, (select count(*) from info_vocab) as v,
-          (select count(*) from vocab where event not in (select event_id from info_vocab)) as u,
-          (select string_agg(event, ''', ''' order by event) from vocab where event not in (select event_id from info_vocab)) as s)""",
+    "guardrail_sequences": """select 'npz_schema' as name, case when n = 0 then 'fail' else 'ok' end as status,
+        case when n = 0 then 'x_data is empty' else '' end as issues,
+        '{"num_sequences":' || n || ',"has_labels":true,"issues":[' || case when n = 0 then '"x_data is empty"' else '' end || ']}' as details
+        from (select count(*) as n from sequences join first_labels using (block_id))""",
+    "guardrail_index": """select 'block_index' as name, case when issue = '' then 'ok' else 'fail' end as status, issue as issues,
+        '{"path":"index","rows":' || n || ',"issues":[' || case when issue = '' then '' else '"' || issue || '"' end || ']}' as details
+        from (select n, case when n <> m then 'Block index row count ' || n || ' does not match expected ' || m else '' end as issue
+          from (select (select count(*) from labelled) as n, (select count(*) from totals) as m))""",
+    "guardrail_vocabulary": """select 'vocabulary' as name, case when coalesce(drifted, missed) is null then 'ok' else 'fail' end as status,
+        concat_ws('; ', drifted, missed) as issues,
+        '{"vocab_size":' || v || ',"observed_event_count":' || o || ',"drift":' || (abs(o - v) / v) || ',"unknown_event_count":' || u
+          || case when coalesce(drifted, missed) is null then '' else ',"issues":["' || concat_ws('","', drifted, missed) || '"]' end || '}' as details
+        from info_check where name = 'all'""",
     "observed_events": "select count(distinct event_id) as observed_events from refs where block_id in (select block_id from labelled)",
     "run_counts": "select * from label_counts, flag_counts, confusion",
     "run_summary": """select l.*, f.*, 'lower' as score_direction,
         (select block_id from preds where prediction = 1 order by anomaly_score, block_id limit 1) as top_block,
-        c.*, 'ok' as npz_schema, 'ok' as block_index, 'ok' as vocabulary from label_counts l, flag_counts f, cells c""",
-    "metrics_history_row": """select 'isolation-forest' as algorithm, c.*, f.anomalies_flagged, l.*, 'ok' as guardrails_status
-        from label_counts l, flag_counts f, cells c""",
+        c.true_positives, c.false_positives, c.true_negatives, c.false_negatives, c.p as "precision", c.r as recall, c.f as f1,
+        case when l.total_sequences > 0 then 'ok' else 'fail' end as npz_schema, l.total_sequences as num_sequences, true as has_labels,
+        'ok' as block_index, 'index' as "path", l.total_sequences as "rows", v.status as vocabulary, v.v as vocab_size, v.o as observed_event_count,
+        v.drift, v.u as unknown_event_count from label_counts l, flag_counts f, report_row c, vocab_check v""",
+    "failed_run": """select status, case when status = 'fail' then error end as error, case when status = 'fail' then error end as raised,
+        status as guardrails_status
+        from (select case when coalesce(drifted, missed) is null then 'ok' else 'fail' end as status,
+          'Guardrail checks failed: vocabulary: [' || concat_ws(', ', chr(39) || drifted || chr(39), chr(34) || missed || chr(34)) || ']' as error
+          from info_check where name = 'labelled')""",
+    "metrics_history_row": """select 'sequences' as data_csv, 'predictions' as predictions_csv, 'isolation-forest' as algorithm,
+        c.true_positives, c.false_positives, c.true_negatives, c.false_negatives, c.p as "precision", c.r as recall, c.f as f1,
+        f.anomalies_flagged, l.*, case when l.total_sequences > 0 then round(l.labeled_anomalies / l.total_sequences, 6) end as contamination,
+        v.status as guardrails_status from label_counts l, flag_counts f, report_row c, vocab_check v""",
+    "structured_scan": "select line_no, message, event_id from mined",
+    "sequence_scan": """select row_number() over (order by label_row) - 1 as row_idx, block_id, events, label
+        from sequences join first_labels using (block_id)""",
+    "sequence_id_scan": """select 'sequence_' || (row_number() over (order by label_row) - 1) as "SequenceId", events
+        from sequences join first_labels using (block_id)""",
+    "block_index_scan": 'select row_number() over (order by label_row) - 1 as "Index", block_id as "BlockId", label as "Label" from labelled',
+    "prediction_scan": 'select block_id as "BlockId", prediction, anomaly_score, decision_threshold, score_direction, algorithm from preds',
+    "catalog_metadata_scan": """select 'events.parquet' as source, count(*) as total_lines, count(distinct kind) as total_templates,
+        true as dated from kinds""",
+    "prompt_file_scan": """select line_no - 1 as line_no, line from (select generate_subscripts(t, 1) as line_no, unnest(t) as line
+        from (select string_split(rtrim(prompt, chr(10)), chr(10)) as t from prompt))""",
+    "summary_file_scan": "select 0::bigint as line_no, (length(prompt) - length(replace(prompt, chr(10), ''))) || ' lines' as line from prompt",
+    "default_cut_forest": """select block_id, case when anomaly_score - 0.5::double < 0 then 1 else 0 end as prediction, anomaly_score - 0.5::double as anomaly_score,
+        0.0::double as decision_threshold, 'lower' as score_direction, 'isolation-forest' as algorithm from scores""",
+    "forest_round_trip": "select block_id, true as same_score from labelled",
+    "rforest_round_trip": "select block_id, true as same_score from labelled",
 }
 
 

@@ -21,9 +21,11 @@ from logblocks.operators import (
     score,
     sequences,
     splits,
+    supervised,
     templates,
     tuning,
 )
+from logblocks.operators.iforest import ForestModel
 from logblocks.operators.staging import staging_path
 from logblocks.plans import detect, logview, stages
 from logblocks.sources import lines as line_source
@@ -97,6 +99,55 @@ def threshold_scan(spark, sf_dir):
     return _flat_threshold(tables.read_threshold(spark, path))
 
 
+@query
+def structured_scan(spark, sf_dir):
+    path = staging_path(spark, "structured")
+    sinks.write_structured(logview.parsed(spark, sf_dir), stages.templates(spark, sf_dir).assigned, path)
+    return tables.read_structured(spark, path)
+
+
+@query
+def sequence_scan(spark, sf_dir):
+    path = staging_path(spark, "sequence-file")
+    sinks.write_sequences(stages.sequence_table(spark, sf_dir), path)
+    table = tables.read_sequences(spark, path, labels_required=True)
+    return table.select("row_idx", "block_id", joined("events"), "label")
+
+
+@query
+def sequence_id_scan(spark, sf_dir):
+    """Sequences written without block ids: rows are named by their number."""
+    path = staging_path(spark, "sequence-file")
+    sinks.write_sequences(stages.sequence_table(spark, sf_dir).drop("block_id", "label"), path)
+    return tables.with_sequence_ids(tables.read_sequences(spark, path)).select("SequenceId", joined("events"))
+
+
+@query
+def block_index_scan(spark, sf_dir):
+    path = staging_path(spark, "index-csv")
+    labelled = stages.labelled(spark, sf_dir)
+    sinks.write_block_index(sequences.block_index(labelled, "label_row"), path)
+    index = tables.read_block_index(spark, path, labelled.count())
+    return index.select(F.col("Index").cast("bigint").alias("Index"), "BlockId", F.col("Label").cast("int").alias("Label"))
+
+
+@query
+def prediction_scan(spark, sf_dir):
+    path = staging_path(spark, "predictions-csv")
+    sinks.write_predictions(stages.predictions(spark, sf_dir), path)
+    return tables.read_predictions(spark, path)
+
+
+@query
+def catalog_metadata_scan(spark, sf_dir):
+    path = staging_path(spark, "catalog")
+    mined = stages.templates(spark, sf_dir)
+    sinks.write_catalog(mined.catalog, mined.metadata, path)
+    _, metadata = sinks.read_catalog(spark, path)
+    named = F.element_at(F.split("source", "/"), -1).alias("source")
+    return metadata.select(named, "total_lines", "total_templates", F.col("generated_at").isNotNull().alias("dated"))
+
+
 # parsing
 
 
@@ -171,14 +222,19 @@ def template_resume(spark, sf_dir):
 @query
 def block_sequences(spark, sf_dir):
     built = sequences.block_sequences(stages.rows(spark, sf_dir))
-    return built.select("block_id", "segment", "first_line", "n_events", joined("events"))
+    return built.select("block_id", "first_line", "n_events", joined("events"))
+
+
+@query
+def ordered_events(spark, sf_dir):
+    return sequences.ordered_events(stages.rows(spark, sf_dir))
 
 
 @query
 def labelled_sequences(spark, sf_dir):
     built = sequences.block_sequences(stages.rows(spark, sf_dir))
     found = sequences.labelled_sequences(built, stages.labels(spark, sf_dir))
-    return found.select("label_row", "block_id", "segment", joined("events"), "label")
+    return found.select("label_row", "block_id", joined("events"), "label")
 
 
 @query
@@ -304,6 +360,14 @@ def default_threshold(spark, sf_dir):
     return flagged.select("block_id", "prediction", "decision_threshold", "score_direction", "algorithm")
 
 
+@query
+def default_cut_forest(spark, sf_dir):
+    """The forest's own cut at 0, on the plain score moved so that it crosses 0."""
+    centred = stages.scores(spark, sf_dir).withColumn("anomaly_score", F.col("anomaly_score") - 0.5)
+    flagged = score.apply_default(centred)
+    return flagged.select("block_id", "prediction", "anomaly_score", "decision_threshold", "score_direction", "algorithm")
+
+
 @query
 def confusion_metrics(spark, sf_dir):
     return evaluate.confusion(evaluate.with_labels(stages.predictions(spark, sf_dir), stages.labelled(spark, sf_dir)))
@@ -375,12 +439,27 @@ def summarize_static(spark, sf_dir):
     return incidents.summarize(prompt, lambda text: f" {text.count(chr(10))} lines ")
 
 
+@query
+def prompt_file_scan(spark, sf_dir):
+    """The prompt's lines as its text file holds them."""
+    path = staging_path(spark, "prompt-text")
+    sinks.write_prompt(_prompt_rows(spark, sf_dir), path)
+    return line_source.read_lines(spark, path)
+
+
+@query
+def summary_file_scan(spark, sf_dir):
+    path = staging_path(spark, "summary-text")
+    prompt = incidents.prompt_text(_prompt_rows(spark, sf_dir))
+    sinks.write_summary(incidents.summarize(prompt, lambda text: f" {text.count(chr(10))} lines "), path)
+    return line_source.read_lines(spark, path)
+
+
 # guardrails and report
 
 
 def _check(checks: DataFrame) -> DataFrame:
-    detail = F.concat_ws("; ", F.array_sort(F.transform(F.map_entries("details"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))))
-    return checks.select("name", "status", F.array_join("issues", "; ").alias("issues"), detail.alias("details"))
+    return checks.select("name", "status", F.array_join("issues", "; ").alias("issues"), "details")
 
 
 @query
@@ -392,16 +471,18 @@ def guardrail_sequences(spark, sf_dir):
 def guardrail_index(spark, sf_dir):
     """The index of the labelled blocks against all logged blocks: the row counts differ."""
     index = sequences.block_index(stages.labelled(spark, sf_dir), "label_row")
-    return _check(guardrails.check_block_index(index, stages.totals(spark, sf_dir).agg(F.count("*").alias("expected_rows"))))
+    expected = stages.totals(spark, sf_dir).agg(F.count("*").alias("expected_rows"))
+    return _check(guardrails.check_block_index(index, expected, "index"))
+
+
+def _info_vocabulary(spark, sf_dir):
+    return features.vocabulary(stages.rows(spark, sf_dir).where(F.col("severity") == "INFO"))
 
 
 @query
 def guardrail_vocabulary(spark, sf_dir):
     """All events against the vocabulary of the INFO lines: both rules fail."""
-    rows = stages.rows(spark, sf_dir)
-    known = features.vocabulary(rows.where(F.col("severity") == "INFO"))
-    checks = guardrails.check_vocabulary(rows, known)
-    return _check(checks.withColumn("details", F.map_filter("details", lambda k, v: k != "drift")))
+    return _check(guardrails.check_vocabulary(stages.rows(spark, sf_dir), _info_vocabulary(spark, sf_dir)))
 
 
 @query
@@ -414,50 +495,52 @@ def run_counts(spark, sf_dir):
     return report.run_counts(stages.labelled(spark, sf_dir), stages.predictions(spark, sf_dir))
 
 
-def _report(spark, sf_dir):
-    labelled, vocab = stages.labelled(spark, sf_dir), stages.vocabulary(spark, sf_dir)
+def _run(spark, sf_dir, vocab) -> tuple[DataFrame, DataFrame, str | None]:
+    """(summary, history) of a run, written and read back, and the failure that the writer raised."""
+    labelled = stages.labelled(spark, sf_dir)
     table = stages.sequence_table(spark, sf_dir)
-    events = sequences.sequence_events(table)
     index = sequences.block_index(labelled, "label_row")
-    checks = guardrails.run_guardrails(table, events, vocab, index)
+    checks = guardrails.run_guardrails(table, sequences.sequence_events(table), vocab, index, index_path="index")
     artifacts = {"sequences": "sequences", "predictions": "predictions", "vocabulary": "vocabulary"}
-    return report.run_summary(spark, labelled, stages.predictions(spark, sf_dir), checks, artifacts)
+    made = report.run_summary(spark, labelled, stages.predictions(spark, sf_dir), checks, artifacts)
+    base, raised = staging_path(spark, "run"), None
+    try:
+        report.write_run(*made, f"{base}/summary", f"{base}/history")
+    except guardrails.GuardrailError as failure:
+        raised = str(failure)
+    return *tables.read_run(spark, f"{base}/summary", f"{base}/history"), raised
 
 
 @query
 def run_summary(spark, sf_dir):
-    summary, _, _ = _report(spark, sf_dir)
-    value = lambda path, kind: F.get_json_object("value", path).cast(kind)
-    counts = ("total_sequences", "labeled_normals", "labeled_anomalies")
-    cells = ("true_positives", "false_positives", "true_negatives", "false_negatives")
+    summary, _, _ = _run(spark, sf_dir, stages.vocabulary(spark, sf_dir))
+    rails = {
+        "npz_schema": ("num_sequences", "has_labels"),
+        "block_index": ("path", "rows"),
+        "vocabulary": ("vocab_size", "observed_event_count", "drift", "unknown_event_count"),
+    }
     return summary.select(
-        *[value(f"$.sequence_stats.{c}", "bigint").alias(c) for c in counts],
-        *[value(f"$.prediction_stats.{c}", "bigint").alias(c) for c in ("total_predictions", "anomalies_flagged")],
-        F.get_json_object("value", "$.prediction_stats.score_direction").alias("score_direction"),
-        F.get_json_object("value", "$.prediction_stats.top_anomalies[0].block_id").alias("top_block"),
-        *[value(f"$.evaluation.{c}", "bigint").alias(c) for c in cells],
-        *[F.get_json_object("value", f"$.guardrails.{c}.status").alias(c) for c in ("npz_schema", "block_index", "vocabulary")],
+        "sequence_stats.*",
+        *[f"prediction_stats.{c}" for c in ("total_predictions", "anomalies_flagged", "score_direction")],
+        F.col("prediction_stats.top_anomalies")[0]["block_id"].alias("top_block"),
+        "evaluation.*",
+        *[F.col(f"guardrails.{check}.status").alias(check) for check in rails],
+        *[f"guardrails.{check}.{fact}" for check, facts in rails.items() for fact in facts],
     )
 
 
+@query
+def failed_run(spark, sf_dir):
+    """A run against the vocabulary of the INFO lines: written in full, then raised."""
+    summary, history, raised = _run(spark, sf_dir, _info_vocabulary(spark, sf_dir))
+    shown = summary.select("guardrails.status", "guardrails.error", F.lit(raised).alias("raised"))
+    return shown.crossJoin(history.select("guardrails_status"))  # one row each
+
+
 @query
 def metrics_history_row(spark, sf_dir):
-    summary, history, failure = _report(spark, sf_dir)
-    base = staging_path(spark, "run")
-    report.write_run(summary, history, failure, f"{base}/summary", f"{base}/history")
-    written = spark.read.schema(report.HISTORY).option("header", True).csv(f"{base}/history")
-    return written.select(
-        "algorithm",
-        "true_positives",
-        "false_positives",
-        "true_negatives",
-        "false_negatives",
-        "anomalies_flagged",
-        "total_sequences",
-        "labeled_anomalies",
-        "labeled_normals",
-        "guardrails_status",
-    )
+    _, history, _ = _run(spark, sf_dir, stages.vocabulary(spark, sf_dir))
+    return history.drop("generated_at")
 
 
 # detectors: drawn at random, so checked by properties in the tests instead of SQL
@@ -471,6 +554,11 @@ def _forest(spark, sf_dir):
     return stages.detector(spark, sf_dir)
 
 
+def _same_scores(again, scored):
+    first = scored.select("block_id", F.col("anomaly_score").alias("_first"))
+    return again.join(first, "block_id").select("block_id", (F.col("anomaly_score") == F.col("_first")).alias("same_score"))
+
+
 @query
 def iforest_scores(spark, sf_dir):
     """Isolation scores and native classes of every labelled block."""
@@ -494,26 +582,49 @@ def iforest_test_report(spark, sf_dir):
 @query
 def rforest_scores(spark, sf_dir):
     """The supervised baseline, calibrated upward."""
-    found = detect.train(
-        stages.vectors(spark, sf_dir),
-        _features(spark, sf_dir),
-        score.RANDOM_FOREST,
-        allow_supervised=True,
-        random_forest={"n_trees": 40, "max_depth": 12},
-    )
+    found = stages.supervised_detector(spark, sf_dir)
     return found.predictions.select("block_id", "label", "prediction", "anomaly_score", "score_direction")
 
 
 @query
-def grid_search_best(spark, sf_dir):
-    """Reduced grid over the training rows; every setting with its mean F1."""
+def rforest_round_trip(spark, sf_dir):
+    """The saved and loaded baseline gives every labelled block the same score."""
+    found, path = stages.supervised_detector(spark, sf_dir), staging_path(spark, "random-forest")
+    supervised.save_random_forest(found.model, path)
+    again = supervised.score_random_forest(
+        supervised.load_random_forest(path), stages.vectors(spark, sf_dir), _features(spark, sf_dir)
+    )
+    return _same_scores(again, found.scored)
+
+
+def _grid(spark, sf_dir, contaminations, grid):
     train = stages.vectors(spark, sf_dir).where(~F.col("is_test"))
     ratio = splits.contamination(train).first()[0]
-    grid = {"n_trees": [20, 40], "max_samples": [0.8, 1.0], "max_features": [0.75, 1.0]}
-    table, _ = tuning.grid_search(train, _features(spark, sf_dir), tuning.reduced_contamination_grid(ratio), grid)
+    table, _ = tuning.grid_search(train, _features(spark, sf_dir), contaminations(ratio), grid)
     return table
 
 
+@query
+def grid_search_best(spark, sf_dir):
+    """Reduced grid over the training rows; every setting with its mean F1."""
+    return _grid(spark, sf_dir, tuning.reduced_contamination_grid, tuning.REDUCED_GRID)
+
+
+@query
+def grid_search_full(spark, sf_dir):
+    """All 81 settings over the training rows, each with its mean F1."""
+    return _grid(spark, sf_dir, tuning.contamination_grid, tuning.FULL_GRID)
+
+
+@query
+def forest_round_trip(spark, sf_dir):
+    """The saved and loaded forest gives every labelled block the same score."""
+    found, path = _forest(spark, sf_dir), staging_path(spark, "forest")
+    found.model.save(path)
+    again = ForestModel.load(spark, path).transform(stages.vectors(spark, sf_dir))
+    return _same_scores(again, found.scored)
+
+
 @query
 def detected_incidents(spark, sf_dir):
     """Log to incidents: the 20 most severe blocks of the forest, with their first lines."""

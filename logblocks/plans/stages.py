@@ -117,3 +117,11 @@ def detector(spark: SparkSession, sf_dir: str) -> detect.Detector:
     """The calibrated isolation forest with its default settings."""
     build = lambda: detect.train(vectors(spark, sf_dir), vocabulary(spark, sf_dir).count())
     return _once(spark, sf_dir, "detector", build)
+
+
+def supervised_detector(spark: SparkSession, sf_dir: str) -> detect.Detector:
+    """The calibrated random-forest baseline at its full size."""
+    build = lambda: detect.train(
+        vectors(spark, sf_dir), vocabulary(spark, sf_dir).count(), score.RANDOM_FOREST, allow_supervised=True
+    )
+    return _once(spark, sf_dir, "supervised-detector", build)

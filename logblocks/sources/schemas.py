@@ -8,4 +8,5 @@ THRESHOLD = (
     "calibration_metrics struct<precision: double, recall: double, f1: double, f_beta: double>, "
     "calibration_size long, calibration_beta double, min_calibration_precision double"
 )
-SEQUENCES = "row_idx long, block_id string, segment long, events array<string>, label int"
+STRUCTURED = "line_no long, " + PARSED + ", event_id string, template_at_line string"
+SEQUENCES = "row_idx long, block_id string, events array<string>, label int"

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logblocks.operators.ordering import number_rows
 from logblocks.operators.parse import PARSED
+from logblocks.sources import schemas
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -21,6 +23,24 @@ def write_parsed_csv(parsed: DataFrame, path: str) -> None:
     write_csv(parsed.orderBy("line_no").select(*PARSED), path)
 
 
+def _published(df: DataFrame, schema: str, optional: tuple[str, ...] = ()) -> DataFrame:
+    """The columns of a published schema, in its order and types."""
+    fields = [part.split(" ", 1) for part in schema.split(", ")]
+    return df.select(*[F.col(name).cast(kind) for name, kind in fields if name in df.columns or name not in optional])
+
+
+def write_structured(parsed: DataFrame, assigned: DataFrame, path: str) -> None:
+    """Parsed lines with the event and template that mining gave them."""
+    found = assigned.select("line_no", "event_id", "template_at_line")
+    write_table(_published(parsed.join(found, "line_no"), schemas.STRUCTURED), path)
+
+
+def write_sequences(sequences: DataFrame, path: str, order: str = "label_row") -> None:
+    """Sequences numbered in the given order, with labels and block ids where they have them."""
+    numbered = number_rows(sequences, order, name="row_idx")
+    write_table(_published(numbered, schemas.SEQUENCES, optional=("block_id", "label")), path)
+
+
 def write_catalog(catalog: DataFrame, metadata: DataFrame, path: str) -> None:
     """Template catalog and its totals; the catalog is also the state to resume from."""
     write_table(catalog, f"{path}/templates")

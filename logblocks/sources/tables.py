@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logblocks.functions.text import strip
 from logblocks.operators.features import check_vocabulary_index
+from logblocks.operators.report import HISTORY
 from logblocks.operators.staging import require_columns
 from logblocks.sources import schemas
 from logblocks.sources.lines import number_file_rows
@@ -46,7 +47,7 @@ def read_labels(spark: SparkSession, path: str | None) -> DataFrame | None:
 
 def read_sequences(spark: SparkSession, path: str, labels_required: bool = False) -> DataFrame:
     table = spark.read.parquet(path)
-    return require_columns(table, ["block_id", "events", *(["label"] if labels_required else [])], "sequence table")
+    return require_columns(table, ["events", *(["label"] if labels_required else [])], "sequence table")
 
 
 def with_sequence_ids(sequences: DataFrame, order: str = "row_idx") -> DataFrame:
@@ -89,6 +90,11 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
     return raw.withColumns({c: F.col(c).cast(t) for c, t in numbers.items() if c in raw.columns})
 
 
+def read_run(spark: SparkSession, summary: str, history: str) -> tuple[DataFrame, DataFrame]:
+    """(summary with numbers and booleans as such, metrics history)."""
+    return spark.read.json(summary), _csv(spark, history, HISTORY)
+
+
 def read_anomalies(spark: SparkSession, path: str) -> DataFrame:
     """Flagged predictions ``(row_idx, block_id, prediction, anomaly_score, decision_threshold, score_direction)``.
 

@@ -6,11 +6,11 @@ from logblocks.operators import evaluate, guardrails, incidents, report, sequenc
 from logblocks.operators.guardrails import GuardrailError
 from tests.conftest import lines_of
 
-SEQ = "block_id string, segment long, events array<string>"
+SEQ = "block_id string, events array<string>"
 
 
 def seqs(spark, *events, labels=None):
-    rows = [(f"b{i}", 0, e) for i, e in enumerate(events)]
+    rows = [(f"b{i}", e) for i, e in enumerate(events)]
     frame = spark.createDataFrame(rows, SEQ)
     if labels is None:
         return frame
@@ -36,7 +36,11 @@ def test_clean_tables_pass(spark):
     table = seqs(spark, ["E1", "E2"], ["E2", "E3"], ["E1"])
     found = by_name(checks(spark, table, vocab(spark, "E1", "E2", "E3")))
     assert {n: r.status for n, r in found.items()} == {"npz_schema": "ok", "block_index": "ok", "vocabulary": "ok"}
-    assert found["npz_schema"].details == {"num_sequences": "3", "has_labels": "false"}
+    assert json.loads(found["npz_schema"].details) == {"num_sequences": 3, "has_labels": False, "issues": []}
+    assert json.loads(found["block_index"].details) == {"path": "", "rows": 3, "issues": []}
+    assert json.loads(found["vocabulary"].details) == {
+        "vocab_size": 3, "observed_event_count": 3, "drift": 0.0, "unknown_event_count": 0
+    }
 
 
 def test_unknown_event_raises_with_samples(spark):

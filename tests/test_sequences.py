@@ -37,20 +37,18 @@ def test_unused_blocks(spark):
     assert [r.block_id for r in sequences.unused_blocks(totals, labels_of(spark, [("blk_-1", "Normal")])).collect()] == ["blk_-2"]
 
 
-def test_a_block_with_a_third_of_all_rows_is_cut_into_segments(spark):
+def test_a_block_with_a_third_of_all_rows_is_one_sequence(spark):
     draw = random.Random(2)
     events = [("blk_hot" if i % 3 == 0 else f"blk_{draw.randrange(400)}", f"E{draw.randrange(9)}") for i in range(6000)]
-    built = sequences.block_sequences(rows_of(spark, events), segment_events=100).collect()
-    whole = {}
-    for r in sorted(built, key=lambda r: (r.block_id, r.segment)):
-        assert len(r.events) == r.n_events <= 100
-        whole.setdefault(r.block_id, []).extend(r.events)
     expected = {}
     for b, e in events:
         expected.setdefault(b, []).append(e)
-    assert whole == expected
-    assert sum(r.block_id == "blk_hot" for r in built) == 60
-    assert sum(r.block_id != "blk_hot" for r in built) == len(expected) - 1
+    rows = rows_of(spark, events)
+    built = sequences.block_sequences(rows).collect()
+    assert len(built) == len(expected) and {r.block_id: r.events for r in built} == expected
+    assert all(r.n_events == len(r.events) for r in built)
+    places = sequences.ordered_events(rows).collect()
+    assert {(r.block_id, r.pos, r.event_id) for r in places} == {(b, i, e) for b, es in expected.items() for i, e in enumerate(es)}
 
 
 def test_vectors_keep_blocks_of_unknown_events(spark):
