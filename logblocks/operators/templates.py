@@ -4,17 +4,19 @@ Clusters change at few lines only (a new cluster, or a new wildcard); all other
 lines fit the clusters as they are. So:
 
 1. the partitions that hold the first lines cluster them, each from scratch, and
-   report the lines that changed something; the merged report is replayed in
-   line order and thinned to the lines that still matter;
-2. with those change lines broadcast, every partition knows the clusters as of
-   each of its lines and assigns all its lines without any shuffle;
-3. a line anywhere that changes clusters but is not in the list is added to it,
-   and step 2 runs again on the lines with the same number of tokens: only they
-   share clusters with it. When no such line is left, by induction on the line
-   order, the result equals one pass over the whole log.
-
-Step 1 only saves rounds of step 3. No group of lines ever gathers in one task,
-however common one message is.
+   report the lines that changed something;
+2. the reported lines are replayed in line order, one task per token count, which yields the
+   lines that do change clusters (the plan) and the clusters after them, both as tables;
+3. with the plan broadcast, every partition knows the clusters as of each of its lines and assigns
+   all its lines without any shuffle. A plan above ``PLAN_TOKENS`` goes out in runs of token counts,
+   each run with the lines that have those counts;
+4. a line anywhere that changes clusters but is not in the plan is added to the report,
+   and steps 2 and 3 run again for its token count: only its lines share clusters. The first such line
+   moves on in every round. When none is left, by induction on the line order, the result
+   equals one pass over the whole log.
+
+Step 1 only saves rounds of step 4. No group of lines ever gathers in one task,
+however common one message is; a task holds the clusters and the plan of the token counts it works on.
 """
 
 from __future__ import annotations
@@ -27,25 +29,25 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logblocks.functions.clusters import Clusters, Rules
 from logblocks.functions.text import words
-from logblocks.operators.staging import BROADCAST_MAX_ROWS, broadcast_if_small, materialize, require_columns
+from logblocks.operators.ordering import number_rows
+from logblocks.operators.staging import broadcast_if_small, materialize, require_columns
 from logblocks.shipping import ship
 
 FIRST_LINES = 1_000_000
 REPLAY_ROWS = 50_000
-MAX_CHANGES = 2_000_000
+PLAN_TOKENS = 4_000_000
 
 CHANGES = "line_no long, tokens array<string>"
-
-CATALOG = (
-    "event_id string, cluster_id long, size long, template string, "
-    "log_template_tokens array<string>, path array<string>, first_line long"
-)
+# Known clusters have a path and, as line, their negative cluster number.
+REPORTED = CHANGES + ", path array<string>"
+# Planned rows have no cluster; clusters have one, and the line that opened them.
+REPLAYED = REPORTED + ", n int, cluster int, text string"
 
 
 def message_tokens(message, extra_delimiters: str = "_"):
@@ -55,17 +57,25 @@ def message_tokens(message, extra_delimiters: str = "_"):
 
 @dataclass
 class Seed:
-    """What a run starts from: rules, known clusters, and change lines by token count."""
+    """What a run starts from, by token count: known clusters ``(line, tokens, path)`` and change lines."""
 
     rules: Rules
-    known: list[Row]
+    known: dict[int, list[tuple]]
     changes: dict[int, tuple[np.ndarray, list[list[str]]]]
 
+    @staticmethod
+    def of(rules: Rules, rows) -> "Seed":
+        """From ``(line_no, tokens, path)`` rows in any order, each line once."""
+        known, changes = {}, {}
+        for line, tokens, path in sorted(rows, key=lambda row: (row[2] is None, abs(row[0]))):
+            (changes if path is None else known).setdefault(len(tokens), []).append((line, tokens, path))
+        split = {n: (np.array([c[0] for c in group], np.int64), [c[1] for c in group]) for n, group in changes.items()}
+        return Seed(rules, known, split)
+
     def clusters(self, n: int) -> Clusters:
         start = Clusters(n, self.rules)
-        for row in self.known:
-            if len(row.log_template_tokens) == n:
-                start.restore(row.log_template_tokens, tuple(row.path), -row.cluster_id)
+        for line, tokens, path in self.known.get(n, ()):
+            start.restore(tokens, tuple(path), line)
         return start
 
 
@@ -85,7 +95,7 @@ class _Track:
         self.at += 1
         return cluster
 
-    def assign(self, codes, words_, code_of, lines):
+    def assign(self, codes, words_, lines):
         """(cluster, text, unplanned change) for rows in line order."""
         chosen, texts = np.empty(len(lines), np.int64), np.empty(len(lines), object)
         changed = np.zeros(len(lines), bool)
@@ -105,7 +115,7 @@ class _Track:
                         i += 1
                         continue
                     j = int(np.searchsorted(lines, self.lines[self.at]))
-            chosen[i:j], texts[i:j], changed[i:j] = self.state.advance(codes[i:j], words_, code_of, lines[i:j])
+            chosen[i:j], texts[i:j], changed[i:j] = self.state.advance(codes[i:j], words_, lines[i:j])
             self.left_plan |= bool(changed[i:j].any())
             i = j
         return chosen, texts, changed
@@ -121,7 +131,6 @@ def _assigned(batches: Iterator[pa.RecordBatch], seed: Seed) -> Iterator[tuple]:
         starts = np.cumsum(counts) - counts
         coded = tokens.flatten().dictionary_encode()
         codes, vocabulary = coded.indices.to_numpy(), coded.dictionary.to_pylist()
-        code_of = {t: i for i, t in enumerate(vocabulary)}
         cluster, text = np.empty(len(lines), np.int64), np.empty(len(lines), object)
         changed = np.zeros(len(lines), bool)
         for n in np.unique(counts).tolist():
@@ -129,35 +138,59 @@ def _assigned(batches: Iterator[pa.RecordBatch], seed: Seed) -> Iterator[tuple]:
             rows = rows[np.argsort(lines[rows], kind="stable")]
             matrix = codes[starts[rows][:, None] + np.arange(n)].reshape(len(rows), n)
             track = tracks.setdefault(n, _Track(seed, n))
-            cluster[rows], text[rows], changed[rows] = track.assign(matrix, vocabulary, code_of, lines[rows])
+            cluster[rows], text[rows], changed[rows] = track.assign(matrix, vocabulary, lines[rows])
         yield batch, counts, cluster, text, changed
 
 
-def _change_lines(lines: DataFrame, seed: Seed) -> DataFrame:
-    """Lines that change the clusters of their own partition."""
+def _change_lines(lines: DataFrame, rules: Rules) -> DataFrame:
+    """Lines that change the clusters of their own partition, from scratch."""
+    fresh = Seed(rules, {}, {})
 
     def find(batches):
-        for batch, _, _, _, changed in _assigned(batches, seed):
+        for batch, _, _, _, changed in _assigned(batches, fresh):
             kept = batch.filter(pa.array(changed))
             yield pa.RecordBatch.from_arrays([kept.column("line_no"), kept.column("_tokens")], ["line_no", "tokens"])
 
     return lines.select("line_no", "_tokens").mapInArrow(find, CHANGES)
 
 
-def _replay(rows, seed: Seed) -> tuple[dict[int, Clusters], dict[int, list]]:
-    """Clusters after ``(line_no, tokens)`` rows in order, and the rows that changed them."""
-    states: dict[int, Clusters] = {}
-    kept: dict[int, list] = {}
-    for line, tokens in rows:
-        n = len(tokens)
-        if n not in states:
-            states[n], kept[n] = seed.clusters(n), []
-        if states[n].add(tokens, line)[1]:
-            kept[n].append((line, tokens))
-    return states, kept
+def _replay(rows: list[tuple], rules: Rules) -> tuple[Clusters, list[tuple]]:
+    """Clusters after ``(line_no, tokens, path)`` rows of one token count in order, and the change lines among them."""
+    seed = Seed.of(rules, rows)
+    n = len(rows[0][1])
+    state, kept = seed.clusters(n), []
+    for line, tokens in zip(*seed.changes.get(n, ((), ()))):
+        if state.add(tokens, int(line))[1]:
+            kept.append((int(line), tokens, None))
+    return state, kept
+
+
+def _rows(table: pa.Table) -> list[tuple]:
+    """The ``(line_no, tokens, path)`` rows, each line once."""
+    columns = [table[c].to_pylist() if c in table.column_names else [None] * len(table) for c in ("line_no", "tokens", "path")]
+    return list({row[0]: row for row in zip(*columns)}.values())
 
 
-def _thin(changes: DataFrame, seed: Seed) -> DataFrame:
+def _replayed(reported: DataFrame, rules: Rules) -> DataFrame:
+    """The plan and the final clusters of all reported lines, one task per token count."""
+
+    def replay(table: pa.Table) -> pa.Table:
+        rows = _rows(table)
+        n = len(rows[0][1])
+        state, kept = _replay(rows, rules)
+        planned = [row for row in rows if row[2] is not None] + kept
+        found = [(*row, n, None, None) for row in planned]
+        found += [
+            (state.first_lines[i], state.templates[i], list(state.paths[i]), n, i, state.texts[i]) for i in range(len(state.templates))
+        ]
+        kinds = [pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.int32(), pa.int32(), pa.string()]
+        names = ["line_no", "tokens", "path", "n", "cluster", "text"]
+        return pa.table([pa.array(column, kind) for column, kind in zip(zip(*found), kinds)], names=names)
+
+    return materialize(reported.groupBy(F.size("tokens").alias("_n")).applyInArrow(replay, REPLAYED), "replayed")
+
+
+def _thin(changes: DataFrame, rules: Rules) -> DataFrame:
     """Drops reported lines that change nothing when replayed together, range by range.
 
     Thinning is a saving only: a needed line that it drops is found again. The first reported
@@ -166,13 +199,8 @@ def _thin(changes: DataFrame, seed: Seed) -> DataFrame:
     reported = changes
 
     def replay(table: pa.Table) -> pa.Table:
-        table = table.sort_by("line_no")
-        rows = zip(table["line_no"].to_pylist(), table["tokens"].to_pylist())
-        _, kept = _replay(rows, seed)
-        flat = [row for group in kept.values() for row in group]
-        return pa.table(
-            {"line_no": pa.array([r[0] for r in flat], pa.int64()), "tokens": pa.array([r[1] for r in flat], pa.list_(pa.string()))}
-        )
+        _, kept = _replay(_rows(table), rules)
+        return pa.table({"line_no": pa.array([r[0] for r in kept], pa.int64()), "tokens": pa.array([r[1] for r in kept], pa.list_(pa.string()))})
 
     total = changes.count()
     while total > REPLAY_ROWS:
@@ -185,10 +213,25 @@ def _thin(changes: DataFrame, seed: Seed) -> DataFrame:
         if left > total * 0.9:
             break
         total = left
-    if changes is reported:
-        return changes
-    first = reported.groupBy(F.size("tokens").alias("_n")).agg(F.min(F.struct("line_no", "tokens")).alias("_first"))
-    return changes.unionByName(first.select("_first.line_no", "_first.tokens"))
+    if changes is not reported:
+        first = reported.groupBy(F.size("tokens").alias("_n")).agg(F.min(F.struct("line_no", "tokens")).alias("_first"))
+        changes = changes.unionByName(first.select("_first.line_no", "_first.tokens"))
+    return changes.withColumn("path", F.lit(None).cast("array<string>"))
+
+
+def _runs(plan: DataFrame, wanted: list[int] | None, most: int) -> list[list[int]]:
+    """Token counts dealt into runs of at most ``most`` planned tokens; a count above that is a run of its own."""
+    sizes = plan.groupBy("n").agg(F.sum(F.col("n") + 1).alias("tokens")).orderBy("n").collect()  # one row per token count
+    runs, room = [[]], most
+    for n, tokens in sizes:
+        if wanted is not None and n not in wanted:
+            continue
+        if tokens > room and runs[-1]:
+            runs.append([])
+            room = most
+        runs[-1].append(n)
+        room -= tokens
+    return runs
 
 
 @dataclass
@@ -211,52 +254,60 @@ def mine_templates(
     extra_delimiters: str = "_",
     prior: DataFrame | None = None,
     source: str = "",
-    max_changes: int = MAX_CHANGES,
+    plan_tokens: int = PLAN_TOKENS,
     first_lines: int = FIRST_LINES,
 ) -> Templates:
     """Clusters messages into templates in ``line_no`` order.
 
     Events are named ``E1, E2, ...`` by the first line of their cluster. With a
-    ``prior`` catalog, its clusters and event names carry on. The change lines
-    and the catalog go to every task, so a log with more than ``max_changes``
-    of them fails before that; a higher value costs memory and nothing else.
-    ``first_lines`` sets how far step 1 reads; any value gives the same result.
+    ``prior`` catalog, its clusters and event names carry on. ``plan_tokens`` bounds what
+    is broadcast at a time and ``first_lines`` how far step 1 reads; any values
+    give the same result.
     """
     require_columns(log, [message, "line_no", *keep], "log")
     spark = log.sparkSession
     ship(spark)
     rules = Rules(depth, max_children, similarity)
-    known = [] if prior is None else _bounded(prior.orderBy("cluster_id"), max_changes)
     passed = ["line_no", *[c for c in keep if c != "line_no"]]
     # one row per generator input: filters stay above it and do not split the message again
     tokens = F.explode(F.array(message_tokens(F.col(message), extra_delimiters)))
     lines = log.select(*passed, tokens.alias("_tokens"))
 
-    fresh = Seed(rules, known, {})
-    found = _thin(materialize(_change_lines(lines.where(F.col("line_no") < first_lines), fresh), "changes"), fresh)
-    planned, parts, todo = [], [], lines
+    reported = materialize(_change_lines(lines.where(F.col("line_no") < first_lines), rules), "changes")
+    reported = _thin(reported, rules)
+    if prior is not None:
+        known = prior.select((-F.col("cluster_id")).alias("line_no"), F.col("log_template_tokens").alias("tokens"), "path")
+        reported = reported.unionByName(materialize(known, "known"))
+    parts, again, front = [], None, {}
     while True:
-        before = len(planned)
-        planned, states, seed = _plan(found, planned, fresh, max_changes)
-        if parts and len(planned) == before:
-            raise RuntimeError("a round of template mining found changes but planned none of them")
-        staged = materialize(_assign(todo, passed, seed), "assigned")
+        replayed = _replayed(reported, rules)
+        plan = replayed.where(F.col("cluster").isNull())
+        runs = _runs(plan, again, plan_tokens)
+        staged = []
+        for i, run in enumerate(runs):
+            others = [n for other in runs[:i] + runs[i + 1 :] for n in other]
+            if again is None and i == 0:  # token counts without a plan go with the first run
+                todo = lines.where(~F.size("_tokens").isin(others)) if others else lines
+            else:
+                todo = lines.where(F.size("_tokens").isin(run))
+            rows = plan.where(F.col("n").isin(run)).select("line_no", "tokens", "path").collect()  # plan_tokens at most
+            staged.append(materialize(_assign(todo, passed, Seed.of(rules, [tuple(r) for r in rows])), "assigned"))
+        staged = reduce(DataFrame.unionByName, staged)
         found = staged.where(F.col("_change").isNotNull()).select("line_no", F.col("_change").alias("tokens"))
-        again = [r[0] for r in found.select(F.size("tokens")).distinct().collect()]
+        firsts = {r[0]: r[1] for r in found.groupBy(F.size("tokens")).agg(F.min("line_no")).collect()}  # one row per token count
+        if any(line <= front.get(n, -1) for n, line in firsts.items()):
+            raise RuntimeError("a round of template mining did not move on")
+        again, front = sorted(firsts), front | firsts
         if not again:
             parts.append(staged)
             break
         parts.append(staged.where(~F.col("_n").isin(again)))
-        todo = lines.where(F.size("_tokens").isin(again))
-        found = _thin(found, seed)
+        reported = reported.unionByName(_thin(found, rules))
     whole = reduce(DataFrame.unionByName, parts).drop("_change")
-    names = _event_names(states, known)
-    labels = [(n, i, name) for n, of_n in names.items() for i, name in enumerate(of_n)]
-    events = spark.createDataFrame(labels, "_n int, _cluster int, event_id string")
-    if len(labels) <= BROADCAST_MAX_ROWS:
-        events = F.broadcast(events)
-    assigned = whole.join(events, ["_n", "_cluster"]).select(*keep, "event_id", "template_at_line")
-    sizes = materialize(whole.groupBy("_n", "_cluster").agg(F.count("*").alias("_lines")), "sizes").join(events, ["_n", "_cluster"])
+    events = materialize(_events(replayed.where(F.col("cluster").isNotNull()), prior), "events")
+    names = broadcast_if_small(events.select(F.col("n").alias("_n"), F.col("cluster").alias("_cluster"), "event_id"))
+    assigned = whole.join(names, ["_n", "_cluster"]).select(*keep, "event_id", "template_at_line")
+    sizes = materialize(whole.groupBy("_n", "_cluster").agg(F.count("*").alias("_lines")).join(names, ["_n", "_cluster"]), "sizes")
     metadata = sizes.agg(
         F.coalesce(F.sum("_lines"), F.lit(0)).alias("total_lines"), F.count("*").alias("total_templates")
     ).select(
@@ -265,46 +316,39 @@ def mine_templates(
         "total_lines",
         "total_templates",
     )
-    return Templates(assigned, _catalog(spark, sizes, states, names, known), metadata)
-
-
-def _bounded(rows: DataFrame, most: int) -> list[Row]:
-    """All rows; raises when there are more than ``most``."""
-    found = rows.limit(most + 1).collect()
-    if len(found) > most:
-        raise ValueError(f"more than {most} lines change the templates; mask values first or raise max_changes")
-    return found
-
-
-def _plan(found: DataFrame, planned: list, fresh: Seed, most: int) -> tuple[list, dict[int, Clusters], Seed]:
-    """Replays old and new change lines together, in line order."""
-    new = _bounded(found, max(0, most - len(planned)))
-    rows = sorted({line: tokens for line, tokens in planned + [(r.line_no, list(r.tokens)) for r in new]}.items())
-    states, kept = _replay(rows, fresh)
-    for n in {len(r.log_template_tokens) for r in fresh.known} - set(states):
-        states[n] = fresh.clusters(n)
-    changes = {n: (np.array([r[0] for r in group], np.int64), [r[1] for r in group]) for n, group in kept.items()}
-    return rows, states, Seed(fresh.rules, fresh.known, changes)
-
-
-def _event_names(states: dict[int, Clusters], known: list[Row]) -> dict[int, list[str]]:
-    """Event names per token count, numbered by first line after the known ones."""
-    number = max([int(r.event_id[1:]) for r in known], default=0)
-    names = {n: [""] * len(s.templates) for n, s in states.items()}
-    old = {-r.cluster_id: r.event_id for r in known}
-    for first, n, i in sorted((line, n, i) for n, s in states.items() for i, line in enumerate(s.first_lines)):
-        if first in old and first < 0:
-            names[n][i] = old[first]
-        else:
-            number += 1
-            names[n][i] = f"E{number}"
-    return names
+    catalog = events.join(sizes.select("event_id", "_lines"), "event_id", "left").select(
+        "event_id",
+        F.substring("event_id", 2, 20).cast("bigint").alias("cluster_id"),
+        (F.col("size") + F.coalesce("_lines", F.lit(0))).alias("size"),
+        "template",
+        "log_template_tokens",
+        "path",
+        "first_line",
+    )
+    return Templates(assigned, catalog, metadata)
+
+
+def _events(clusters: DataFrame, prior: DataFrame | None) -> DataFrame:
+    """Clusters with their event names, numbered by first line after the known ones, and the known ones' sizes."""
+    content = [F.col("text").alias("template"), F.col("tokens").alias("log_template_tokens"), "path"]
+    last = 0 if prior is None else prior.agg(F.max(F.substring("event_id", 2, 20).cast("bigint"))).first()[0] or 0
+    new = number_rows(clusters.where(F.col("line_no") >= 0), "line_no", name="_number").select(
+        "n",
+        "cluster",
+        F.concat(F.lit("E"), (F.col("_number") + last + 1).cast("string")).alias("event_id"),
+        *content,
+        F.lit(0).cast("bigint").alias("size"),
+        F.col("line_no").alias("first_line"),
+    )
+    if prior is None:
+        return new
+    old = prior.select((-F.col("cluster_id")).alias("line_no"), "event_id", "size", "first_line")
+    return clusters.join(old, "line_no").select("n", "cluster", "event_id", *content, "size", "first_line").unionByName(new)
 
 
 def _assign(lines: DataFrame, passed: list[str], seed: Seed) -> DataFrame:
     """Kept columns, cluster, template as of the line, and the tokens of an unplanned change."""
-    shared = lines.sparkSession.sparkContext.broadcast((seed.rules._asdict(), [tuple(r) for r in seed.known], seed.changes))
-    known_fields = seed.known[0].__fields__ if seed.known else []
+    shared = lines.sparkSession.sparkContext.broadcast((seed.rules._asdict(), seed.known, seed.changes))
     schema = T.StructType(
         [lines.schema[c] for c in passed]
         + [
@@ -317,7 +361,7 @@ def _assign(lines: DataFrame, passed: list[str], seed: Seed) -> DataFrame:
 
     def assign(batches):
         rules, known, changes = shared.value
-        start = Seed(Rules(**rules), [Row(*known_fields)(*r) for r in known], changes)
+        start = Seed(Rules(**rules), known, changes)
         for batch, counts, cluster, text, changed in _assigned(batches, start):
             tokens = batch.column("_tokens")
             change = pa.nulls(len(counts), tokens.type)
@@ -329,32 +373,6 @@ def _assign(lines: DataFrame, passed: list[str], seed: Seed) -> DataFrame:
     return lines.mapInArrow(assign, schema)
 
 
-def _catalog(spark: SparkSession, sizes: DataFrame, states, names, known: list[Row]) -> DataFrame:
-    """Final templates with the number of their lines, prior runs' lines included."""
-    before = {r.event_id: r for r in known}
-    rows = []
-    for n, state in states.items():
-        for i, name in enumerate(names[n]):
-            old = before.get(name)
-            rows.append(
-                (
-                    name,
-                    int(name[1:]),
-                    old.size if old else 0,
-                    state.texts[i],
-                    state.templates[i],
-                    list(state.paths[i]),
-                    old.first_line if old else state.first_lines[i],
-                )
-            )
-    return (
-        spark.createDataFrame(rows, CATALOG)
-        .join(sizes.select("event_id", "_lines"), "event_id", "left")
-        .withColumn("size", F.col("size") + F.coalesce("_lines", F.lit(0)))
-        .drop("_lines")
-    )
-
-
 def with_final_template(assigned: DataFrame, catalog: DataFrame) -> DataFrame:
     """Adds the template text the catalog ended with."""
     final = catalog.select("event_id", F.col("template").alias("template_final"))

@@ -139,6 +139,26 @@ def test_any_column_name(spark):
     assert mine_templates(log, message="log text").catalog.first().template == "a b"
 
 
-def test_too_many_changes_is_an_error_not_a_cut(spark):
-    with pytest.raises(ValueError, match="change the templates"):
-        mine_templates(frame(spark, random_log(1, 300), 2), max_changes=5)
+def test_runs_of_token_counts_give_the_same_result(spark):
+    """A plan beyond the broadcast bound goes out in several runs."""
+    messages = random_log(1, 600)
+    expected, final = one_by_one(messages)
+    log = frame(spark, messages, 3)
+    assert mined(mine_templates(log, plan_tokens=5)) == expected
+    first = mine_templates(log.where("line_no < 300"), plan_tokens=1)
+    second = mine_templates(log.where("line_no >= 300"), prior=first.catalog, plan_tokens=30)
+    assert mined(first) + mined(second) == expected
+    assert {r.event_id: r.template for r in second.catalog.collect()} == {f"E{i + 1}": t for i, t in enumerate(final)}
+
+
+def test_crowded_leaf(spark):
+    """4,000 unlike lines under one leaf, all clusters of their own."""
+    messages = [f"start {' '.join(f'v{i}x{j}' for j in range(6))}" for i in range(4000)]
+    result = mine_templates(frame(spark, messages, 4))
+    assert mined(result) == [(f"E{i + 1}", m) for i, m in enumerate(messages)]
+
+
+def test_empty_log(spark):
+    result = mine_templates(frame(spark, ["a b"], 1).where("line_no > 5"))
+    assert result.assigned.count() == 0 and result.catalog.count() == 0
+    assert tuple(result.metadata.select("total_lines", "total_templates").first()) == (0, 0)
