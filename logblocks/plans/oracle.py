@@ -237,8 +237,122 @@ _BASE = (
 )
 
 
-def _with(select: str) -> str:
-    return "with " + ",\n".join(f"{name} as ({body})" for name, body in _BASE) + "\n" + select
+# The isolation forest of the labelled blocks, all trees of it. Draws are SplitMix64 of (seed, tree, node).
+_TREES, _SEED, _SHARE, _WORD = 100, 42, 0.75, 1 << 64
+
+
+def _mixed(value: str) -> str:
+    """SplitMix64 of a number below 2^64, as SQL; the list only names each step's result."""
+    text = f"[(({value})::uhugeint + 11400714819323198485::uhugeint) % {_WORD}::uhugeint]"
+    for shift, factor in ((30, 13787848793156543929), (27, 10723151780598845931), (31, 1)):
+        text = f"list_transform({text}, lambda v: (xor(v, v // {1 << shift}::uhugeint) * {factor}::uhugeint) % {_WORD}::uhugeint)"
+    return f"({text})[1]"
+
+
+def _draw(stream: int, tree: str, item: str) -> str:
+    """A number in [0, 1) per (tree, item)."""
+    start = _mixed(f"xor(({tree})::uhugeint, {_mixed(str(_SEED * 16 + stream))})")
+    return f"(({_mixed(f'xor({start}, {_mixed(item)})')} // 2048::uhugeint)::double / {1 << 53}::double)"
+
+
+_PATH = "case when s <= 1 then 0.0::double when s <= 2 then 1.0::double else 2.0::double * (ln(s - 1) + 0.5772156649::double) - 2.0::double * (s - 1) / s end"
+
+_FOREST = (
+    (
+        "block_vecs",
+        """select block_id, string_agg(idx || ':' || cnt, ' ' order by idx) as vec from counts join vocab on event = event_id
+           where block_id in (select block_id from labelled) group by block_id""",
+    ),
+    ("vecs", "select vec, count(*) filter (part = 'fit') as weight, row_number() over (order by vec) as v from block_vecs left join cal using (block_id) group by vec"),
+    ("forest_size", "select sum(weight)::double as s, ceil(log2(greatest(sum(weight), 2)))::bigint as depth_limit from vecs"),
+    (
+        "forest_cells",
+        """select v, weight, idx as feature, coalesce(list_filter(string_split(vec, ' '), lambda e: starts_with(e, idx || ':'))[1], '0:0') as cell
+           from vecs, vocab""",
+    ),
+    ("vals", "select v, weight, feature, string_split(cell, ':')[2]::double as value from forest_cells"),
+    (
+        "allowed",
+        f"""select tree, feature from (select tree, feature, row_number() over (partition by tree order by u, feature) as place
+           from (select tree, idx as feature, {_draw(0, 'tree', 'idx')} as u from range({_TREES}) t(tree), vocab))
+           where place <= greatest(1, floor({_SHARE}::double * (select count(*) from vocab)))""",
+    ),
+    (
+        "walk",
+        f"""select tree, 1::bigint as node, v, 0::bigint as depth from range({_TREES}) t(tree), vecs
+           union all
+           select w.tree, 2 * w.node + (x.value > c.cut)::bigint, w.v, w.depth + 1
+           from walk w join (
+             select tree, node, r[p].feature as feature, case when r[p].low + u * (r[p].high - r[p].low) >= r[p].high then r[p].low
+               else r[p].low + u * (r[p].high - r[p].low) end as cut
+             from (select tree, node, r, least(floor({_draw(1, 'tree', 'node')} * len(r))::bigint, len(r) - 1) + 1 as p, {_draw(2, 'tree', 'node')} as u
+               from (select tree, node, list({{'feature': feature, 'low': low, 'high': high}} order by feature) as r
+                 from (select w.tree, w.node, a.feature, min(x.value) as low, max(x.value) as high
+                   from walk w join allowed a on a.tree = w.tree join vals x on x.v = w.v and x.feature = a.feature
+                   where x.weight > 0 and w.depth < (select depth_limit from forest_size)
+                   group by w.tree, w.node, a.feature having min(x.value) < max(x.value))
+                 group by tree, node))
+           ) c on c.tree = w.tree and c.node = w.node join vals x on x.v = w.v and x.feature = c.feature""",
+    ),
+    ("node_sizes", "select tree, node, sum(weight) as s from walk join vecs using (v) group by tree, node"),
+    ("ends", "select tree, v, max(node) as node, max(depth) as depth from walk group by tree, v"),
+    ("paths", f"select v, sum(depth + {_PATH}) as path from ends join node_sizes using (tree, node) group by v"),
+    ("raw", f"select v, weight, -pow(2.0::double, -path / ({_TREES} * (select {_PATH} from forest_size))) as score from paths join vecs using (v)"),
+    (
+        "forest_cut",
+        """select a + (b - a) * (place - floor(place)) as cut from (
+           select place, min(score) filter (upto > floor(place)) as a, min(score) filter (upto > ceil(place)) as b
+           from (select score, sum(weight) over (order by score) as upto from raw where weight > 0),
+             (select greatest(sum(label) / count(*), 1e-6::double) * (count(*) - 1) as place
+              from labelled join cal using (block_id) where part = 'fit') group by place)""",
+    ),
+    (
+        "forest_scores",
+        """select block_id, label, is_test, first_line, score - cut as anomaly_score
+           from block_vecs join (select vec, v from vecs) using (vec) join (select v, score from raw) using (v) join split using (block_id)
+           join (select block_id, first_line from labelled) using (block_id), forest_cut""",
+    ),
+    (
+        "forest_curve",
+        """select score, (sum(pos) over w)::bigint as tp, (sum(n) over w)::bigint as n_flagged, (sum(pos) over ())::bigint as p from (
+           select anomaly_score as score, sum(label) as pos, count(*) as n from forest_scores join cal using (block_id)
+           where part = 'calibration' group by 1) window w as (order by score rows unbounded preceding)""",
+    ),
+    (
+        "forest_threshold",
+        """select score as decision_threshold from (select score, n_flagged, tp / n_flagged as "precision", case when p > 0 then tp / p else 1.0 end as recall
+           from forest_curve)
+           order by ("precision" >= 0.75::double) desc,
+             5.0::double * "precision" * recall / greatest(4.0::double * "precision" + recall, 1e-12::double) desc, n_flagged desc limit 1""",
+    ),
+    (
+        "forest_preds",
+        """select *, case when anomaly_score < decision_threshold then 1 else 0 end as prediction from forest_scores, forest_threshold""",
+    ),
+    (
+        "forest_per_class",
+        """select c.cls, c.class, count(*) filter (label = cls and prediction = cls) as tp, count(*) filter (prediction = cls) as predicted,
+           count(*) filter (label = cls) as support
+           from (select label, prediction from forest_preds where is_test), (values (0,'Normal'),(1,'Anomaly')) c(cls, class) group by c.cls, c.class""",
+    ),
+    (
+        "forest_class_rows",
+        """select cls, class, case when predicted > 0 then tp / predicted else 0.0::double end as "precision",
+           case when support > 0 then tp / support else 0.0::double end as recall,
+           case when predicted + support > 0 then 2 * tp / (predicted + support) else 0.0::double end as f1, tp, support from forest_per_class""",
+    ),
+    (
+        "forest_sums",
+        """select sum(support)::bigint as total, sum(tp) / sum(support) as hit, avg("precision") as mp, avg(recall) as mr, avg(f1) as mf,
+           sum("precision" * support) / sum(support) as wp, sum(recall * support) / sum(support) as wr, sum(f1 * support) / sum(support) as wf
+           from forest_class_rows""",
+    ),
+)
+
+
+def _with(select: str, more: tuple = ()) -> str:
+    parts = [f"{name} as ({body})" for name, body in _BASE + more]
+    return f"with {'recursive ' if more else ''}" + ",\n".join(parts) + "\n" + select
 
 
 _THRESHOLD = "select * from threshold"
@@ -356,6 +470,27 @@ _SELECTS = {
 }
 
 
+_FOREST_SELECTS = {
+    "iforest_scores": """select block_id, label, is_test, round(anomaly_score, 9) + 0.0::double as anomaly_score,
+        case when anomaly_score < 0 then -1 else 1 end as if_class, case when anomaly_score < 0 then 1 else 0 end as native_prediction from forest_scores""",
+    "iforest_predictions": """select block_id, prediction, round(anomaly_score, 9) + 0.0::double as anomaly_score,
+        round(decision_threshold, 9) + 0.0::double as decision_threshold, 'lower' as score_direction, 'isolation-forest' as algorithm from forest_preds""",
+    "iforest_test_report": """select class, round("precision", 9) as "precision", round(recall, 9) as recall, round(f1, 9) as f1, support from (
+        select class, "precision", recall, f1, support from forest_class_rows
+        union all select 'accuracy', hit, hit, hit, total from forest_sums
+        union all select 'macro avg', mp, mr, mf, total from forest_sums
+        union all select 'weighted avg', wp, wr, wf, total from forest_sums)""",
+    "detected_incidents": """select rank, block_id, severity, anomaly_score, line_rank, line from (
+        select row_number() over (order by decision_threshold - anomaly_score desc, first_line) as rank, block_id,
+          round(decision_threshold - anomaly_score, 9) + 0.0::double as severity, round(anomaly_score, 9) + 0.0::double as anomaly_score
+        from forest_preds where prediction = 1) left join (
+        select block_id, row_number() over (partition by block_id order by line_no) as line_rank, line from mentions
+        where block_id in (select block_id from forest_preds where prediction = 1)) using (block_id)
+        where rank <= 20 and coalesce(line_rank, 0) <= 5""",
+}
+
+
 def statements() -> dict[str, str]:
     """SQL per query; queries without a twin are checked against brute force in the tests."""
-    return {name: _with(select) for name, select in _SELECTS.items()}
+    plain = {name: _with(select) for name, select in _SELECTS.items()}
+    return plain | {name: _with(select, _FOREST) for name, select in _FOREST_SELECTS.items()}
