@@ -2,20 +2,25 @@
 
 A table that is read more than once is written as Parquet under the folder the
 cluster names in ``spark.checkpoint.dir``. The files outlive any executor, so a
-lost executor costs a re-read, not a recomputation.
+lost executor costs a re-read, not a recomputation. They stay until the session's ``clear`` or the
+end of the ``scope`` around the work that wrote them.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 128 << 20
 
 _local_root: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -32,7 +37,51 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
-    return f"{staging_root(spark)}/logblocks/{name}-{uuid.uuid4().hex}"
+    path = f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+def _session_folder(spark: SparkSession) -> str:
+    return f"{staging_root(spark)}/logblocks/{spark.sparkContext.applicationId}"
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) as Spark itself reaches them."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()), found
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, found = hadoop_path(spark, path)
+    files.delete(found, True)
+
+
+@contextmanager
+def scope(spark: SparkSession):
+    """Deletes the tables staged inside when it ends; write the result before that."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _delete(spark, path)
+
+
+@contextmanager
+def published():
+    """Tables staged inside outlive the scope around it."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        _scopes.pop()
+
+
+def clear(spark: SparkSession) -> None:
+    """Deletes all that this session staged."""
+    _delete(spark, _session_folder(spark))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -43,13 +92,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def _width(field: T.StructField) -> Column:
+    """About the bytes of one value."""
+    column, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.octet_length(column)
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+        return F.size(column) * 8
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return F.octet_length(F.to_json(F.struct(column)))
+    return F.lit(8)
+
+
+def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows of ``max_bytes`` together; reads no more rows than that."""
+    width = sum((F.coalesce(_width(f), F.lit(0)) for f in df.schema.fields), F.lit(0))
+    rows, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
+    return rows <= max_rows and size <= max_bytes
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint behind a row count; a larger side keeps its shuffle join."""
+    """Broadcast hint behind a count of rows and bytes; a larger side keeps its shuffle join."""
     return F.broadcast(df) if fits(df, max_rows) else df
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from logblocks.functions.text import first_block_id
 from logblocks.operators import calibrate, features, score, sequences, splits
-from logblocks.operators.staging import materialize
+from logblocks.operators.staging import hadoop_path, materialize, published
 from logblocks.operators.templates import Templates, mine_templates
 from logblocks.plans import detect, logview
 
@@ -19,10 +19,15 @@ _built: dict[tuple, object] = {}
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, build):
+    """Built again when the events table has changed."""
+    files, path = hadoop_path(spark, f"{sf_dir}/events.parquet")
+    status, content = files.getFileStatus(path), files.getContentSummary(path)
+    state = (status.getModificationTime(), content.getFileCount(), content.getLength())
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _built:
-        _built[key] = build()
-    return _built[key]
+    if _built.get(key, (None,))[0] != state:
+        with published():
+            _built[key] = (state, build())
+    return _built[key][1]
 
 
 def forget() -> None:

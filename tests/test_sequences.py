@@ -135,3 +135,31 @@ def test_broadcast_only_behind_a_count(spark):
     hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
     assert hinted(broadcast_if_small(spark.range(10), 10))
     assert not hinted(broadcast_if_small(spark.range(11), 10))
+
+
+def staged_folders(spark):
+    from pathlib import Path
+
+    from logblocks.operators import staging
+
+    folder = Path(staging._session_folder(spark))
+    return {p.name for p in folder.iterdir()} if folder.exists() else set()
+
+
+def test_a_scope_leaves_no_staged_table(spark):
+    from logblocks.operators.staging import published, scope
+
+    before = staged_folders(spark)
+    with scope(spark):
+        assert materialize(spark.range(3).toDF("a"), "x").count() == 3
+        assert len(staged_folders(spark)) == len(before) + 1
+        with published():
+            kept = materialize(spark.range(4).toDF("a"), "y")
+    assert len(staged_folders(spark) - before) == 1 and kept.count() == 4
+
+
+def test_broadcasts_are_bounded_by_rows_and_bytes(spark):
+    from logblocks.operators.staging import fits
+
+    wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"), F.array(F.lit("é"), F.lit(None)).alias("a"), F.lit(None).alias("n"))
+    assert fits(wide, 10) and not fits(wide, 9) and not fits(wide, 10, 10_000) and fits(wide.limit(0), 0, 0)
