@@ -49,6 +49,35 @@ def pick(seed: int, tree, node, choices) -> np.ndarray:
     return np.minimum((uniform(seed, 1, tree, node) * choices).astype(np.int64), np.asarray(choices) - 1)
 
 
+def hypergeometric(good: int, total: int, drawn: int, chance: float) -> int:
+    """How many of ``drawn`` rows out of ``total`` are among the ``good`` ones, at the given chance in [0, 1).
+
+    The distribution is summed outward over 12 standard deviations around its mean from the ratios of
+    neighbouring probabilities; beyond lies less than a double can tell.
+    """
+    least, most = max(0, drawn - (total - good)), min(good, drawn)
+    mean = drawn * (good / total)
+    spread = 12 * np.sqrt(mean * (1 - good / total) * (total - drawn) / max(total - 1, 1)) + 20
+    first, last = max(least, int(mean - spread)), min(most, int(mean + spread))
+    x = np.arange(first, last, dtype=np.float64)
+    up = np.log((good - x) * (drawn - x)) - np.log((x + 1) * (total - good - drawn + x + 1))
+    upto = np.concatenate([[0.0], np.cumsum(up)])
+    upto = np.cumsum(np.exp(upto - upto.max()))
+    return first + min(int(np.searchsorted(upto, chance * upto[-1], side="right")), len(upto) - 1)
+
+
+def deal(weights: np.ndarray, drawn: int, chances: np.ndarray) -> np.ndarray:
+    """``drawn`` rows without replacement from groups of the given sizes: rows per group."""
+    taken = np.zeros(len(weights), np.int64)
+    left = int(weights.sum())
+    for i, (weight, chance) in enumerate(zip(weights.tolist(), chances.tolist())):
+        if not drawn:
+            break
+        taken[i] = hypergeometric(weight, left, drawn, chance)
+        drawn, left = drawn - int(taken[i]), left - weight
+    return taken
+
+
 def average_path(size) -> np.ndarray:
     """Expected path length below an unsplit leaf of ``size`` rows."""
     size = np.asarray(size, np.float64)

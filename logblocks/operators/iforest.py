@@ -13,18 +13,19 @@ from dataclasses import asdict, dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logblocks.functions import trees
 from logblocks.operators.ordering import running_sums
-from logblocks.operators.staging import BROADCAST_MAX_ROWS, broadcast_if_small, materialize
+from logblocks.operators.staging import broadcast_if_small, materialize
 from logblocks.shipping import ship
 
 AUTO_SAMPLES = 256
 GROW_ROWS = 200_000
-HASH_CELLS = 4096
+DRAW_CELLS = 4096
+CELL_VECTORS = 64
 BROADCAST_NODES = 2_000_000
 MATRIX_CELLS = 4_000_000
 
@@ -57,33 +58,40 @@ def _with_trees(rows: DataFrame, n_trees: int) -> DataFrame:
     return rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
 
 
-def draw_samples(rows: DataFrame, key: str, total: int, size: int, n_trees: int, seed: int) -> DataFrame:
-    """Exactly ``size`` rows per tree without replacement, as ``(tree, idxs, cnts, weight)``.
+def draw_samples(whole: DataFrame, total: int, size: int, params: ForestParams) -> DataFrame:
+    """Exactly ``size`` of ``total`` rows per tree without replacement, as ``(tree, idxs, cnts, weight)``.
 
-    The rows with the smallest hash of (seed, tree, key) are taken. For a small
-    sample only hashes below a loose bound are ranked; a tree that comes out
-    short (practically never) makes the draw rank all rows.
+    ``whole`` holds the distinct vectors with their multiplicities. A tree's rows are first dealt to hash cells
+    of vectors, then inside each cell to its vectors, by hypergeometric draws. So only distinct vectors
+    move, and a cell without drawn rows moves none.
     """
-    hashed = _with_trees(rows.select(key, "idxs", "cnts"), n_trees).withColumn("_h", F.xxhash64(F.lit(seed), "tree", key))
-
-    def ranked(candidates: DataFrame) -> DataFrame:
-        celled = candidates.withColumn("_cell", F.shiftright("_h", 64 - HASH_CELLS.bit_length() + 1))
-        before = Window.partitionBy("tree").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-        cells = celled.groupBy("tree", "_cell").agg(F.count("*").alias("_n"))
-        offsets = cells.select("tree", "_cell", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
-        inside = Window.partitionBy("tree", "_cell").orderBy("_h", key)
-        if n_trees * HASH_CELLS <= BROADCAST_MAX_ROWS:
-            offsets = F.broadcast(offsets)  # at most HASH_CELLS rows per tree
-        kept = celled.join(offsets, ["tree", "_cell"]).where(F.col("_o") < size)
-        return kept.withColumn("_rank", F.row_number().over(inside) + F.col("_o")).where(F.col("_rank") <= size)
-
-    share = (size + 8 * size**0.5 + 32) / total
-    if share < 0.5:
-        bound = int(share * 2**64) - 2**63
-        sample = materialize(ranked(hashed.where(F.col("_h") < bound)), "sample")
-        if sample.count() == size * n_trees:
-            return sample.groupBy("tree", "idxs", "cnts").agg(F.count("*").alias("weight"))
-    return ranked(hashed).groupBy("tree", "idxs", "cnts").agg(F.count("*").alias("weight"))
+    cells = min(DRAW_CELLS, -(-whole.count() // CELL_VECTORS))
+    hashed = whole.withColumn("_h", F.xxhash64("idxs", "cnts")).withColumn("cell", F.pmod("_h", F.lit(cells)).cast("int"))
+    sums = hashed.groupBy("cell").agg(F.sum("weight").alias("n")).orderBy("cell").collect()  # at most DRAW_CELLS rows
+    number, rows = np.array([c.cell for c in sums]), np.array([c.n for c in sums], np.int64)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for tree in batch.column(0).to_pylist():
+                taken = trees.deal(rows, size, trees.uniform(params.seed, 3, np.full(len(rows), tree), number))
+                used = taken > 0
+                yield pa.RecordBatch.from_pydict(
+                    {"tree": np.full(used.sum(), tree, np.int32), "cell": number[used].astype(np.int32), "taken": taken[used]}
+                )
+
+    def draw(table: pa.Table) -> pa.Table:
+        table = table.sort_by("_h")
+        tree = np.full(len(table), table["tree"][0].as_py(), np.int32)
+        chance = trees.uniform(params.seed, 4, tree, table["_h"].to_numpy().view(np.uint64))
+        weight = trees.deal(table["weight"].to_numpy(), table["taken"][0].as_py(), chance)
+        found = pa.table([pa.array(tree), table["idxs"], table["cnts"], pa.array(weight)], names=["tree", "idxs", "cnts", "weight"])
+        return found.filter(pa.array(weight > 0))
+
+    spark = whole.sparkSession
+    dealt = materialize(spark.range(params.n_trees).mapInArrow(deal, "tree int, cell int, taken long"), "dealt")
+    kinds = {f.name: f.dataType.simpleString() for f in whole.schema}
+    schema = f"tree int, idxs {kinds['idxs']}, cnts {kinds['cnts']}, weight long"
+    return hashed.join(broadcast_if_small(dealt), "cell").groupBy("tree", "cell").applyInArrow(draw, schema)
 
 
 def _matrix(table, n_features: int) -> np.ndarray:
@@ -182,7 +190,7 @@ def _draw_splits(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.Re
         )
 
 
-def grow_forest(vectors: DataFrame, n_features: int, params: ForestParams, key: str = "block_id", grow_rows: int = GROW_ROWS) -> tuple[DataFrame, int]:
+def grow_forest(vectors: DataFrame, n_features: int, params: ForestParams, grow_rows: int = GROW_ROWS) -> tuple[DataFrame, int]:
     """(node table, rows per tree)."""
     ship(vectors.sparkSession)
     whole = materialize(distinct_vectors(vectors), "distinct")
@@ -191,7 +199,7 @@ def grow_forest(vectors: DataFrame, n_features: int, params: ForestParams, key:
     if size >= total:
         sample, largest = _with_trees(whole, params.n_trees), whole.count()
     else:
-        sample = materialize(draw_samples(vectors, key, total, size, params.n_trees, params.seed), "sample")
+        sample = materialize(draw_samples(whole, total, size, params), "sample")
         largest = sample.groupBy("tree").count().agg(F.max("count")).first()[0]
     grow = _grow_in_tasks if largest <= grow_rows else _grow_by_level
     return materialize(grow(sample, n_features, params, trees.depth_limit(size)), "nodes"), size
@@ -336,9 +344,9 @@ def _lists(column: pa.ListArray) -> Iterator[np.ndarray]:
     return iter(np.split(flat, ends[:-1])) if len(ends) else iter(())
 
 
-def fit_forest(vectors: DataFrame, n_features: int, params: ForestParams, key: str = "block_id") -> ForestModel:
+def fit_forest(vectors: DataFrame, n_features: int, params: ForestParams) -> ForestModel:
     """Grows the forest and sets the cut at the contamination share of its own rows."""
-    nodes, size = grow_forest(vectors, n_features, params, key)
+    nodes, size = grow_forest(vectors, n_features, params)
     model = ForestModel(nodes, n_features, size, params)
     if params.contamination is not None:
         rows = materialize(model.prefix_scores(distinct_vectors(vectors), [params.n_trees]).select("scores", "weight"), "fit-scores")

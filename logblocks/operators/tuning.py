@@ -61,7 +61,7 @@ def grid_search(
 
     def scored(features: float, samples, k: int) -> dict[tuple, float]:
         params = ForestParams(sizes[-1], samples, features, None, seed)
-        nodes, drawn = grow_forest(rows.where(F.col("fold") != k), n_features, params, key)
+        nodes, drawn = grow_forest(rows.where(F.col("fold") != k), n_features, params)
         model = ForestModel(nodes, n_features, drawn, params)
         scores = materialize(model.prefix_scores(cells, sizes), "fold-scores")
         columns = [F.col("scores")[i] for i in range(len(sizes))]

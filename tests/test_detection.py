@@ -157,6 +157,18 @@ def test_every_tree_draws_its_exact_sample(spark, samples, size):
     assert drawn == size and {r["size"] for r in nodes.where("node = 1").collect()} == {size}
 
 
+def test_draws_follow_the_multiplicities():
+    draw = np.random.default_rng(4)
+    weights = np.array([500, 3, 1, 0, 96, 400])
+    found = np.array([trees.deal(weights, 200, draw.random(6)) for _ in range(4000)])
+    assert (found.sum(axis=1) == 200).all() and (found <= weights).all() and (found >= 0).all()
+    assert np.abs(found.mean(axis=0) - weights / 5).max() < 0.5
+    spread = np.sqrt(200 * (weights / 1000) * (1 - weights / 1000) * 800 / 999)
+    assert np.abs(found.std(axis=0) - spread).max() < 0.3
+    assert (trees.deal(weights, 1000, draw.random(6)) == weights).all()
+    assert abs(trees.hypergeometric(10**11, 3 * 10**11, 6 * 10**10, 0.5) - 2 * 10**10) < 10**4
+
+
 def test_walks_agree(spark, monkeypatch):
     vectors = cloud(spark)
     nodes, size = grow_forest(vectors, 6, ForestParams(6, 64, 0.75, None))
