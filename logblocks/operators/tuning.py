@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
 from itertools import product
 from multiprocessing.pool import ThreadPool
 
@@ -10,7 +9,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logblocks.operators.iforest import ForestModel, ForestParams, fit_forest, grow_forest, weighted_quantiles
+from logblocks.operators.iforest import ForestModel, ForestParams, grow_forest, weighted_quantiles
 from logblocks.operators.staging import materialize
 from logblocks.shipping import ship
 
@@ -97,8 +96,3 @@ def _f1_at(test: DataFrame, cuts: list[list[float]]) -> list[list[float]]:
     f1 = [2 * hit / (flagged + total) if flagged + total else 0.0 for hit, flagged in zip(found[::2], found[1::2])]
     width = len(cuts[0])
     return [f1[i * width : (i + 1) * width] for i in range(len(cuts))]
-
-
-def refit(vectors: DataFrame, n_features: int, best: ForestParams, **changes) -> ForestModel:
-    """The chosen setting on all training rows."""
-    return fit_forest(vectors, n_features, replace(best, **changes))

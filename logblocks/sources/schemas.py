@@ -1,8 +1,6 @@
 """Schemas of the tables that pass between the stages."""
 
 PARSED = "timestamp long, pid int, severity string, component string, message string"
-LABELS = "BlockId string, Label string"
-VOCABULARY = "event string, idx int"
 THRESHOLD = (
     "algorithm string, score_threshold double, score_direction string, "
     "calibration_metrics struct<precision: double, recall: double, f1: double, f_beta: double>, "
