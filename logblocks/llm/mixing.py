@@ -12,8 +12,8 @@
    start, going round. A document takes the words of its range that the run covers.
 
 All of it is DataFrame functions. Shards hold about ``shard_docs`` documents by hash of the id, so a
-source with a third of all rows is as many shards. Windows run over one shard, over one row per
-shard of a source, or over one row per source.
+source with a third of all rows is as many shards. Windows run over one shard or over one row per
+source; the quotients of a source's shards, however many, are ranked by a range sort.
 
 A null text has size 0; a null source is a source of its own, last in order. A document of size 0
 takes 0. Rows that repeat a doc_id are documents of their own (in the order of their sizes). An empty table gives an empty result.
@@ -27,6 +27,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from logblocks.llm.common import WORD, join_null_safe, whole
+from logblocks.operators.ordering import number_rows
 from logblocks.operators.staging import broadcast_if_small, materialize
 
 WEIGHTS = (5, 2, 1)
@@ -74,28 +75,39 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs:
 def apportion(parties: DataFrame, group: list[str], key: str, claim: str, seats: str, most: str) -> DataFrame:
     """Sainte-Lague: ``quota`` of the ``seats`` of each group for every party, at most ``most`` each.
 
-    ``claim`` is a party's share, ``seats`` the group's number of blocks. Rows of one group need one task.
+    ``claim`` is a party's share, ``seats`` the group's number of blocks. Sums are aggregates and quotients
+    are ranked by a range sort, so a group of any size is many tasks' work. ``parties`` is a written table.
     """
-    own = W.partitionBy(*(group or [F.lit(1)]))
-    sums = parties.withColumn("_claims", F.sum(claim).over(own)).withColumn("_n", F.count(F.lit(1)).over(own))
+    columns = parties.columns
+    if not group:
+        group, parties = ["_all"], parties.withColumn("_all", F.lit(0))
+
+    def per_group(df, *aggregates):
+        return broadcast_if_small(materialize(df.groupBy(*group).agg(*aggregates), "mix-totals"))
+
+    totals = per_group(parties, F.sum(claim).alias("_claims"), F.count(F.lit(1)).alias("_n"))
+    sums = join_null_safe(parties, totals, group)
     exact = F.when(F.col("_claims") > 0, F.col(claim) / F.col("_claims") * F.col(seats)).otherwise(F.lit(0.0))
     # The final divisor moves a party's exact share by at most n/2 * claim/claims; rounding by 1/2.
     reach = F.when(F.col("_claims") > 0, F.col("_n") / 2 * F.col(claim) / F.col("_claims")).otherwise(F.lit(0.0)) + 1
-    sums = (
-        sums.withColumn("_sure", F.greatest(F.lit(0), F.least(F.col(most), F.floor(exact - reach))).cast("long"))
-        .withColumn("_last", F.least(F.col(most), F.ceil(exact + reach)).cast("long"))
-        .withColumn("_left", F.col(seats) - F.sum("_sure").over(own))
-    )
-    tries = sums.withColumn(
-        "_seat", F.explode(F.when(F.col("_last") > F.col("_sure"), F.sequence("_sure", F.col("_last") - 1)).otherwise(F.array()))
-    )
-    best = own.orderBy(F.desc(F.col(claim) / (2 * F.col("_seat") + 1)), F.col(key).isNull(), key)
-    won = tries.withColumn("_place", F.row_number().over(best)).where(F.col("_place") <= F.col("_left"))
+    sums = sums.withColumn("_sure", F.greatest(F.lit(0), F.least(F.col(most), F.floor(exact - reach))).cast("long"))
+    sums = sums.withColumn("_last", F.least(F.col(most), F.ceil(exact + reach)).cast("long"))
+    sums = materialize(sums.drop("_claims", "_n"), "mix-parties")
+    tries = sums.select(
+        *group,
+        key,
+        claim,
+        F.explode(F.when(F.col("_last") > F.col("_sure"), F.sequence("_sure", F.col("_last") - 1)).otherwise(F.array())).alias("_seat"),
+    ).withColumn("_quotient", F.col(claim) / (2 * F.col("_seat") + 1))
+    order = [F.col(g) for g in group] + [F.desc("_quotient"), F.col(key).isNull(), F.col(key), F.col("_seat")]
+    ranked = materialize(number_rows(tries, *order, name="_place"), "mix-ranked")
+    left = per_group(sums, (F.first(seats) - F.sum("_sure")).alias("_left"))
+    first = per_group(ranked, F.min("_place").alias("_first"))
+    ranked = join_null_safe(join_null_safe(ranked, left, group), first, group)
+    won = ranked.where(F.col("_place") - F.col("_first") < F.col("_left"))
     more = won.groupBy(*group, key).agg(F.count(F.lit(1)).alias("_won"))
     joined = join_null_safe(sums, more, [*group, key], "left")
-    return joined.withColumn("quota", F.col("_sure") + F.coalesce("_won", F.lit(0).cast("long"))).select(
-        *parties.columns, "quota"
-    )
+    return joined.withColumn("quota", F.col("_sure") + F.coalesce("_won", F.lit(0).cast("long"))).select(*columns, "quota")
 
 
 def _covered(upto: Column) -> Column:
@@ -126,7 +138,7 @@ def mix(
     plan = targets(sources.drop("n_docs"), weights, max_epochs, share)
     plan = plan.withColumn("blocks", F.round(F.sum("target").over(W.partitionBy(F.lit(1))) / block_words).cast("long"))
     plan = plan.withColumn("most", F.floor(F.col("source_size") * max_epochs / block_words))
-    plan = apportion(plan, [], "source", "target", "blocks", "most").withColumnRenamed("quota", "source_blocks")
+    plan = apportion(materialize(plan, "mix-targets"), [], "source", "target", "blocks", "most").withColumnRenamed("quota", "source_blocks")
     counts = sources.select("source", F.ceil(F.col("n_docs") / shard_docs).alias("shards"))
     plan = join_null_safe(plan, counts, ["source"])
     plan = materialize(plan.select("source", "source_size", "target", "source_blocks", "shards"), "mix-plan")
@@ -135,7 +147,7 @@ def mix(
     placed = placed.withColumn("shard", F.pmod(seeded(F.col("doc_id"), seed=seed), F.col("shards")))
     shards = placed.groupBy("source", "shard", "source_blocks").agg(F.sum("size").alias("shard_size"))
     shards = shards.withColumn("most", F.floor(F.col("shard_size") * max_epochs / block_words))
-    quotas = apportion(shards, ["source"], "shard", "shard_size", "source_blocks", "most")
+    quotas = apportion(materialize(shards, "mix-shards"), ["source"], "shard", "shard_size", "source_blocks", "most")
     words = F.col("quota") * block_words
     n_blocks = F.greatest(F.lit(1), F.ceil(F.col("shard_size") / block_words))
     quotas = quotas.select(
