@@ -90,8 +90,12 @@ def fit_logistic(rows: list[np.ndarray], ratio: np.ndarray, label: np.ndarray, l
     cols = np.concatenate(rows) if n else np.zeros(0, np.int64)
     owner = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
     value = ratio[cols]
-    # Scaling by the mean squared length bounds the curvature of the mean loss.
-    curve = 0.25 * (1 + max(np.bincount(owner, value**2, n).max(initial=0.0), 1e-9))
+    # Diagonal majorizer: the Hessian of the mean loss is at most that of sum |x_ij| * |x_i|, feature by feature,
+    # so a few very long documents slow down their own features only.
+    size = np.abs(value)
+    length = 1 + np.bincount(owner, size, n)
+    curve = 0.25 * np.bincount(cols, size * length[owner], len(ratio)) / max(n, 1) + l2 / max(n, 1)
+    curve_b = 0.25 * length.sum() / max(n, 1) + 1e-9
     w, b = np.zeros(len(ratio)), 0.0
     w_old, b_old = w, b
     for k in range(rounds):
@@ -101,7 +105,7 @@ def fit_logistic(rows: list[np.ndarray], ratio: np.ndarray, label: np.ndarray, l
         gap = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - label
         w_old, b_old = w, b
         w = v - (np.bincount(cols, gap[owner] * value, len(ratio)) / n + l2 / n * v) / curve
-        b = c - gap.mean() / curve
+        b = c - gap.mean() / curve_b
     return w, b
 
 

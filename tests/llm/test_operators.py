@@ -211,6 +211,17 @@ def test_apportionment_is_sainte_lague(spark):
     assert got == {k: sum(1 for _, x in order if x == k) for k in claims}
 
 
+def test_apportionment_of_groups_with_ties_and_limits(spark):
+    rng = random.Random(6)
+    rows = [(g, k, rng.choice([0, 7, 7, 90]), {"a": 500, None: 41, "z": 0}[g], 40) for g in ("a", None, "z") for k in (*range(200 if g == "a" else 9), None)]
+    df = spark.createDataFrame(rows, "g string, k int, c long, s long, m long")
+    got = {(r["g"], r["k"]): r["quota"] for r in mixing.apportion(df, ["g"], "k", "c", "s", "m").collect()}
+    for g in ("a", None, "z"):
+        mine = [r for r in rows if r[0] == g]
+        order = sorted((-c / (2 * i + 1), k is None, k or 0, k) for _, k, c, _, m in mine for i in range(m) if c)[: mine[0][3]]
+        assert {r[1]: got[g, r[1]] for r in mine} == {r[1]: sum(1 for o in order if o[3] == r[1]) for r in mine}
+
+
 def test_mix_of_odd_rows(spark):
     rows = [(1, "a b c", None, "s"), (2, None, None, "s"), (None, "x " * 500, None, None), (3, "", None, None), (4, "w " * 900, None, "t"), (4, "w " * 900, None, "t")]
     got = mixing.mix(documents(spark, rows)).collect()
@@ -346,6 +357,16 @@ def test_toxicity(spark):
     assert toxicity.toxicity(documents(spark, rows), labels.limit(0)).agg(F.min("score"), F.max("score")).first()[:] == (0.5, 0.5)
 
 
+def test_toxicity_held_out(spark):
+    """sf0.1 marks some 260 training documents as toxic; the ranking must be right, the threshold may miss some."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    held = toxicity.toxicity(docs, labels).where("held_out").join(labels.select("doc_id", "toxic"), "doc_id").collect()
+    toxic, clean = (np.array([r["score"] for r in held if r["toxic"] == k]) for k in (1, 0))
+    assert (toxic[:, None] > clean).mean() > 0.95
+    assert (clean >= 0.7).mean() < 0.01 and (toxic >= 0.7).mean() > 0.6
+
+
 def test_pipeline(spark, sf_dir):
     import corpus_pipeline
 
