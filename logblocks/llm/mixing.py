@@ -76,11 +76,12 @@ def apportion(parties: DataFrame, group: list[str], key: str, claim: str, seats:
     """Sainte-Lague: ``quota`` of the ``seats`` of each group for every party, at most ``most`` each.
 
     ``claim`` is a party's share, ``seats`` the group's number of blocks. Sums are aggregates and quotients
-    are ranked by a range sort, so a group of any size is many tasks' work. ``parties`` is a written table.
+    are ranked by a range sort, so a group of any size is many tasks' work. ``parties`` is read twice.
     """
     columns = parties.columns
     if not group:
-        group, parties = ["_all"], parties.withColumn("_all", F.lit(0))
+        # written, so that the joins keep a key that is not folded away
+        group, parties = ["_all"], materialize(parties.withColumn("_all", F.lit(0)), "mix-all")
 
     def per_group(df, *aggregates):
         return broadcast_if_small(materialize(df.groupBy(*group).agg(*aggregates), "mix-totals"))
@@ -138,7 +139,7 @@ def mix(
     plan = targets(sources.drop("n_docs"), weights, max_epochs, share)
     plan = plan.withColumn("blocks", F.round(F.sum("target").over(W.partitionBy(F.lit(1))) / block_words).cast("long"))
     plan = plan.withColumn("most", F.floor(F.col("source_size") * max_epochs / block_words))
-    plan = apportion(materialize(plan, "mix-targets"), [], "source", "target", "blocks", "most").withColumnRenamed("quota", "source_blocks")
+    plan = apportion(plan, [], "source", "target", "blocks", "most").withColumnRenamed("quota", "source_blocks")
     counts = sources.select("source", F.ceil(F.col("n_docs") / shard_docs).alias("shards"))
     plan = join_null_safe(plan, counts, ["source"])
     plan = materialize(plan.select("source", "source_size", "target", "source_blocks", "shards"), "mix-plan")
