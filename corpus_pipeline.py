@@ -1,7 +1,8 @@
 """From raw documents to a training mix: five stages, each written as Parquet and read by the next.
 
-A stage that filters drops rows by doc_id: an id goes if the stage rejects all of its rows. Null ids
-count as one id. The list of what goes is broadcast only if it is short.
+A stage that filters decides row by row, so null and repeated ids are no special case: of a group of copies
+exactly one row stays, and only the rows that leak go. The stages on copies and leaks write the rows with a number
+first. The list of numbers that go is broadcast only if it is short.
 """
 
 from __future__ import annotations
@@ -15,13 +16,18 @@ from logblocks.operators.staging import broadcast_if_small, materialize, staging
 
 MIN_LANGUAGE_SCORE = 0.2  # below it a text is far from every profile
 SHINGLE, RADIUS = 4, 4
+ROW = "_row"
 
 
-def _without(docs: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """``docs`` without the ids whose ``(doc_id, goes)`` verdicts are all true."""
-    gone = verdicts.groupBy(F.col("doc_id").alias("_gone")).agg(F.min("goes").alias("_goes")).where("_goes").select("_gone")
+def _numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with a unique number ``ROW``, written so that every read sees the same."""
+    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """Numbered ``rows`` without the numbers in ``gone``."""
     gone = broadcast_if_small(materialize(gone, "pipeline-gone"))
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_gone")), "left_anti")
+    return rows.join(gone, ROW, "left_anti").drop(ROW)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,19 +39,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = exact_dedup.exact_dedup(docs)
-    return _without(docs, found.select("doc_id", (~F.col("kept")).alias("goes")))
+    rows = _numbered(docs)
+    return _without(rows, exact_dedup.kept_rows(rows, ROW).where(~F.col("kept")).select(ROW))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component the document with the smallest id stays."""
-    found = simhash.simhash_dedup(docs, SHINGLE, RADIUS)
-    return _without(docs, found.select("doc_id", (~F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("goes")))
+    """Of each component the row with the smallest id stays."""
+    rows = _numbered(docs)
+    return _without(rows, simhash.kept_rows(rows, ROW, SHINGLE, RADIUS).where(~F.col("kept")).select(ROW))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    leaks = decontamination.matches(docs, table(spark, sf_dir, "benchmark"))
-    return _without(docs, leaks.select("doc_id", F.lit(True).alias("goes")))
+    rows = _numbered(docs)
+    leaks = decontamination.matches(rows.select(F.col(ROW).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return _without(rows, leaks.select(F.col("doc_id").alias(ROW)).distinct())
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

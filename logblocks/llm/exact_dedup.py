@@ -26,7 +26,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logblocks.llm.common import SPACES, partitions, whole
@@ -40,21 +40,27 @@ NO_ID = (1 << 63) - 1  # stands for a null doc_id inside the index
 INDEX = "shard long, sizes binary, bits binary, digests binary, winners binary, counts binary"
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_points, digest)`` of every row."""
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: Column) -> DataFrame:
+    """``(doc_id, n_points, digest)`` of every row, and ``more`` columns."""
     text = whole(F.col(text_col))
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.length(text).cast("long").alias("n_points"),
         F.unhex(F.sha2(F.translate(text, SPACES, ""), 256)).alias("digest"),
+        *more,
     )
 
 
 def distinct_digests(rows: DataFrame) -> DataFrame:
-    """``(digest, winner, n_rows)``: the row that stays for each digest, and its copies."""
-    rank = F.struct(F.col("n_points").alias("p"), (-F.coalesce("doc_id", F.lit(NO_ID))).alias("d"))
+    """``(digest, winner, n_rows)``: the row that stays for each digest, and its copies.
+
+    The winner is a doc_id, or a row number if ``rows`` have a column ``row``.
+    """
+    rank = [F.col("n_points").alias("p"), (-F.coalesce("doc_id", F.lit(NO_ID))).alias("w")]
+    if "row" in rows.columns:
+        rank[1:] = [rank[1].alias("d"), (-F.col("row")).alias("w")]
     return rows.groupBy("digest").agg(
-        (-F.max(rank)["d"]).alias("winner"), F.count(F.lit(1)).alias("n_rows")
+        (-F.max(F.struct(*rank))["w"]).alias("winner"), F.count(F.lit(1)).alias("n_rows")
     )
 
 
@@ -254,6 +260,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def kept_rows(docs: DataFrame, row_col: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(row_col, kept)`` by unique row numbers: of each group exactly one row stays.
+
+    It is the row that ``exact_dedup`` keeps; of rows that share its id the longest, then the first.
+    """
+    rows = digests(docs, id_col, text_col, F.col(row_col).alias("row"))
+    rows = materialize(rows, "digests")
+    index, shards = build_index(distinct_digests(rows))
+    found = lookup(rows.select(F.col("row").alias("doc_id"), "n_points", "digest"), index, shards)
+    return found.select(F.col("doc_id").alias(row_col), (F.col("doc_id") == F.col("winner")).alias("kept"))
+
+
 SQL = r"""
 with n as (
   select doc_id, length(coalesce(text, '')) as points,

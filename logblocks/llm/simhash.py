@@ -68,19 +68,21 @@ def text_fingerprint(text: str | None, shingle: int, seed: int = SEED) -> int:
     return majority(np.array([xxh64_intdigest(flat[a:b], seed) for a, b in zip(starts, ends)], "<u8"))
 
 
-def fingerprints(docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)``: the fingerprint of every row as a signed long."""
+def fingerprints(
+    docs: DataFrame, shingle: int, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None
+) -> DataFrame:
+    """``(doc_id, fp)``: the fingerprint of every row as a signed long; with ``row_col`` also its number ``row``."""
     ship(docs.sparkSession)
 
     def body(batches):
         for batch in batches:
             found = [text_fingerprint(t, shingle) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict(
-                {"doc_id": batch.column("doc_id"), "fp": np.array(found, np.uint64).view(np.int64)}
-            )
+            kept = {name: batch.column(name) for name in names}
+            yield pa.RecordBatch.from_pydict(kept | {"fp": np.array(found, np.uint64).view(np.int64)})
 
-    named = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return named.mapInArrow(body, "doc_id long, fp long")
+    ids = [F.col(id_col).cast("long").alias("doc_id"), *([F.col(row_col).alias("row")] if row_col else [])]
+    names = ["doc_id", "row"][: len(ids)]
+    return docs.select(*ids, F.col(text_col).alias("text")).mapInArrow(body, "".join(f"{n} long, " for n in names) + "fp long")
 
 
 def _pack(rows: pa.Table) -> pa.Table:
@@ -199,3 +201,17 @@ def simhash_dedup(
     return components(prints, radius).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def kept_rows(
+    docs: DataFrame, row_col: str, shingle: int = 4, radius: int = 4, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``(row_col, kept)`` by unique row numbers: of each component exactly one row stays.
+
+    It has the component's smallest doc_id (null ids come last); of rows that share it the first.
+    """
+    prints = materialize(fingerprints(docs, shingle, id_col, text_col, row_col), "simhash-prints")
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "row")
+    found = components(prints.select(key.alias("doc_id"), "fp"), radius)
+    same = F.col("doc_id")["row"] == F.col("component_id")["row"]
+    return found.select(F.col("doc_id")["row"].alias(row_col), same.alias("kept"))

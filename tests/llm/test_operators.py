@@ -381,3 +381,22 @@ def test_pipeline(spark, sf_dir):
     assert kept[1] == kept[0] & exact
     mixed = corpus_pipeline.run(spark, sf_dir)
     assert {r["doc_id"] for r in mixed.collect()} == kept[-1]
+
+
+def test_pipeline_decides_by_row(spark, tmp_path):
+    import corpus_pipeline
+
+    item = prose(11, 30)
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    leaking = [(None, prose(1) + item), (None, prose(2)), (5, prose(3)), (5, item + prose(4)), (6, prose(5))]
+    left = corpus_pipeline.drop_benchmark_leaks(spark, documents(spark, leaking), str(tmp_path))
+    assert sorted(r["text"] for r in left.collect()) == sorted([prose(2), prose(3), prose(5)])
+
+    same = [(None, prose(1)), (None, " " + prose(1)), (None, prose(2)), (3, prose(2)), (None, prose(3)), (4, prose(4)), (4, prose(4)), (4, prose(5)), (None, None), (None, None)]
+    left = corpus_pipeline.drop_copies(spark, documents(spark, same), str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"] or "") for r in left) == sorted([(0, " " + prose(1)), (3, prose(2)), (0, prose(3)), (4, prose(4)), (4, prose(5)), (0, "")])
+
+    long = prose(9, 400)
+    near = [(None, long), (None, long + " x"), (None, prose(2)), (8, long + " y"), (7, prose(3)), (7, prose(3)), (7, prose(4))]
+    left = corpus_pipeline.drop_near_copies(spark, documents(spark, near), str(tmp_path)).collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == sorted([(0, prose(2)), (8, long + " y"), (7, prose(3)), (7, prose(4))])
