@@ -29,7 +29,8 @@ from logblocks.shipping import ship
 GRAMS = (4, 5, 6)
 BITS = 20
 FEATURES = 8_192
-FIT_ROWS = 8_000
+FIT_ROWS = 20_000
+CHUNK = 1 << 20  # feature marks that a step of the fit works on at a time
 HASHES = 1 << 30
 THRESHOLD = 0.7
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -84,29 +85,57 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
+def _chunks(rows: list[np.ndarray]):
+    """Runs of rows with about ``CHUNK`` marks together: (first row, last row, marks, start of each row)."""
+    ends = np.cumsum([len(r) for r in rows])
+    a = 0
+    while a < len(rows):
+        seen = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, seen + CHUNK, "right")))
+        sizes = np.array([len(r) for r in rows[a:b]])
+        yield a, b, np.concatenate(rows[a:b]), sizes
+        a = b
+
+
+def _row_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The sum over each row's run of ``values``; rows may be empty."""
+    out, some = np.zeros(len(sizes)), sizes > 0
+    if some.any():
+        out[some] = np.add.reduceat(values, (np.cumsum(sizes) - sizes)[some])
+    return out
+
+
 def fit_logistic(rows: list[np.ndarray], ratio: np.ndarray, label: np.ndarray, l2: float = 1.0, rounds: int = 300):
-    """Weights and intercept of a logistic regression on ratio * presence, by accelerated gradient steps."""
+    """Weights and intercept of a logistic regression on ratio * presence, by accelerated gradient steps.
+
+    Only the marks of the features present are held whole; all that a step derives from them is a chunk long.
+    """
     n = len(rows)
-    cols = np.concatenate(rows) if n else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(n, dtype=np.int32), [len(r) for r in rows])
-    value = ratio[cols]
+    parts = list(_chunks(rows))
     # Diagonal majorizer: the Hessian of the mean loss is at most that of sum |x_ij| * |x_i|, feature by feature,
     # so a few very long documents slow down their own features only.
-    size = np.abs(value)
-    length = 1 + np.bincount(owner, size, n)
-    curve = 0.25 * np.bincount(cols, size * length[owner], len(ratio)) / max(n, 1) + l2 / max(n, 1)
+    size = np.abs(ratio)
+    pulled, length = np.zeros(len(ratio)), np.ones(n)
+    for a, b, cols, sizes in parts:
+        length[a:b] += _row_sums(size[cols], sizes)
+        pulled += np.bincount(cols, np.repeat(length[a:b], sizes), len(ratio))
+    curve = 0.25 * size * pulled / max(n, 1) + l2 / max(n, 1)
     curve_b = 0.25 * length.sum() / max(n, 1) + 1e-9
-    w, b = np.zeros(len(ratio)), 0.0
-    w_old, b_old = w, b
+    w, bias = np.zeros(len(ratio)), 0.0
+    w_old, bias_old = w, bias
     for k in range(rounds):
         pull = k / (k + 3)
-        v, c = w + pull * (w - w_old), b + pull * (b - b_old)
-        z = c + np.bincount(owner, v[cols] * value, n)
-        gap = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - label
-        w_old, b_old = w, b
-        w = v - (np.bincount(cols, gap[owner] * value, len(ratio)) / n + l2 / n * v) / curve
-        b = c - gap.mean() / curve_b
-    return w, b
+        v, c = w + pull * (w - w_old), bias + pull * (bias - bias_old)
+        weight, slope, gaps = v * ratio, np.zeros(len(ratio)), 0.0
+        for a, b, cols, sizes in parts:
+            z = c + _row_sums(weight[cols], sizes)
+            gap = 1 / (1 + np.exp(-np.clip(z, -500, 500))) - label[a:b]
+            slope += np.bincount(cols, np.repeat(gap, sizes), len(ratio))
+            gaps += gap.sum()
+        w_old, bias_old = w, bias
+        w = v - (slope * ratio / n + l2 / n * v) / curve
+        bias = c - gaps / n / curve_b
+    return w, bias
 
 
 def train(rows: DataFrame, features: int = FEATURES, fit_rows: int = FIT_ROWS) -> Model:
@@ -127,18 +156,18 @@ def train(rows: DataFrame, features: int = FEATURES, fit_rows: int = FIT_ROWS) -
     at, ratio = top["bucket"].to_numpy(), top["ratio"].to_numpy()
     place = np.full(1 << BITS, -1, np.int32)
     place[at] = np.arange(len(at))
+    kind = np.dtype("<u2" if len(at) <= 1 << 16 else "<i4")
 
     def featurise(batches):
         for batch in batches:
             found = [place[buckets(t)] for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"), "cols": [f[f >= 0].astype("<i4").tobytes() for f in found]})
+            yield pa.RecordBatch.from_pydict({"toxic": batch.column("toxic"), "cols": [f[f >= 0].astype(kind).tobytes() for f in found]})
 
     share = min(1.0, fit_rows / (clean + toxic))
     sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)) < int(share * HASHES))
-    fitted = sample.select("text", "toxic").mapInArrow(featurise, "toxic int, cols binary").toPandas()
-    w, b = fit_logistic(
-        [np.frombuffer(c, "<i4") for c in fitted["cols"]], ratio, fitted["toxic"].to_numpy().astype(float)
-    )
+    fitted = sample.select("text", "toxic").mapInArrow(featurise, "toxic int, cols binary").toArrow()
+    label = fitted.column("toxic").to_numpy().astype(float)
+    w, b = fit_logistic([np.frombuffer(c.as_buffer(), kind) for c in fitted.column("cols")], ratio, label)
     return Model(at, w * ratio, b)
 
 

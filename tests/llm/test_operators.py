@@ -357,6 +357,17 @@ def test_toxicity(spark):
     assert toxicity.toxicity(documents(spark, rows), labels.limit(0)).agg(F.min("score"), F.max("score")).first()[:] == (0.5, 0.5)
 
 
+def test_toxicity_fit_in_chunks(monkeypatch):
+    assert toxicity.FIT_ROWS >= 20_000
+    rng = np.random.default_rng(0)
+    rows = [np.flatnonzero(rng.random(40) < share).astype("<u2") for share in rng.choice([0, 0.1, 0.9], 200)]
+    ratio, label = rng.normal(size=40), (rng.random(200) < 0.3).astype(float)
+    whole, bias = toxicity.fit_logistic(rows, ratio, label)
+    monkeypatch.setattr(toxicity, "CHUNK", 25)
+    parts, bias_too = toxicity.fit_logistic(rows, ratio, label)
+    assert parts == pytest.approx(whole) and bias_too == pytest.approx(bias)
+
+
 def test_toxicity_held_out(spark):
     """sf0.1 marks some 260 training documents as toxic; the ranking must be right, the threshold may miss some."""
     folder = "/root/testdata/sf0.1"
