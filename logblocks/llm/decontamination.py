@@ -1,15 +1,15 @@
 """Benchmark decontamination by q-gram lemma filtering and banded alignment.
 
-Texts are lower-cased and white space runs become one blank. A benchmark item is searched in
-windows of ``WINDOW`` characters that overlap by half (a shorter item is one window). A document
-holds a window if one of its substrings is within the window's edit budget e of it.
+Texts are lower-cased and white space runs become one blank. A document holds an item if one of its
+substrings is within the edit budget e of any ``WINDOW`` consecutive characters of the item (of the whole
+item, if that is shorter): a stretch may start at every character.
 
-1. Lemma: such a substring shares at least m - q + 1 - q * e q-grams with a window of m characters, and
-   all of them lie on at most e + 1 neighbouring diagonals. Shared q-grams are counted in
+1. Lemma: such a substring shares at least m - q + 1 - q * e q-grams with a stretch of m characters, and
+   all of them lie on at most e + 1 neighbouring diagonals. Shared q-grams are sorted by item position within
    overlapping bands of diagonals, so that any e + 1 neighbours lie within one band.
-2. Only regions whose band reaches the bound are kept.
-3. Each kept region is verified by banded alignment (numpy, all of a document's regions at once): the
-   window against the substring of the region, free ends in the document.
+2. Only regions are kept where a stretch reaches the bound; starts without a gap are one region.
+3. Each kept region is verified by banded alignment (numpy): its stretches against the substring of the
+   region, free ends in the document, until one is within the budget. Its edits are those reported.
 
 The benchmark's q-gram index is broadcast block by block: a block holds at most ``BLOCK_CHARS``
 characters of the benchmark, its proven size bound; a larger benchmark takes more passes. Documents are
@@ -75,12 +75,12 @@ def budget(m: int, q: int = Q, edits: float = EDITS) -> int:
 
 
 class Index:
-    """q-grams of the windows of some benchmark items."""
+    """q-grams of some benchmark items."""
 
     def __init__(self, items: list[tuple[int, str]], q: int = Q, window: int = WINDOW, edits: float = EDITS):
         self.q = q
         self.whole: dict[str, int] = {}
-        self.windows: list[tuple[int, np.ndarray, int]] = []  # item, characters, edit budget
+        self.items: list[tuple[int, np.ndarray]] = []  # item, characters
         for item, text in items:
             points = codes(text)
             if not len(points):
@@ -88,11 +88,8 @@ class Index:
             if len(points) < q:
                 self.whole[text] = min(item, self.whole.get(text, item))
                 continue
-            last = max(0, len(points) - window)
-            for a in sorted({*range(0, last, window // 2), last}):
-                part = points[a : a + window]
-                self.windows.append((item, part, budget(len(part), q, edits)))
-        hashes = [gram_hashes(w[1], q) for w in self.windows]
+            self.items.append((item, points))
+        hashes = [gram_hashes(points, q) for _, points in self.items]
         flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
         offset = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.zeros(0, np.int64)
@@ -102,11 +99,12 @@ class Index:
         self.owner, self.offset = owner[order].astype(np.int64), offset[order].astype(np.int64)
         self.filter = np.zeros(1 << FILTER_BITS, bool)
         self.filter[(self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
-        self.need = np.array([len(w[1]) - q + 1 - q * w[2] for w in self.windows], np.int64)
-        self.edits = np.array([w[2] for w in self.windows], np.int64)
+        self.width = np.array([min(len(points), window) for _, points in self.items], np.int64)
+        self.edits = np.array([budget(int(m), q, edits) for m in self.width], np.int64)
+        self.need = self.width - q + 1 - q * self.edits
 
     def hits(self, points: np.ndarray):
-        """Shared q-grams as (document position, window, window position)."""
+        """Shared q-grams as (document position, item, item position)."""
         hashes = gram_hashes(points, self.q)
         at = np.flatnonzero(self.filter[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
         if not len(at):
@@ -119,19 +117,41 @@ class Index:
         return np.repeat(at, n), self.owner[row], self.offset[row]
 
     def regions(self, points: np.ndarray):
-        """(window, first diagonal) of the bands that reach the lemma's bound."""
-        at, window, offset = self.hits(points)
+        """(item, first diagonal, first start, last start) of the stretches that reach the lemma's bound.
+
+        Along each band ``need`` shared q-grams must lie within one stretch of the item; starts that
+        follow each other without a gap are one region.
+        """
+        at, item, offset = self.hits(points)
         if not len(at):
             return []
         diagonal = at - offset + (1 << 20)
         band = diagonal // BAND
-        again = diagonal % BAND <= self.edits[window]  # also within reach of the band before
+        again = diagonal % BAND <= self.edits[item]  # also within reach of the band before
         band = np.concatenate([band, band[again] - 1])
-        window = np.concatenate([window, window[again]])
-        key, count = np.unique(window * (1 << 40) + band, return_counts=True)
-        keep = count >= self.need[key >> 40]
-        key = key[keep]
-        return list(zip((key >> 40).tolist(), ((key & ((1 << 40) - 1)) * BAND - (1 << 20)).tolist()))
+        item, offset = np.concatenate([item, item[again]]), np.concatenate([offset, offset[again]])
+        _, group, sizes = np.unique(item * (1 << 40) + band, return_inverse=True, return_counts=True)
+        enough = (sizes >= np.maximum(self.need[item[np.unique(group, return_index=True)[1]]], 1))[group]
+        item, band, offset, group = item[enough], band[enough], offset[enough], group[enough]
+        order = np.lexsort((offset, group))
+        item, band, offset, group = item[order], band[order], offset[order], group[order]
+        ahead = np.arange(len(item)) + self.need[item] - 1
+        inside = np.minimum(ahead, len(item) - 1)
+        span = self.width[item] - self.q  # a stretch's q-grams start within so many characters
+        run = (ahead < len(item)) & (group[inside] == group) & (offset[inside] - offset <= span)
+        k = np.flatnonzero(run)
+        if not len(k):
+            return []
+        lengths = np.array([len(p) for _, p in self.items], np.int64)
+        low = np.maximum(0, offset[inside[k]] - span[k])
+        high = np.minimum(offset[k], lengths[item[k]] - self.width[item[k]])
+        low = np.minimum(low, high)
+        new = np.ones(len(k), bool)
+        new[1:] = (group[k][1:] != group[k][:-1]) | (low[1:] > high[:-1] + 1)
+        cut = np.flatnonzero(new)
+        low, high = np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut)
+        k = k[cut]
+        return list(zip(item[k].tolist(), (band[k] * BAND - (1 << 20)).tolist(), low.tolist(), high.tolist()))
 
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(item, start, end, edits) in the normalised text, one row per verified region."""
@@ -139,15 +159,19 @@ class Index:
         if flat in self.whole:
             return [(self.whole[flat], 0, len(flat), 0)]
         points = codes(flat)
-        found = []
-        for window, diagonal in self.regions(points):
-            item, part, edits = self.windows[window]
-            a = max(0, diagonal - edits)
-            b = min(len(points), diagonal + BAND + 2 * edits + len(part))
-            hit = align(part, points[a:b], edits)
-            if hit is not None:
-                found.append((item, a + hit[0], a + hit[1], hit[2]))
-        return found
+        found = set()
+        for item, diagonal, low, high in self.regions(points):
+            name, whole = self.items[item]
+            width, edits = int(self.width[item]), int(self.edits[item])
+            # from the middle outwards: a quote's own stretches come first
+            for s in sorted(range(low, high + 1), key=lambda s: abs(2 * s - low - high)):
+                a = max(0, diagonal + s - edits)
+                b = min(len(points), diagonal + s + BAND + 2 * edits + width)
+                hit = align(whole[s : s + width], points[a:b], edits)
+                if hit is not None:
+                    found.add((name, a + hit[0], a + hit[1], hit[2]))
+                    break
+        return sorted(found)
 
 
 def align(part: np.ndarray, region: np.ndarray, edits: int) -> tuple[int, int, int] | None:

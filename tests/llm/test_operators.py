@@ -240,6 +240,17 @@ def test_decontamination_finds_exact_and_edited_passages(spark):
     assert decontamination.decontaminate(documents(spark, []), bench).count() == 0
 
 
+def test_decontamination_finds_every_stretch():
+    item = prose(21, 70)[:394]
+    index = decontamination.Index([(1, item)])
+    for a in range(0, len(item) - 96, 7):
+        part = item[a : a + 96]
+        edited = part[:20] + "zz" + part[21:50] + "z" + part[50:80] + "z" + part[81:]
+        for quote in (part, edited):
+            assert index.find(prose(1, 30) + " Q" + quote + "q " + prose(2, 30)), a
+        assert not index.find(prose(1, 30) + " Q" + part[:40] + prose(3, 9) + part[56:] + "q " + prose(2, 30))
+
+
 def test_banded_alignment_is_brute_force():
     rng = random.Random(4)
     for _ in range(200):
