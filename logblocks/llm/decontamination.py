@@ -13,7 +13,7 @@ item, if that is shorter): a stretch may start at every character.
 
 The benchmark's q-gram index is broadcast block by block: a block holds at most ``BLOCK_CHARS``
 characters of the benchmark, its proven size bound; a larger benchmark takes more passes. Documents are
-scanned whole, without a shuffle. Only documents with a hit send rows on.
+scanned whole, without a shuffle; only with more than one block are the counts of a row summed by its number.
 
 Nulls and empty texts hold nothing. An item shorter than q characters has no q-gram: it
 contaminates documents that equal it as a whole; an empty or null item none. Repeated rows get
@@ -22,6 +22,8 @@ equal answers. An empty table gives an empty result, an empty benchmark marks no
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -244,22 +246,50 @@ def _scan(block, q, window, edits):
     return body
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """One row per document: doc_id, contaminated, n_items, n_regions, first_item (smallest), least_edits."""
-    found = matches(docs, benchmark).groupBy("doc_id").agg(
-        F.countDistinct("item_id").alias("n_items"),
-        F.count(F.lit(1)).alias("n_regions"),
-        F.min("item_id").alias("first_item"),
-        F.min("edits").alias("least_edits"),
-    )
-    found = materialize(found, "decontamination").withColumnRenamed("doc_id", "hit")
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
-    zero = F.lit(0).cast("long")
-    return ids.join(found, F.col("doc_id").eqNullSafe(F.col("hit")), "left").select(
+def _count(block):
+    """One row per input row: its columns but the text, the ids of its items, regions and least edits."""
+
+    def body(batches):
+        index = Index(block.value)
+        for batch in batches:
+            hits = [index.find(t) for t in batch.column("text").to_pylist()]
+            found = {name: batch.column(name) for name in batch.schema.names if name != "text"}
+            found["items"] = pa.array([list({h[0] for h in of}) for of in hits], pa.list_(pa.int64()))
+            found["n_regions"] = pa.array([len(of) for of in hits], pa.int64())
+            found["least_edits"] = pa.array([min((h[3] for h in of), default=None) for of in hits], pa.int64())
+            yield pa.RecordBatch.from_pydict(found)
+
+    return body
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """One row per document: doc_id, contaminated, n_items, n_regions, first_item (smallest), least_edits.
+
+    Each row has its own answer, whatever its id. With more than one block of the benchmark the rows are
+    written with a number first, by which the blocks' answers are put together.
+    """
+    spark = docs.sparkSession
+    ship(spark)
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    blocks = [spark.sparkContext.broadcast(b) for b in benchmark_blocks(benchmark, block_chars=block_chars)]
+    blocks = blocks or [spark.sparkContext.broadcast([])]
+    schema = "doc_id long, items array<long>, n_regions long, least_edits long"
+    if len(blocks) == 1:
+        found = named.mapInArrow(_count(blocks[0]), schema)
+    else:
+        rows = materialize(named.withColumn("row", F.monotonically_increasing_id()), "decontamination-rows")
+        parts = [rows.select("row", "doc_id", "text").mapInArrow(_count(b), f"row long, {schema}") for b in blocks]
+        found = functools.reduce(DataFrame.unionByName, parts).groupBy("row").agg(
+            F.max("doc_id").alias("doc_id"),
+            F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
+            F.sum("n_regions").alias("n_regions"),
+            F.min("least_edits").alias("least_edits"),
+        )
+    return found.select(
         "doc_id",
-        F.col("n_items").isNotNull().alias("contaminated"),
-        F.coalesce("n_items", zero).alias("n_items"),
-        F.coalesce("n_regions", zero).alias("n_regions"),
-        "first_item",
+        (F.col("n_regions") > 0).alias("contaminated"),
+        F.size("items").cast("long").alias("n_items"),
+        "n_regions",
+        F.array_min("items").alias("first_item"),
         "least_edits",
     )

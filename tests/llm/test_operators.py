@@ -251,6 +251,16 @@ def test_decontamination_finds_every_stretch():
         assert not index.find(prose(1, 30) + " Q" + part[:40] + prose(3, 9) + part[56:] + "q " + prose(2, 30))
 
 
+@pytest.mark.parametrize("block_chars", [10, 4_000_000])
+def test_decontamination_answers_by_row(spark, block_chars):
+    item, other = prose(11, 30), prose(12, 30)
+    rows = [(None, prose(1) + item), (None, prose(2)), (5, prose(3)), (5, item + prose(4) + other), (6, other + prose(5))]
+    bench = spark.createDataFrame([(1, item), (2, other)], "item_id long, text string")
+    found = decontamination.decontaminate(documents(spark, rows), bench, block_chars).collect()
+    got = sorted((r["doc_id"] or 0, r["n_items"], r["n_regions"], r["first_item"] or 0, r["contaminated"]) for r in found)
+    assert got == [(0, 0, 0, 0, False), (0, 1, 1, 1, True), (5, 0, 0, 0, False), (5, 2, 2, 1, True), (6, 1, 1, 2, True)]
+
+
 def test_banded_alignment_is_brute_force():
     rng = random.Random(4)
     for _ in range(200):
