@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logblocks.llm import (
+    bpe,
     decontamination,
     exact_dedup,
     language_id,
@@ -65,6 +66,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document through the public 50k byte-level vocabulary and back."""
+    import public_tokenizers
+
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_exact_dedup,
@@ -77,6 +85,7 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_warc,
         op9_license_scan,
         op10_toxicity,
+        op11_bpe,
     ]
     return {f.__name__: f for f in found}
 
