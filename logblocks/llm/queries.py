@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from logblocks.llm import (
     bpe,
+    conversations,
     decontamination,
     exact_dedup,
     language_id,
     licenses,
     mixing,
+    negatives,
     preferences,
     repeats,
     simhash,
@@ -73,6 +75,14 @@ def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.damage_and_repair(table(spark, sf_dir, "conversations"))
+
+
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_exact_dedup,
@@ -86,6 +96,8 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_license_scan,
         op10_toxicity,
         op11_bpe,
+        op12_hard_negatives,
+        op13_conversation_repair,
     ]
     return {f.__name__: f for f in found}
 
@@ -95,4 +107,5 @@ def statements() -> dict[str, str]:
         "op1_exact_dedup": exact_dedup.SQL,
         "op3_preference_formatting": preferences.SQL,
         "op8_warc": warc.SQL,
+        "op12_hard_negatives": negatives.SQL,
     }
