@@ -240,19 +240,7 @@ class ForestModel:
         sizes = sorted(tuple(r) for r in self.nodes.groupBy("tree").count().collect())  # one row per tree
         if max(count for _, count in sizes) > BROADCAST_NODES:
             return self._path_lengths_by_join(vectors, prefixes)
-        runs, room = [], 0
-        for tree, count in sizes:
-            if count > room:
-                runs.append([tree, tree])
-                room = BROADCAST_NODES
-            runs[-1][1] = tree
-            room -= count
-        summed = vectors.withColumn("paths", F.array_repeat(F.lit(0.0), len(prefixes)))
-        for first, last in runs:
-            part = self.nodes.where(F.col("tree").between(first, last)).toArrow()  # at most BROADCAST_NODES rows
-            arrays = [part[c].to_numpy() for c in ("tree", "node", "feature", "cut", "size")]
-            summed = _add_paths(summed, arrays, self.n_features, prefixes)
-        return summed
+        return add_path_sums(self.nodes, ("tree", "node", "feature", "cut", "size"), trees.Forest, vectors, self.n_features, prefixes, sizes)
 
     def _path_lengths_by_join(self, vectors: DataFrame, prefixes: list[int]) -> DataFrame:
         """The same by one join per level and distinct vector, for trees too large to send to every task."""
@@ -305,15 +293,35 @@ class ForestModel:
         return ForestModel(nodes, facts["n_features"], facts["sample_size"], params, facts["offset"])
 
 
-def _add_paths(rows: DataFrame, arrays: list[np.ndarray], n_features: int, prefixes: list[int]) -> DataFrame:
-    """Adds the path lengths of some trees to the running sums, batch by batch."""
+def add_path_sums(nodes: DataFrame, columns, make, vectors: DataFrame, n_features: int, prefixes: list[int], sizes=None) -> DataFrame:
+    """Adds ``paths``: the values at each vector's leaves, summed over the first k trees, per k in ``prefixes``.
+
+    ``make`` lays the node ``columns`` of some trees out for walking; trees go to the tasks in runs whose nodes fit one broadcast.
+    """
+    sizes = sizes or sorted(tuple(r) for r in nodes.groupBy("tree").count().collect())  # one row per tree
+    runs, room = [], 0
+    for tree, count in sizes:
+        if count > room:
+            runs.append([tree, tree])
+            room = BROADCAST_NODES
+        runs[-1][1] = tree
+        room -= count
+    summed = vectors.withColumn("paths", F.array_repeat(F.lit(0.0), len(prefixes)))
+    for first, last in runs:
+        part = nodes.where(F.col("tree").between(first, last)).toArrow()  # at most BROADCAST_NODES rows, or one tree
+        summed = _add_paths(summed, make, [part[c].to_numpy() for c in columns], n_features, prefixes)
+    return summed
+
+
+def _add_paths(rows: DataFrame, make, arrays: list[np.ndarray], n_features: int, prefixes: list[int]) -> DataFrame:
+    """Adds the leaf values of some trees to the running sums, batch by batch."""
     ship(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(arrays)
     schema = T.StructType([f for f in rows.schema if f.name != "paths"] + [rows.schema["paths"]])
     names = schema.names
 
     def walk(batches):
-        forest = trees.Forest(*shared.value)
+        forest = make(*shared.value)
         within = [forest.trees < k for k in prefixes]
         for batch in batches:
             # blocks repeat few vectors: each distinct one of the batch is walked once

@@ -599,7 +599,7 @@ def rforest_round_trip(spark, sf_dir):
     found, path = stages.supervised_detector(spark, sf_dir), staging_path(spark, "random-forest")
     supervised.save_random_forest(found.model, path)
     again = supervised.score_random_forest(
-        supervised.load_random_forest(path), stages.vectors(spark, sf_dir), _features(spark, sf_dir)
+        supervised.load_random_forest(spark, path), stages.vectors(spark, sf_dir), _features(spark, sf_dir)
     )
     return _same_scores(again, found.scored)
 
