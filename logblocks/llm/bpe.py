@@ -5,9 +5,9 @@ encoding of a shorter prefix. So one number per trie node holds the encodings of
 a node is the only token that ends there and stays apart from the last token of the node where it begins. Two
 tokens stay apart if no merge joins across their border before both are whole.
 
-A task splits its texts into words, puts the distinct words that it has not met into a trie with
-compressed edges and walks the trie depth-first, with the last tokens of the current path in one list. What words
-share at their start is computed once. Texts are taken in pieces of ``PIECE`` words, so neither a long text nor
+A task splits its texts into words, puts the distinct words that it has not met into a trie
+and walks the trie depth-first, with the last tokens of the current path in one list. What words
+share at their start is computed once. The trie is kept in preorder: its words sorted, each with the depth where it forks off. Texts are taken in pieces of ``PIECE`` words, so neither a long text nor
 a long table fills the memory: a task holds the trie of one piece, ``KNOWN`` finished words and the ids of
 one batch. There is no shuffle; the vocabulary (a few MB) is the only broadcast.
 
@@ -24,7 +24,9 @@ import json
 from array import array
 from itertools import chain, islice
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,9 +37,11 @@ from logblocks.shipping import ship
 PIECE = 1 << 18  # words that share a trie
 KNOWN = 400_000  # finished words that a task remembers
 KNOWN_BYTES = 256  # longer words are not remembered
+PAIRS = 1_000_000  # pairs of tokens that a task remembers
 BATCH_IDS = 1 << 20
 LONG = 1 << 20  # characters; longer texts are cut into words one by one
 NEVER = 1 << 62
+HEAD = 32  # bytes that are compared together
 
 # How byte-level BPE cuts a text into words.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -50,37 +54,20 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(0x100 + k): b for k, b in enumerate(others)}
 
 
-class Node:
-    """A place in the trie: the first ``depth`` bytes of ``word``."""
+class Trie:
+    """Distinct words as a trie in preorder: sorted, each with the depth at which it leaves the path of the word before it."""
 
-    __slots__ = ("word", "depth", "children", "ends")
-
-    def __init__(self, word: bytes, depth: int, ends: bool = False):
-        self.word, self.depth, self.ends, self.children = word, depth, ends, {}
-
-
-def trie(words) -> Node:
-    """Distinct non-empty words as a trie; an edge holds all bytes up to the next fork or end."""
-    root = Node(b"", 0)
-    for word in words:
-        node = root
-        while node.depth < len(word):
-            below = node.children.get(word[node.depth])
-            if below is None:
-                below = node.children[word[node.depth]] = Node(word, len(word))
-            else:
-                edge, shared, end = below.word, node.depth + 1, min(below.depth, len(word))
-                if edge[shared:end] == word[shared:end]:
-                    shared = end
-                while shared < end and edge[shared] == word[shared]:
-                    shared += 1
-                if shared < below.depth:  # the edge forks before its end
-                    fork = node.children[word[node.depth]] = Node(word, shared)
-                    fork.children[below.word[shared]] = below
-                    below = fork
-            node = below
-        node.ends = True
-    return root
+    def __init__(self, words):
+        self.words = sorted(words)
+        self.forks = [0] * len(self.words)
+        heads = np.array(self.words, f"S{HEAD}").view(np.uint8).reshape(-1, HEAD)
+        same = np.logical_and.accumulate(heads[1:] == heads[:-1], axis=1).sum(axis=1)
+        for k, shared in enumerate(same.tolist(), 1):
+            before, word = self.words[k - 1], self.words[k]
+            end = min(len(before), len(word))
+            while HEAD <= shared < end and before[shared] == word[shared]:
+                shared += 1
+            self.forks[k] = min(shared, end)  # heads are filled up with zeros
 
 
 class Coder:
@@ -102,16 +89,17 @@ class Coder:
         self.bytes_of |= {number: text.encode() for text, number in self.added.items()}
         self.added_pattern = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))) if added else None
         self.pattern = regex.compile(SPLIT)
+        self.numbers = pa.array(sorted(self.bytes_of), pa.int32())
+        self.spelled = pa.array([self.bytes_of[t] for t in sorted(self.bytes_of)], pa.binary())
         self._read_merges(model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]], spelled)
         self.known: dict[str, tuple] = {}
 
     def _read_merges(self, vocab: dict, merges: list, spelled: dict) -> None:
         self.rank, self.merged, self.parts = {}, {}, {}
-        self._apart: dict[tuple[int, int], bool] = {}
-        self.tokens = {spelled[t]: n for t, n in vocab.items() if len(spelled.get(t, b"")) == 1}
-        if len(self.tokens) < 256:
+        single = {spelled[t]: n for t, n in vocab.items() if len(spelled.get(t, b"")) == 1}
+        if len(single) < 256:
             raise ValueError("the vocabulary lacks single bytes")
-        made = set(self.tokens.values())
+        made = set(single.values())
         for rank, (left, right) in enumerate(merges):
             a, b, whole = vocab[left], vocab[right], vocab[left + right]
             if not {a, b} <= made or whole in made:
@@ -119,14 +107,16 @@ class Coder:
             made.add(whole)
             self.merged[a, b] = rank
             self.rank[whole], self.parts[whole] = rank, (a, b)
-        for whole, (a, b) in self.parts.items():
-            if self._stay_apart(a, b, self.rank[whole]):  # else an earlier merge takes its bytes
-                self.tokens[self.bytes_of[whole]] = whole
-        self.lengths: dict[bytes, set[int]] = {}  # of the tokens by their last three bytes
+        real = [w for w, (a, b) in self.parts.items() if self._stay_apart(a, b, self.rank[w])]  # else an earlier merge takes its bytes
+        # a token's bytes to its number and, as they are met, whether it stays apart from a token on its left
+        self.tokens = {self.bytes_of[t]: (t, {}) for t in (*single.values(), *real)}
+        self.pairs = 0
+        self.size = {t: len(spelled) for spelled, (t, _) in self.tokens.items()}
+        lengths: dict[bytes, set[int]] = {}  # of the tokens by their last four bytes
         for token in self.tokens:
-            for ends in (token[-3:],) if len(token) > 2 else ():
-                self.lengths.setdefault(ends, set()).add(len(token))
-        self.lengths = {ends: sorted(found, reverse=True) for ends, found in self.lengths.items()}
+            if len(token) > 3:
+                lengths.setdefault(token[-4:], set()).add(len(token))
+        self.lengths = {ends: (*sorted(found, reverse=True), 3, 2, 1) for ends, found in lengths.items()}
 
     def _edge(self, token: int, side: int) -> list[int]:
         """The tokens at one edge of ``token`` while it is built, the whole first, a byte last."""
@@ -152,39 +142,39 @@ class Coder:
             else:
                 j -= 1
 
-    def apart(self, a: int, b: int) -> bool:
-        found = self._apart.get((a, b))
-        if found is None:
-            if len(self._apart) > 4 * KNOWN:
-                self._apart.clear()
-            found = self._apart[a, b] = self._stay_apart(a, b)
-        return found
-
-    def _last(self, word: bytes, end: int, last: list[int]) -> int:
-        """The last token of ``word[:end]``, from those of all shorter prefixes."""
-        for size in (*(self.lengths.get(word[end - 3 : end], ()) if end > 2 else ()), 2, 1):
-            start = end - size
-            if start >= 0 and (token := self.tokens.get(word[start:end])) is not None:
-                if start == 0 or self.apart(last[start], token):
-                    return token
-        raise AssertionError("every byte is a token")
-
-    def encode_words(self, words) -> dict[bytes, list[int]]:
-        """The ids of distinct words, by one depth-first walk through their trie."""
-        last, found = [0], {}
-        stack = [(trie(words), 0)]
-        while stack:
-            node, start = stack.pop()
-            del last[start + 1 :]
-            for end in range(start + 1, node.depth + 1):
-                last.append(self._last(node.word, end, last))
-            if node.ends:
-                ids, end = [], node.depth
-                while end:
-                    ids.append(last[end])
-                    end -= len(self.bytes_of[last[end]])
-                found[node.word[: node.depth]] = ids[::-1]
-            stack += [(below, node.depth) for below in node.children.values()]
+    def encode_words(self, words) -> dict[bytes, tuple[int, ...]]:
+        """The ids of distinct words, by one depth-first walk through their trie.
+
+        ``last[d]`` is the last token of the first d bytes of the path: of the tokens that end there the one that
+        stays apart from the last token before it.
+        """
+        last, found, trie = [0], {}, Trie(words)
+        tokens, lengths, sizes, short = self.tokens.get, self.lengths.get, self.size, (3, 2, 1)
+        if self.pairs > PAIRS:
+            for _, beside in self.tokens.values():
+                beside.clear()
+            self.pairs = 0
+        for word, fork in zip(trie.words, trie.forks):
+            del last[fork + 1 :]
+            for end in range(fork + 1, len(word) + 1):
+                for size in lengths(word[end - 4 : end], short) if end > 3 else short:
+                    start = end - size
+                    if start < 0 or (token := tokens(word[start:end])) is None:
+                        continue
+                    if start:
+                        apart = token[1].get(last[start])
+                        if apart is None:
+                            apart = token[1][last[start]] = self._stay_apart(last[start], token[0])
+                            self.pairs += 1
+                        if not apart:
+                            continue
+                    last.append(token[0])
+                    break
+            ids, end = [], len(word)
+            while end:
+                ids.append(last[end])
+                end -= sizes[last[end]]
+            found[word] = tuple(ids[::-1])
         return found
 
     def words(self, text: str):
@@ -201,11 +191,11 @@ class Coder:
             return self.pattern.findall(text, start, end)
         return (m.group() for m in self.pattern.finditer(text, start, end))
 
-    def encode_piece(self, words: list[str]) -> list[list[int]]:
+    def encode_piece(self, words: list[str]) -> list[tuple[int, ...]]:
         """The ids of each word; words that are new share one trie."""
         if len(self.known) > KNOWN:
             self.known.clear()
-        self.known.update((text, [number]) for text, number in self.added.items())
+        self.known.update((text, (number,)) for text, number in self.added.items())
         spelled = {w: w.encode() for w in set(words) if w not in self.known}
         fresh = self.encode_words(spelled.values())
         self.known.update((w, fresh[b]) for w, b in spelled.items())
@@ -242,8 +232,17 @@ class Coder:
                 yield from flush()
         yield from flush()
 
-    def decode(self, ids) -> str:
-        return b"".join(filter(None, map(self.bytes_of.get, ids))).decode("utf-8", "replace")
+    def decode(self, lists: pa.ListArray) -> pa.Array:
+        """The text of each list of ids; null and unknown ids stand for nothing."""
+        places = pc.index_in(lists.flatten(), self.numbers)  # null where unknown
+        spelled = pc.fill_null(pc.take(self.spelled, places), b"")
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        whole = pc.binary_join(pa.ListArray.from_arrays(offsets, spelled), b"")
+        try:
+            return whole.cast(pa.string())
+        except pa.ArrowInvalid:  # bytes that form no character
+            return pa.array([b.decode("utf-8", "replace") for b in whole.to_pylist()], pa.string())
 
 
 @functools.lru_cache(maxsize=2)
@@ -293,8 +292,7 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", text_col: str = "de
 
     def texts_of(coder: Coder, batch):
         for start in range(0, batch.num_rows, 256):
-            lists = batch.column(ids_col).slice(start, 256)
-            yield pa.array([coder.decode(ids.values.to_pylist()) if ids.is_valid else "" for ids in lists], pa.string())
+            yield coder.decode(batch.column(ids_col).slice(start, 256))
 
     return _mapped(rows, path, text_col, T.StringType(), texts_of)
 
