@@ -23,8 +23,11 @@ least hash among their ``GRAM``-byte grams, leftmost), at the same place in both
 Groups are maximal within their anchors' contexts and name the first place of each context; a longer
 repeat is the union of the groups along it. The removed bytes are exact.
 
+Memory: a task of steps 2 and 4 holds the anchors of one bucket, about ``SHARD_BYTES`` of text, and one Arrow batch; a task of step 1
+``FLUSH`` anchors. Where ids repeat, the texts are written first with a number that tells the rows of one id apart.
+
 Null texts are empty. The order is (doc_id, start); a null id is last. Rows that repeat a doc_id count as one
-place in that order: their equal places do not remove each other. Texts shorter than LENGTH lose
+place in that order: their equal places do not remove each other, and each gets its own answer. Texts shorter than LENGTH lose
 nothing. An empty table gives an empty result. Only doc_id and text are read.
 """
 
@@ -44,9 +47,11 @@ from logblocks.shipping import ship
 LENGTH = 100
 GRAM = 32
 LAST = (1 << 63) - 1
-PACK = 2_000_000  # bytes of contexts in one suffix array
+PACK = 1_000_000  # bytes of contexts in one suffix array
 HOT_CLASS = 1_000
-SHARD_BYTES = 32 << 20  # bytes of text to a shard
+SHARD_BYTES = 8 << 20  # bytes of text to a bucket
+TASK_BUCKETS = 4  # buckets that a task takes one after the other
+FLUSH = 300_000  # anchors that a scan holds
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -103,10 +108,15 @@ def window_anchors(data: np.ndarray, n: int):
     return one * STEP, two
 
 
-# One anchor, as packed in shuffled rows. ``doc`` orders the documents, ``uid`` tells rows of one id apart.
-ANCHOR = np.dtype([("hash", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("uid", "<i4"), ("start", "<i4"), ("n", "u1")])
-SPAN = np.dtype([("doc", "<i8"), ("uid", "<i4"), ("start", "<i4"), ("end", "<i4")])
-REQUEST = np.dtype([("doc", "<i8"), ("uid", "<i4"), ("start", "<i4"), ("n", "u1"), ("hot", "u1"), ("hash", "<u8")])
+class Kinds:
+    """What shuffled rows pack. ``doc`` orders the documents, ``uid`` tells rows of one id apart (one byte where none repeat)."""
+
+    def __init__(self, repeated: bool):
+        place = [("doc", "<i8"), ("uid", "<i8" if repeated else "u1"), ("start", "<i4")]
+        self.anchor = np.dtype([("hash", "<u8"), ("context", "<u8"), *place, ("n", "u1")])
+        self.span = np.dtype([*place, ("end", "<i4")])
+        self.request = np.dtype([*place, ("n", "u1"), ("hot", "u1"), ("hash", "<u8")])
+
 
 PACKED = "kind string, bucket int, blob binary"
 
@@ -145,26 +155,26 @@ def first_of_equal(found: np.ndarray):
     return found, later
 
 
-def spans_of(found: np.ndarray) -> np.ndarray:
-    out = np.empty(len(found), SPAN)
+def spans_of(found: np.ndarray, kinds: Kinds) -> np.ndarray:
+    out = np.empty(len(found), kinds.span)
     for name in ("doc", "uid", "start"):
         out[name] = found[name]
     out["end"] = found["start"] + found["n"] + (LENGTH - 1)
     return out
 
 
-def _emit(parts: list[np.ndarray], shards: int):
+def _emit(parts: list[np.ndarray], shards: int, kinds: Kinds):
     """Anchors of a batch: repeats within it as spans, the rest dealt by hash."""
     if not parts:
         return
     found, later = first_of_equal(np.concatenate(parts))
-    spans = spans_of(found[later])
+    spans = spans_of(found[later], kinds)
     yield from packed("span", spans, bucket_of(spans["doc"], shards))
     rest = found[~later]
     yield from packed("anchor", rest, bucket_of(rest["hash"], shards))
 
 
-def _scan(shards: int):
+def _scan(shards: int, kinds: Kinds):
     def body(batches):
         for batch in batches:
             parts, size = [], 0
@@ -175,50 +185,50 @@ def _scan(shards: int):
                 if len(data) < LENGTH:
                     continue
                 hashes, contexts, start, n = anchors(data)
-                found = np.empty(len(start), ANCHOR)
+                found = np.empty(len(start), kinds.anchor)
                 found["hash"], found["context"], found["start"], found["n"] = hashes, contexts, start, n
                 found["doc"], found["uid"] = doc, uid
                 parts.append(found)
                 size += len(found)
-                if size > 1_000_000:
-                    yield from _emit(parts, shards)
+                if size > FLUSH:
+                    yield from _emit(parts, shards, kinds)
                     parts, size = [], 0
-            yield from _emit(parts, shards)
+            yield from _emit(parts, shards, kinds)
 
     return body
 
 
-def _settle(shards: int, hot_class: int):
+def _settle(shards: int, hot_class: int, kinds: Kinds):
     """All anchors of one shard: repeats as spans; where contexts differ, requests for their bytes."""
 
     def body(batches):
         at, blobs = None, []
         for batch in batches:
-            for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist()):
+            for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob")):
                 if bucket != at and blobs:
                     yield from settle(blobs)
                     blobs = []
                 at = bucket
-                blobs.append(blob)
+                blobs.append(np.frombuffer(blob.as_buffer(), kinds.anchor))
+            blobs = [np.concatenate(blobs)] if blobs else []  # the batch itself can go
         if blobs:
             yield from settle(blobs)
 
     def settle(blobs):
-        found = np.frombuffer(b"".join(blobs), ANCHOR)
-        found, later = first_of_equal(found)
-        spans = spans_of(found[later])
+        found, later = first_of_equal(np.concatenate(blobs))
+        spans = spans_of(found[later], kinds)
         yield from packed("span", spans, bucket_of(spans["doc"], shards))
         found = found[~later]
         new_hash = np.concatenate([[True], found["hash"][1:] != found["hash"][:-1]])
         new_context = new_hash.copy()
         new_context[1:] |= found["context"][1:] != found["context"][:-1]
         index = np.cumsum(new_hash) - 1
-        kinds = np.bincount(index, new_context).astype(np.int64)[index]  # different contexts of the hash
-        ask = kinds > 1
-        out = np.empty(ask.sum(), REQUEST)
+        contexts = np.bincount(index, new_context).astype(np.int64)[index]  # different contexts of the hash
+        ask = contexts > 1
+        out = np.empty(ask.sum(), kinds.request)
         for name in ("doc", "uid", "start", "n", "hash"):
             out[name] = found[name][ask]
-        out["hot"] = kinds[ask] > hot_class
+        out["hot"] = contexts[ask] > hot_class
         yield from packed("request", out, bucket_of(out["doc"], shards))
 
     return body
@@ -243,12 +253,12 @@ def _with_texts(dtype, each, finish=None):
         bucket, blobs, items, slices = None, [], None, None
         for batch in batches:
             at = batch.column("bucket").to_pylist()
-            kinds, blob = batch.column("kind").to_pylist(), batch.column("blob")
+            kind, blob = batch.column("kind").to_pylist(), batch.column("blob")
             docs, uids, texts = batch.column("doc").to_pylist(), batch.column("uid").to_pylist(), batch.column("text")
             for k in range(batch.num_rows):
                 if at[k] != bucket:
                     bucket, blobs, slices = at[k], [], None
-                if kinds[k] == 0:
+                if kind[k] == 0:
                     blobs.append(blob[k].as_py())
                     continue
                 if slices is None:
@@ -263,10 +273,10 @@ def _with_texts(dtype, each, finish=None):
     return body
 
 
-CONTEXTS = "kind string, bucket int, hash long, doc long, uid int, start int, n int, blob binary"
+CONTEXTS = "kind string, bucket int, hash long, doc long, uid long, start int, n int, blob binary"
 
 
-def _contexts(shards: int):
+def _contexts(shards: int, kinds: Kinds):
     """The bytes of requested contexts; hot ones as packed windows."""
 
     def body(batches):
@@ -279,7 +289,7 @@ def _contexts(shards: int):
                     "bucket": pa.array([c[0] for c in cold], pa.int32()),
                     "hash": pa.array([c[1] for c in cold], pa.int64()),
                     "doc": pa.array([c[2] for c in cold], pa.int64()),
-                    "uid": pa.array([c[3] for c in cold], pa.int32()),
+                    "uid": pa.array([c[3] for c in cold], pa.int64()),
                     "start": pa.array([c[4] for c in cold], pa.int32()),
                     "n": pa.array([c[5] for c in cold], pa.int32()),
                     "blob": pa.array([c[6] for c in cold], pa.binary()),
@@ -288,12 +298,12 @@ def _contexts(shards: int):
             cold.clear()
 
         def flush_hot():
-            for batch in _emit(hot, shards):
+            for batch in _emit(hot, shards, kinds):
                 none = lambda kind: pa.nulls(batch.num_rows, kind)
                 yield pa.RecordBatch.from_pydict(
                     {
                         "kind": batch.column("kind"), "bucket": batch.column("bucket"), "hash": none(pa.int64()),
-                        "doc": none(pa.int64()), "uid": none(pa.int32()), "start": none(pa.int32()), "n": none(pa.int32()),
+                        "doc": none(pa.int64()), "uid": none(pa.int64()), "start": none(pa.int32()), "n": none(pa.int32()),
                         "blob": batch.column("blob"),
                     }
                 )
@@ -305,7 +315,7 @@ def _contexts(shards: int):
                 a, n = int(request["start"]), int(request["n"])
                 part = data[a : a + n + LENGTH - 1]
                 if request["hot"]:
-                    found = np.empty(n, ANCHOR)
+                    found = np.empty(n, kinds.anchor)
                     found["hash"], found["context"] = window_anchors(part, n)
                     found["doc"], found["uid"], found["start"], found["n"] = doc, uid, a + np.arange(n), 1
                     hot.append(found)
@@ -322,7 +332,7 @@ def _contexts(shards: int):
             if hot:
                 yield from flush_hot()
 
-        yield from _with_texts(REQUEST, each, finish)(batches)
+        yield from _with_texts(kinds.request, each, finish)(batches)
 
     return body
 
@@ -399,7 +409,7 @@ def maximal_repeats(texts: list[bytes], least: int = LENGTH):
             yield length, order[a : b + 1]
 
 
-def _compare(shards: int, with_groups: bool = False):
+def _compare(shards: int, kinds: Kinds, with_groups: bool = False):
     """The contexts of one shard, in runs of whole hashes: repeats as spans (or the groups themselves)."""
 
     def run(rows):
@@ -408,7 +418,7 @@ def _compare(shards: int, with_groups: bool = False):
         at = np.cumsum(size) - size
         owner = np.repeat(np.arange(len(texts)), size)
         doc = np.array([r[1] for r in rows], np.int64)
-        uid = np.array([r[2] for r in rows], np.int32)
+        uid = np.array([r[2] for r in rows], np.int64)
         start = np.array([r[3] for r in rows], np.int64)
         place = start[owner] + np.arange(len(owner)) - at[owner]  # in the document
         rank = np.empty(len(owner), np.int64)
@@ -428,7 +438,7 @@ def _compare(shards: int, with_groups: bool = False):
         if with_groups:
             return
         hit = np.flatnonzero(covered)
-        spans = np.empty(len(hit), SPAN)
+        spans = np.empty(len(hit), kinds.span)
         spans["doc"], spans["uid"] = doc[owner[hit]], uid[owner[hit]]
         spans["start"], spans["end"] = place[hit], place[hit] + covered[hit]
         yield spans
@@ -471,36 +481,39 @@ def united(spans: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-RESULT = "doc long, uid int, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+RESULT = "doc long, uid long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _cut(batches):
-    done = []
+def _cut(kinds: Kinds):
+    def body(batches):
+        done = []
 
-    def flush():
-        yield pa.RecordBatch.from_pydict(
-            {
-                "doc": pa.array([d[0] for d in done], pa.int64()),
-                "uid": pa.array([d[1] for d in done], pa.int32()),
-                "n_bytes": pa.array([d[2] for d in done], pa.int64()),
-                "n_removed": pa.array([d[3] for d in done], pa.int64()),
-                "n_spans": pa.array([d[4] for d in done], pa.int64()),
-                "kept_sha256": [d[5] for d in done],
-            }
-        )
-        done.clear()
+        def flush():
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc": pa.array([d[0] for d in done], pa.int64()),
+                    "uid": pa.array([d[1] for d in done], pa.int64()),
+                    "n_bytes": pa.array([d[2] for d in done], pa.int64()),
+                    "n_removed": pa.array([d[3] for d in done], pa.int64()),
+                    "n_spans": pa.array([d[4] for d in done], pa.int64()),
+                    "kept_sha256": [d[5] for d in done],
+                }
+            )
+            done.clear()
+
+        def each(doc, uid, data, spans):
+            runs, at, kept = united(spans), 0, hashlib.sha256()
+            for a, b in runs:
+                kept.update(data[at:a])
+                at = b
+            kept.update(data[at:])
+            done.append((doc, uid, len(data), sum(b - a for a, b in runs), len(runs), kept.hexdigest()))
+            if len(done) >= 5_000:
+                yield from flush()
 
-    def each(doc, uid, data, spans):
-        runs, at, kept = united(spans), 0, hashlib.sha256()
-        for a, b in runs:
-            kept.update(data[at:a])
-            at = b
-        kept.update(data[at:])
-        done.append((doc, uid, len(data), sum(b - a for a, b in runs), len(runs), kept.hexdigest()))
-        if len(done) >= 5_000:
-            yield from flush()
+        yield from _with_texts(kinds.span, each, lambda: flush() if done else ())(batches)
 
-    yield from _with_texts(SPAN, each, lambda: flush() if done else ())(batches)
+    return body
 
 
 class Repeats:
@@ -509,27 +522,31 @@ class Repeats:
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_class: int = HOT_CLASS):
         self.spark, self.hot_class = docs.sparkSession, hot_class
         ship(self.spark)
-        ids = docs.groupBy(F.col(id_col)).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).count()
-        uid = F.hash(whole(F.col(text_col))) if ids else F.lit(0)
+        ids = docs.groupBy(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))).agg(F.count(F.lit(1)).alias("n"))
+        repeated = not ids.where("n > 1").isEmpty()
         self.texts = docs.select(
             F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"),
-            uid.alias("uid"),
+            (F.monotonically_increasing_id() if repeated else F.lit(0).cast("long")).alias("uid"),
             whole(F.col(text_col)).cast("binary").alias("text"),
         )
+        if repeated:
+            self.texts = materialize(self.texts, "repeat-texts")
+        self.kinds = kinds = Kinds(repeated)
         total = self.texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
         self.shards = max(partitions(self.spark), -(-total // SHARD_BYTES))
-        scanned = materialize(self.texts.mapInArrow(_scan(self.shards), PACKED), "repeat-anchors")
+        self.tasks = max(partitions(self.spark), -(-self.shards // TASK_BUCKETS))
+        scanned = materialize(self.texts.mapInArrow(_scan(self.shards, kinds), PACKED), "repeat-anchors")
         settled = materialize(self._settled(scanned), "repeat-settled")
         self.spans = [scanned, settled]
         asked = settled.where("kind = 'request'")
-        found = materialize(self._joined(asked, REQUEST).mapInArrow(_contexts(self.shards), CONTEXTS), "repeat-contexts")
-        self.contexts = found.where("kind = 'context'").repartition(self.shards, "bucket").sortWithinPartitions("bucket", "hash")
+        found = materialize(self._joined(asked, kinds.request).mapInArrow(_contexts(self.shards, kinds), CONTEXTS), "repeat-contexts")
+        self.contexts = found.where("kind = 'context'").repartition(self.tasks, "bucket").sortWithinPartitions("bucket", "hash")
         self.spans.append(found.select("kind", "bucket", "blob"))
         self.spans.append(self._settled(found.select("kind", "bucket", "blob")))
 
     def _settled(self, rows: DataFrame) -> DataFrame:
-        dealt = rows.where("kind = 'anchor'").select("bucket", "blob").repartition(self.shards, "bucket")
-        return dealt.sortWithinPartitions("bucket").mapInArrow(_settle(self.shards, self.hot_class), PACKED)
+        dealt = rows.where("kind = 'anchor'").select("bucket", "blob").repartition(self.tasks, "bucket")
+        return dealt.sortWithinPartitions("bucket").mapInArrow(_settle(self.shards, self.hot_class, self.kinds), PACKED)
 
     def _joined(self, blobs: DataFrame, dtype: np.dtype) -> DataFrame:
         """Blobs and the texts they are about, by document bucket, blobs first."""
@@ -545,26 +562,26 @@ class Repeats:
         wanted = broadcast_if_small(materialize(wanted, "repeat-docs"))
         none = lambda kind: F.lit(None).cast(kind)
         return (
-            blobs.select("bucket", F.lit(0).alias("kind"), "blob", none("long").alias("doc"), none("int").alias("uid"), none("binary").alias("text"))
+            blobs.select("bucket", F.lit(0).alias("kind"), "blob", none("long").alias("doc"), none("long").alias("uid"), none("binary").alias("text"))
             .unionByName(
                 self.texts.join(wanted, "doc").select("bucket", F.lit(1).alias("kind"), none("binary").alias("blob"), "doc", "uid", "text")
             )
-            .repartition(self.shards, "bucket")
+            .repartition(self.tasks, "bucket")
             .sortWithinPartitions("bucket", "kind")
         )
 
     def groups(self) -> DataFrame:
         """``(length, docs, starts)``: the maximal repeats with all their places, the first of each context."""
-        return self.contexts.mapInArrow(_compare(self.shards, True), "length long, docs array<long>, starts array<long>")
+        return self.contexts.mapInArrow(_compare(self.shards, self.kinds, True), "length long, docs array<long>, starts array<long>")
 
     def removed(self) -> DataFrame:
         """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
-        compared = self.contexts.mapInArrow(_compare(self.shards), PACKED)
+        compared = self.contexts.mapInArrow(_compare(self.shards, self.kinds), PACKED)
         blobs = compared
         for part in self.spans:
             blobs = blobs.unionByName(part.where("kind = 'span'"))
         blobs = materialize(blobs.where("kind = 'span'"), "repeat-spans")
-        cut = materialize(self._joined(blobs, SPAN).mapInArrow(_cut, RESULT).distinct(), "repeat-cut")
+        cut = materialize(self._joined(blobs, self.kinds.span).mapInArrow(_cut(self.kinds), RESULT), "repeat-cut")
         plain = self.texts.select("doc", "uid", F.octet_length("text").cast("long").alias("size"), F.sha2("text", 256).alias("sha"))
         zero = F.lit(0).cast("long")
         joined = plain.join(cut, ["doc", "uid"], "left")

@@ -150,6 +150,19 @@ def test_repeats_of_repeated_ids(spark):
     assert got == sorted([(1, n, 0), (1, n, 0), (1, m, 0), (2, m, m)])
 
 
+def test_repeats_of_rows_without_ids(spark):
+    """Every row has one answer of its own; among null ids equal places do not remove each other."""
+    one, two, three = prose(11), prose(12), prose(13)
+    rows = [(None, one), (None, two), (None, three + one), (None, three + one), (1, two + " tail"), (1, None), (None, one)]
+    got = sorted((tuple(r) for r in repeats.remove_repeats(documents(spark, rows)).collect()), key=repr)
+    kept = lambda text: hashlib.sha256(text.encode()).hexdigest()
+    n, m, t = len(one), len(two), len(three)
+    want = [(None, n, 0, 0, kept(one))] * 2  # its copies in other null rows start elsewhere, later
+    want += [(None, m, m, 1, kept(""))] + [(None, t + n, n, 1, kept(three))] * 2
+    want += [(1, m + 5, 0, 0, kept(two + " tail")), (1, 0, 0, 0, kept(""))]
+    assert got == sorted(want, key=repr)
+
+
 def test_maximal_repeats_are_brute_force():
     rng = random.Random(2)
     texts = ["".join(rng.choice("ab") for _ in range(40)).encode() for _ in range(4)]
