@@ -20,11 +20,19 @@ FIRST_RUN = 64
 LONGEST_RUN = 65_536
 
 
+def has_digit(token: str) -> bool:
+    return any(ch.isdigit() for ch in token)
+
+
 class Rules(NamedTuple):
     depth: int = 4
     max_children: int = 100
     similarity: float = 0.4
 
+    def prefix(self, n_tokens: int) -> int:
+        """Leading tokens on the way to a leaf: the root, the token count and the leaf take three of the levels."""
+        return max(0, min(self.depth - 3, n_tokens - 1))
+
 
 class Leaf:
     """The clusters under one leaf as columns of token numbers, in a matrix that doubles as it fills."""
@@ -68,8 +76,7 @@ class Clusters:
     def __init__(self, n_tokens: int, rules: Rules):
         self.n = n_tokens
         self.rules = rules
-        # the root, the token count and the leaf take three of the levels
-        self.prefix = max(0, min(rules.depth - 3, n_tokens - 1))
+        self.prefix = rules.prefix(n_tokens)
         self.templates: list[list[str]] = []
         self.texts: list[str] = []
         self.paths: list[tuple] = []
@@ -88,11 +95,17 @@ class Clusters:
             self.names.append(token)
         return found
 
-    def restore(self, template: list[str], path: tuple, first_line: int) -> None:
-        """Puts a known cluster back under its leaf."""
+    def open(self, path: tuple, kids=()) -> None:
+        """Makes a path of the tree known, and the children at its end."""
         for i, step in enumerate(path):
-            self._number(step)
             self.children.setdefault(path[:i], set()).add(step)
+        self.children.setdefault(path, set()).update(kids)
+        for token in (*path, *kids):
+            self._number(token)
+
+    def restore(self, template: list[str], path: tuple, first_line: int) -> None:
+        """Puts a known cluster back under its leaf."""
+        self.open(path)
         if path not in self.leaves:
             self.leaves[path] = Leaf(self.n)
         self.places.append(self.leaves[path].size)
@@ -118,7 +131,7 @@ class Clusters:
         for token in tokens[: self.prefix]:
             known = self.children.get(path, set())
             room = len(known) + (WILDCARD not in known) < self.rules.max_children
-            if token not in known and (any(ch.isdigit() for ch in token) or not room):
+            if token not in known and (has_digit(token) or not room):
                 token = WILDCARD
             path += (token,)
         return path
