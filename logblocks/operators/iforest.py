@@ -13,7 +13,7 @@ from dataclasses import asdict, dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +28,7 @@ DRAW_CELLS = 4096
 CELL_VECTORS = 64
 BROADCAST_NODES = 2_000_000
 MATRIX_CELLS = 4_000_000
+PACKED_NODES = 200_000
 
 NODES = "tree int, node long, feature int, cut double, size long"
 
@@ -190,19 +191,37 @@ def _draw_splits(batches: Iterator[pa.RecordBatch], seed: int) -> Iterator[pa.Re
         )
 
 
-def grow_forest(vectors: DataFrame, n_features: int, params: ForestParams, grow_rows: int = GROW_ROWS) -> tuple[DataFrame, int]:
-    """(node table, rows per tree)."""
+@dataclass(frozen=True)
+class Sample:
+    """The rows of all trees as distinct vectors with multiplicities, how many they are a tree, and the most distinct ones of a tree."""
+
+    rows: DataFrame
+    size: int
+    largest: int
+
+
+def draw_forest(vectors: DataFrame, params: ForestParams) -> Sample:
+    """The trees' samples; they depend on the seed and ``max_samples`` only, so forests that differ in features share them."""
     ship(vectors.sparkSession)
     whole = materialize(distinct_vectors(vectors), "distinct")
     total = whole.agg(F.coalesce(F.sum("weight"), F.lit(0))).first()[0]
     size = params.sample_size(total)
     if size >= total:
-        sample, largest = _with_trees(whole, params.n_trees), whole.count()
-    else:
-        sample = materialize(draw_samples(whole, total, size, params), "sample")
-        largest = sample.groupBy("tree").count().agg(F.max("count")).first()[0]
-    grow = _grow_in_tasks if largest <= grow_rows else _grow_by_level
-    return materialize(grow(sample, n_features, params, trees.depth_limit(size)), "nodes"), size
+        return Sample(_with_trees(whole, params.n_trees), size, whole.count())
+    sample = materialize(draw_samples(whole, total, size, params), "sample")
+    return Sample(sample, size, sample.groupBy("tree").count().agg(F.max("count")).first()[0])
+
+
+def grow_trees(sample: Sample, n_features: int, params: ForestParams, grow_rows: int = GROW_ROWS) -> DataFrame:
+    """The node table of the forest."""
+    grow = _grow_in_tasks if sample.largest <= grow_rows else _grow_by_level
+    return materialize(grow(sample.rows, n_features, params, trees.depth_limit(sample.size)), "nodes")
+
+
+def grow_forest(vectors: DataFrame, n_features: int, params: ForestParams, grow_rows: int = GROW_ROWS) -> tuple[DataFrame, int]:
+    """(node table, rows per tree)."""
+    sample = draw_forest(vectors, params)
+    return grow_trees(sample, n_features, params, grow_rows), sample.size
 
 
 def weighted_quantiles(scores: DataFrame, columns: list, weight: str, shares: list[float]) -> list[list[float]]:
@@ -274,6 +293,47 @@ class ForestModel:
         scored = self.path_lengths(vectors).withColumn("anomaly_score", sample_score - self.offset).drop("paths")
         return scored.withColumn("if_class", F.when(F.col("anomaly_score") < 0, -1).otherwise(1))
 
+    def transform_on_jvm(self, vectors: DataFrame) -> DataFrame:
+        """``transform`` without a Python worker: trees as packed arrays, walked by higher-order functions.
+
+        Distinct vectors are walked once. Forests of more than ``PACKED_NODES`` nodes are joined level by level instead.
+        """
+        key = ["idxs", "cnts"]
+        if self.nodes.count() > PACKED_NODES:
+            sums = self._path_lengths_by_join(vectors.select(*key).distinct(), [self.params.n_trees])
+        else:
+            sums = self._walked(vectors.select(*key).distinct())
+        scored = sums.withColumn("anomaly_score", self._score(F.col("paths")[0], self.params.n_trees) - self.offset).select(*key, "anomaly_score")
+        return vectors.join(broadcast_if_small(scored), key).withColumn("if_class", F.when(F.col("anomaly_score") < 0, -1).otherwise(1))
+
+    def _walked(self, vectors: DataFrame) -> DataFrame:
+        at = F.row_number().over(Window.partitionBy("tree").orderBy("node")) - 1
+        placed = materialize(self.nodes.withColumn("at", at), "placed-nodes")
+        left = placed.select("tree", F.col("node").alias("child"), F.col("at").alias("left"))
+        linked = placed.withColumn("child", F.col("node") * 2).join(broadcast_if_small(left), ["tree", "child"], "left")
+        size = F.col("size").cast("double")
+        rest = F.when(size <= 1, 0.0).when(size <= 2, 1.0).otherwise(
+            2.0 * (F.log(size - 1) + trees.EULER_GAMMA) - 2.0 * (size - 1) / size
+        )
+        path = F.floor(F.log2("node")) + rest  # exact: a node number below 2^53 has the right whole logarithm
+        node = F.struct("at", F.coalesce("left", F.lit(trees.LEAF)).alias("left"), "feature", "cut", path.alias("path"))
+        packed = linked.groupBy("tree").agg(F.array_sort(F.collect_list(node)).alias("n"))
+        forest = packed.agg(F.array_sort(F.collect_list(F.struct("tree", "n"))).alias("trees"))  # PACKED_NODES at most, in one row
+        depth = F.lit(trees.depth_limit(self.sample_size))
+        value = lambda f: F.coalesce(F.get("cnts", F.array_position("idxs", f).cast("int") - 1), F.lit(0).cast("long")).cast("double")
+
+        def leaf(tree):
+            def step(at, _):
+                here = F.get(tree["n"], at)
+                down = here["left"] + F.when(F.get("dense", here["feature"]) > here["cut"], 1).otherwise(0)
+                return F.when(here["left"] == trees.LEAF, at).otherwise(down)
+
+            return F.get(tree["n"], F.aggregate(F.sequence(F.lit(1), depth), F.lit(0), step))["path"]
+
+        dense = F.transform(F.sequence(F.lit(0), F.lit(self.n_features - 1)), lambda f: value(f))
+        wide = vectors.withColumn("dense", dense).crossJoin(F.broadcast(forest))
+        return wide.withColumn("paths", F.array(F.aggregate("trees", F.lit(0.0), lambda total, tree: total + leaf(tree)))).drop("dense", "trees")
+
     def prefix_scores(self, vectors: DataFrame, prefixes: list[int]) -> DataFrame:
         """Adds ``scores``: raw scores of the forests of the first k trees."""
         walked = self.path_lengths(vectors, prefixes)

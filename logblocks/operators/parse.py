@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from logblocks.functions import logline, text
+from logblocks.operators.staging import staging_path
 
 PARSED = ("timestamp", "pid", "severity", "component", "message")
+GOOD = "good"
+REASONS = (logline.TOO_FEW_PARTS, logline.BAD_TIMESTAMP, logline.BAD_PID)
 
 
 def _part(i: int):
@@ -51,3 +56,39 @@ def rejected_lines(lines: DataFrame, line: str = "line", order: str = "line_no")
 
 def reject_counts(lines: DataFrame, line: str = "line", order: str = "line_no") -> DataFrame:
     return rejected_lines(lines, line, order).groupBy("reason").agg(F.count("*").alias("lines"))
+
+
+@dataclass
+class SplitLog:
+    """One written pass over a log: ``good`` as ``parse_lines`` gives them, ``rejected`` with their reason, lines by verdict."""
+
+    good: DataFrame
+    rejected: DataFrame
+    counts: dict[str, int]
+
+
+def split_lines(lines: DataFrame, line: str = "line", order: str = "line_no") -> SplitLog:
+    """Parses every line once: good and rejected lines go to their own partition of one table and are counted on the way.
+
+    The counts are observed by the job that writes; a read of either side touches its own files only.
+    """
+    spark = lines.sparkSession
+    verdict = F.coalesce("_reason", F.lit(GOOD))
+    fields = _fields(lines, line).select(
+        order,
+        "timestamp",
+        "pid",
+        logline.severity_name(_part(3)).alias("severity"),
+        logline.component_name(_part(4)).alias("component"),
+        F.when(F.col("_reason").isNull(), logline.message_text(F.col("_p"))).alias("message"),
+        F.when(F.col("_reason").isNotNull(), F.col(line)).alias("line"),
+        verdict.alias("verdict"),
+    )
+    seen, path = Observation(), staging_path(spark, "split-log")
+    counts = [F.sum((F.col("verdict") == name).cast("int")).alias(f"n{k}") for k, name in enumerate((GOOD, *REASONS))]
+    # files keep the order of their lines, as the writer needs them by verdict
+    fields.observe(seen, *counts).sortWithinPartitions("verdict", order).write.partitionBy("verdict").parquet(path)
+    table = spark.read.schema(fields.schema).parquet(path)
+    found = {name: seen.get[f"n{k}"] or 0 for k, name in enumerate((GOOD, *REASONS))}
+    good = table.where(F.col("verdict") == GOOD).select(order, *PARSED)
+    return SplitLog(good, table.where(F.col("verdict") != GOOD).select(order, "line", F.col("verdict").alias("reason")), found)

@@ -9,7 +9,8 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logblocks.operators.iforest import ForestModel, ForestParams, grow_forest, weighted_quantiles
+from logblocks.operators.iforest import ForestModel, ForestParams, draw_forest, grow_trees, weighted_quantiles
+from logblocks.operators.ordering import number_rows
 from logblocks.operators.staging import materialize
 from logblocks.shipping import ship
 
@@ -33,44 +34,58 @@ def reduced_contamination_grid(ratio: float) -> list[float]:
     return sorted({round(share, 6) for share in (ratio, *larger)})
 
 
+def with_folds(rows: DataFrame, *order, folds: int = FOLDS, name: str = "fold") -> DataFrame:
+    """Adds contiguous folds: the rows in the given order, cut into runs of equal length, one row more in the first ones.
+
+    The order should end in a unique column. Rows are numbered by a range sort, no task holds them all.
+    """
+    numbered = materialize(number_rows(rows, *order, name="_place"), "numbered-rows")
+    size, more = divmod(numbered.count(), folds)
+    long_part = F.lit(more * (size + 1))
+    place = F.col("_place")
+    fold = F.when(place < long_part, F.floor(place / (size + 1))).otherwise(more + F.floor((place - long_part) / max(size, 1)))
+    return numbered.withColumn(name, fold.cast("int")).drop("_place")
+
+
 def grid_search(
     vectors: DataFrame,
     n_features: int,
     contaminations: list[float],
     grid: dict = FULL_GRID,
     seed: int = 42,
-    key: str = "block_id",
-    parallelism: int = 4,
+    order: str = "block_id",
+    parallelism: int = 6,
 ) -> tuple[DataFrame, ForestParams]:
     """(every setting with its mean F1 and rank, the best setting).
 
-    Contamination moves only the cut, and a smaller forest is the first trees
+    Folds are contiguous in ``order`` (a unique column). Contamination moves only the cut, and a smaller forest is the first trees
     of a larger one with the same draws. So each (samples, features, fold)
-    grows one forest, and all its sizes and cuts are scored from that;
-    ``parallelism`` forests are in work at a time.
+    grows one forest, and all its sizes and cuts are scored from that. Folds are multiplicities of distinct vectors, and forests that differ
+    in features share their samples; ``parallelism`` samples are in work at a time.
     """
     spark = vectors.sparkSession
     ship(spark)
-    fold = F.pmod(F.xxhash64(F.lit(seed), F.lit("fold"), key), F.lit(FOLDS)).cast("int")
-    rows = materialize(vectors.select(key, "idxs", "cnts", "label", fold.alias("fold")), "folds")
+    rows = with_folds(vectors.select(order, "idxs", "cnts", "label"), order)
     cells = materialize(
         rows.groupBy("idxs", "cnts", "fold").agg(F.count("*").alias("n"), F.sum("label").alias("pos")), "fold-cells"
     )
     sizes = sorted(grid["n_trees"])
 
-    def scored(features: float, samples, k: int) -> dict[tuple, float]:
-        params = ForestParams(sizes[-1], samples, features, None, seed)
-        nodes, drawn = grow_forest(rows.where(F.col("fold") != k), n_features, params)
-        model = ForestModel(nodes, n_features, drawn, params)
-        scores = materialize(model.prefix_scores(cells, sizes), "fold-scores")
-        columns = [F.col("scores")[i] for i in range(len(sizes))]
-        cuts = weighted_quantiles(scores.where(F.col("fold") != k), columns, "n", contaminations)
-        found = _f1_at(scores.where(F.col("fold") == k), cuts)
-        return {
-            (c, features, str(samples), n): found[i][j] for i, n in enumerate(sizes) for j, c in enumerate(contaminations)
-        }
-
-    work = list(product(grid["max_features"], grid["max_samples"], range(FOLDS)))
+    def scored(samples, k: int) -> dict[tuple, float]:
+        params = ForestParams(sizes[-1], samples, 1.0, None, seed)
+        fit = cells.where(F.col("fold") != k).select("idxs", "cnts", F.col("n").alias("weight"))
+        sample, found = draw_forest(fit, params), {}
+        for features in grid["max_features"]:
+            params = ForestParams(sizes[-1], samples, features, None, seed)
+            model = ForestModel(grow_trees(sample, n_features, params), n_features, sample.size, params)
+            scores = materialize(model.prefix_scores(cells, sizes), "fold-scores")
+            columns = [F.col("scores")[i] for i in range(len(sizes))]
+            cuts = weighted_quantiles(scores.where(F.col("fold") != k), columns, "n", contaminations)
+            f1 = _f1_at(scores.where(F.col("fold") == k), cuts)
+            found |= {(c, features, str(samples), n): f1[i][j] for i, n in enumerate(sizes) for j, c in enumerate(contaminations)}
+        return found
+
+    work = list(product(grid["max_samples"], range(FOLDS)))
     with ThreadPool(min(parallelism, len(work))) as pool:
         results = pool.map(inheritable_thread_target(spark)(lambda task: scored(*task)), work)
     mean = {setting: sum(r[setting] for r in results if setting in r) / FOLDS for r in results for setting in r}

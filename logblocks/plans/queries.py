@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from logblocks.functions.text import label_flag
 from logblocks.operators import (
     blocks,
     calibrate,
+    estimator,
     evaluate,
     features,
     guardrails,
@@ -26,7 +28,7 @@ from logblocks.operators import (
     tuning,
 )
 from logblocks.operators.iforest import ForestModel
-from logblocks.operators.staging import staging_path
+from logblocks.operators.staging import require_columns, staging_path
 from logblocks.plans import detect, logview, stages
 from logblocks.sources import lines as line_source
 from logblocks.sources import sinks, tables
@@ -158,17 +160,21 @@ def catalog_metadata_scan(spark, sf_dir):
 
 @query
 def parse_log_lines(spark, sf_dir):
-    return logview.parsed(spark, sf_dir)
+    """With the next two: one scan of the log writes what all three read."""
+    return stages.split_log(spark, sf_dir).good
 
 
 @query
 def rejected_lines(spark, sf_dir):
-    return parse.rejected_lines(logview.log_lines(spark, sf_dir))
+    return stages.split_log(spark, sf_dir).rejected
 
 
 @query
 def rejected_lines_by_reason(spark, sf_dir):
-    return parse.reject_counts(logview.log_lines(spark, sf_dir))
+    """Observed while the lines were written."""
+    counts = stages.split_log(spark, sf_dir).counts
+    rows = [(reason, n) for reason, n in counts.items() if n and reason != parse.GOOD]
+    return spark.createDataFrame(rows, "reason string, lines long")
 
 
 @query
@@ -604,6 +610,64 @@ def rforest_round_trip(spark, sf_dir):
     return _same_scores(again, found.scored)
 
 
+@query
+def iforest_scores_on_jvm(spark, sf_dir):
+    """The scores of ``iforest_scores`` without a Python worker."""
+    found = _forest(spark, sf_dir).model.transform_on_jvm(stages.vectors(spark, sf_dir))
+    native = class_flag(F.col("if_class")).alias("native_prediction")
+    return found.select("block_id", "label", "is_test", rounded("anomaly_score"), "if_class", native)
+
+
+@query
+def pipeline_predictions(spark, sf_dir):
+    """Vocabulary, forest and threshold fitted as one ``pyspark.ml`` pipeline, saved, loaded and applied to every labelled block."""
+    split = splits.stratified_split(stages.labelled(spark, sf_dir), "block_id", "label", 0.3, 42).select("block_id", "is_test")
+    rows = stages.sequence_table(spark, sf_dir).select("block_id", "events", "label").join(split, "block_id")
+    fit, held = splits.calibration_split(rows.where(~F.col("is_test")), "block_id", "label")
+    part = lambda df, flag: df.select("block_id", "events", "label", F.lit(flag).alias("is_calibration"))
+    train = part(fit, False).unionByName(part(held, True))
+    path = staging_path(spark, "detector-pipeline")
+    Pipeline(stages=[estimator.EventVocabulary(), estimator.IsolationForest(), estimator.ScoreThreshold()]).fit(train).write().save(path)
+    return PipelineModel.load(path).transform(rows).select(
+        "block_id", "prediction", rounded("anomaly_score"), rounded("decision_threshold"), "score_direction", "algorithm"
+    )
+
+
+@query
+def grid_folds(spark, sf_dir):
+    """The contiguous folds of the training rows that the grid searches use."""
+    train = stages.vectors(spark, sf_dir).where(~F.col("is_test"))
+    return tuning.with_folds(train.select("block_id"), "block_id").select("block_id", "fold")
+
+
+@query
+def input_checks(spark, sf_dir):
+    """Which inputs of a run its checks accept, with the number that each looked at."""
+    vocab, n = stages.vocabulary(spark, sf_dir), _features(spark, sf_dir)
+    found = stages.predictions(spark, sf_dir)
+    vectors = stages.vectors(spark, sf_dir)
+    cases = [
+        ("features match the vocabulary", n, lambda: score.check_features(n, vocab)),
+        ("one feature too many", n + 1, lambda: score.check_features(n + 1, vocab)),
+        ("default calibration", 2, lambda: calibrate.check_parameters(2.0, 0.75)),
+        ("beta of zero", 0, lambda: calibrate.check_parameters(0.0, 0.75)),
+        ("precision floor of one", 1, lambda: calibrate.check_parameters(2.0, 1.0)),
+        ("predictions have their columns", found.count(), lambda: require_columns(found, ["block_id", "prediction", "anomaly_score"])),
+        ("predictions lack a column", found.count(), lambda: require_columns(found, ["SequenceId"])),
+        ("random forest without consent", vectors.count(), lambda: supervised.fit_random_forest(vectors, n)),
+    ]
+
+    def accepts(check) -> bool:
+        try:
+            check()
+        except (ValueError, KeyError):
+            return False
+        return True
+
+    rows = [(name, number, accepts(check)) for name, number, check in cases]
+    return spark.createDataFrame(rows, "check string, looked_at long, accepted boolean")
+
+
 def _grid(spark, sf_dir, contaminations, grid):
     train = stages.vectors(spark, sf_dir).where(~F.col("is_test"))
     ratio = splits.contamination(train).first()[0]

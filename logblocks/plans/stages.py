@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logblocks.functions.text import first_block_id
-from logblocks.operators import calibrate, features, score, sequences, splits
+from logblocks.operators import calibrate, features, parse, score, sequences, splits
 from logblocks.operators.staging import hadoop_path, materialize, published
 from logblocks.operators.templates import Templates, mine_templates
 from logblocks.plans import detect, logview
@@ -35,6 +35,11 @@ def forget() -> None:
     _built.clear()
 
 
+def split_log(spark: SparkSession, sf_dir: str) -> parse.SplitLog:
+    """The whole log, read once: parsed lines, rejected lines and their counts."""
+    return _once(spark, sf_dir, "split-log", lambda: parse.split_lines(logview.log_lines(spark, sf_dir)))
+
+
 def mine(spark: SparkSession, sf_dir: str) -> Templates:
     """Templates of the whole log, freshly mined; rows keep the block they first name."""
     log = logview.parsed(spark, sf_dir).withColumn("block_id", first_block_id(F.col("message")))

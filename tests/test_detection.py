@@ -255,6 +255,41 @@ def test_grid_search(spark):
     assert (best.n_trees, str(best.max_samples), best.contamination) == (top.n_trees, top.max_samples, top.contamination)
 
 
+@pytest.mark.parametrize("rows", [0, 1, 2, 3, 4, 10, 11])
+def test_folds_are_contiguous(spark, rows):
+    frame = spark.range(rows).selectExpr("id * 7 % 11 as place", "id").repartition(5)
+    got = [r.fold for r in tuning.with_folds(frame, "place").orderBy("place").collect()]
+    assert got == [k for k, part in enumerate(np.array_split(np.arange(rows), 3)) for _ in part]
+
+
+def test_grid_search_is_brute_force(spark):
+    """Every setting again, row by row: forests of the fit folds, cuts by numpy's quantiles, F1 on the fold left out."""
+    vectors = cloud(spark, 90).withColumn("label", F.coalesce((F.get("cnts", F.lit(0)) > 3).cast("int"), F.lit(0)))
+    rows = sorted(vectors.collect(), key=lambda r: r.block_id)
+    matrix = np.zeros((len(rows), 6))
+    for k, r in enumerate(rows):
+        matrix[k, r.idxs] = r.cnts
+    labels = np.array([r.label for r in rows])
+    assert labels.sum() > 5
+    grid = {"n_trees": [3, 6], "max_samples": [1.0], "max_features": [0.5, 1.0]}
+    got = {(r.contamination, r.max_features, r.n_trees): r.mean_f1 for r in tuning.grid_search(vectors, 6, [0.05, 0.2], grid)[0].collect()}
+    folds = np.array_split(np.arange(len(rows)), 3)
+    for (share, features, n), mean in got.items():
+        f1 = []
+        for held in folds:
+            fit = np.setdiff1d(np.arange(len(rows)), held)
+            distinct, weight = np.unique(matrix[fit], axis=0, return_counts=True)
+            paths = np.zeros(len(rows))
+            for tree in range(n):
+                node, feature, cut, size = trees.grow(distinct, weight, 42, tree, features, trees.depth_limit(len(fit)))
+                paths += trees.Forest(np.full(len(node), tree), node, feature, cut, size).paths(matrix)[:, 0]
+            scores = -(2.0 ** (-paths / (n * float(trees.average_path(len(fit))))))
+            flagged = scores[held] < np.quantile(scores[fit], share)
+            hit = (flagged & (labels[held] == 1)).sum()
+            f1.append(2 * hit / (flagged.sum() + labels[held].sum()) if flagged.sum() + labels[held].sum() else 0.0)
+        assert mean == pytest.approx(np.mean(f1))
+
+
 def test_prefix_of_a_forest_is_the_smaller_forest(spark):
     vectors = cloud(spark, 100)
     large, _ = grow_forest(vectors, 6, ForestParams(5, 32, 0.75, None))
