@@ -7,7 +7,10 @@
 3. Fit: logistic regression on r * presence over about ``FIT_ROWS`` training documents (those
    with the smallest id hashes; the bound is a parameter, kept by the hash threshold). Features of that
    sample are all that the driver gets.
-4. Score: one pass over all whole texts, no shuffle: the sum of weight * r of the n-grams present.
+4. Map: scores of texts that a fit has not seen are less extreme than those of its own rows. The sample is cut into ``CROSS`` parts; each is
+   scored by a fit on the others, with ratios from counts without that part. A two-parameter logistic map from these scores to the
+   labels, halfway between the sample's class shares and equal shares, is folded into the weights and the intercept.
+5. Score: one pass over all whole texts, no shuffle: the sum of weight * r of the n-grams present.
 
 A null text counts as empty and gets the bare intercept. Documents with several label rows count as toxic
 if one row says so; null labels are left out. With only one class (or none) among the labels, every score is
@@ -33,6 +36,9 @@ FIT_ROWS = 20_000
 CHUNK = 1 << 20  # feature marks that a step of the fit works on at a time
 HASHES = 1 << 30
 THRESHOLD = 0.7
+PENALTY = 10.0
+CROSS = 3
+BALANCE = 0.5  # 0: the sample's own class shares, 1: equal shares
 STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -105,7 +111,7 @@ def _row_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
-def fit_logistic(rows: list[np.ndarray], ratio: np.ndarray, label: np.ndarray, l2: float = 1.0, rounds: int = 300):
+def fit_logistic(rows: list[np.ndarray], ratio: np.ndarray, label: np.ndarray, l2: float = PENALTY, rounds: int = 300):
     """Weights and intercept of a logistic regression on ratio * presence, by accelerated gradient steps.
 
     Only the marks of the features present are held whole; all that a step derives from them is a chunk long.
@@ -138,6 +144,45 @@ def fit_logistic(rows: list[np.ndarray], ratio: np.ndarray, label: np.ndarray, l
     return w, bias
 
 
+def log_ratio(clean, toxic, all_clean: int, all_toxic: int):
+    return np.log((toxic + 1) / (all_toxic + 2)) - np.log((clean + 1) / (all_clean + 2))
+
+
+def unseen_scores(rows: list[np.ndarray], label: np.ndarray, clean: np.ndarray, toxic: np.ndarray, sizes: tuple[int, int], parts: int = CROSS):
+    """Linear scores of the sample's rows, each from a fit without its part; ``clean`` and ``toxic`` count all training rows."""
+    found, part = np.zeros(len(rows)), np.arange(len(rows)) % parts
+    for k in range(parts):
+        out, kept = np.flatnonzero(part == k), np.flatnonzero(part != k)
+        if not len(out) or not len(kept):
+            continue
+        counts, totals = [clean.copy(), toxic.copy()], list(sizes)
+        for i in out:
+            counts[int(label[i])][rows[i]] -= 1
+            totals[int(label[i])] -= 1
+        ratio = log_ratio(*counts, *totals)
+        weight, bias = fit_logistic([rows[i] for i in kept], ratio, label[kept])
+        weight = weight * ratio
+        found[out] = [bias + weight[rows[i]].sum() for i in out]
+    return found
+
+
+def fit_map(score: np.ndarray, label: np.ndarray, balance: float = BALANCE) -> tuple[float, float]:
+    """Slope and offset of the logistic map from scores to labels; the identity if a class is missing or the map would turn scores round."""
+    ones, zeros = label.sum(), (1 - label).sum()
+    if not ones or not zeros:
+        return 1.0, 0.0
+    target = np.where(label == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))  # never quite 0 or 1
+    x, at = np.stack([score, np.ones(len(score))], axis=1), np.array([1.0, 0.0])
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ at, -500, 500)))
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2), x.T @ (p - target))
+        at = at - step
+        if np.abs(step).max() < 1e-9:
+            break
+    slope, offset = at
+    return (float(slope), float(offset + balance * np.log(zeros / ones))) if slope > 0 and np.isfinite(at).all() else (1.0, 0.0)
+
+
 def train(rows: DataFrame, features: int = FEATURES, fit_rows: int = FIT_ROWS) -> Model:
     """A model from ``(doc_id, text, toxic)`` rows."""
     ship(rows.sparkSession)
@@ -148,12 +193,12 @@ def train(rows: DataFrame, features: int = FEATURES, fit_rows: int = FIT_ROWS) -
         return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(share / (1 - share))))
     counted = rows.select("text", "toxic").mapInArrow(_count, "bucket int, clean long, toxic long")
     counted = counted.groupBy("bucket").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-    ratio = F.log((F.col("toxic") + 1) / (toxic + 2)) - F.log((F.col("clean") + 1) / (clean + 2))
     part = lambda seen, n: F.when(seen > 0, seen * F.log(seen / ((F.col("toxic") + F.col("clean")) * (n / (toxic + clean))))).otherwise(0.0)
     gain = part(F.col("toxic"), toxic) + part(F.col("clean"), clean)
-    top = counted.select("bucket", ratio.alias("ratio"), gain.alias("gain")).orderBy(F.desc("gain"), "bucket").limit(features)
+    top = counted.select("bucket", "clean", "toxic", gain.alias("gain")).orderBy(F.desc("gain"), "bucket").limit(features)
     top = top.toPandas().sort_values("bucket")
-    at, ratio = top["bucket"].to_numpy(), top["ratio"].to_numpy()
+    at, seen = top["bucket"].to_numpy(), (top["clean"].to_numpy(), top["toxic"].to_numpy())
+    ratio = log_ratio(*seen, clean, toxic)
     place = np.full(1 << BITS, -1, np.int32)
     place[at] = np.arange(len(at))
     kind = np.dtype("<u2" if len(at) <= 1 << 16 else "<i4")
@@ -167,8 +212,10 @@ def train(rows: DataFrame, features: int = FEATURES, fit_rows: int = FIT_ROWS) -
     sample = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(HASHES)) < int(share * HASHES))
     fitted = sample.select("text", "toxic").mapInArrow(featurise, "toxic int, cols binary").toArrow()
     label = fitted.column("toxic").to_numpy().astype(float)
-    w, b = fit_logistic([np.frombuffer(c.as_buffer(), kind) for c in fitted.column("cols")], ratio, label)
-    return Model(at, w * ratio, b)
+    cols = [np.frombuffer(c.as_buffer(), kind) for c in fitted.column("cols")]
+    w, b = fit_logistic(cols, ratio, label)
+    slope, offset = fit_map(unseen_scores(cols, label, *seen, (clean, toxic)), label)
+    return Model(at, slope * w * ratio, slope * b + offset)
 
 
 def scorer(model: Model):
