@@ -32,7 +32,7 @@ BASE = {
     "cc by nc": "cc-by-nc",
 }
 
-# Wording in markup, and the label it carries.
+# Wording in markup, and the label it carries; notices, first sentences and whole license texts.
 TEMPLATES = {
     "mit-notice": "[[this {{work:0-3}} is]] released under the mit license",
     "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this {{work:1-8}} "
@@ -45,6 +45,44 @@ TEMPLATES = {
     "provided that the following conditions are met",
     "isc-text": "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee "
     "is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "mit-license": "[[the]] [[mit license]] [[copyright {{holder:1-12}}]] permission is hereby granted free of charge to any person obtaining a copy "
+    "of this software and associated documentation files the software to deal in the software without restriction including without "
+    "limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons "
+    "to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice "
+    "[[including the next paragraph]] shall be included in all copies or substantial portions of the software the software is provided as is "
+    "without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular "
+    "purpose and noninfringement in no event shall {{holder:1-8}} be liable for any claim damages or other liability whether in an action of "
+    "contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    "bsd-2-clause": "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+    "conditions are met [[1]] redistributions of source code must retain the above copyright notice this list of conditions and the following "
+    "disclaimer [[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following "
+    "disclaimer in the documentation and or other materials provided with the distribution this software is provided by {{owner:1-10}} as is "
+    "and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular "
+    "purpose are disclaimed in no event shall {{owner:1-10}} be liable for any direct indirect incidental special exemplary or consequential "
+    "damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption "
+    "however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in "
+    "any way out of the use of this software even if advised of the possibility of such damage",
+    "bsd-3-clause": "redistribution and use in source and binary forms with or without modification are permitted provided that the following "
+    "conditions are met [[1]] redistributions of source code must retain the above copyright notice this list of conditions and the following "
+    "disclaimer [[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following "
+    "disclaimer in the documentation and or other materials provided with the distribution [[3]] neither the name of {{organization:1-12}} nor "
+    "the names of its contributors may be used to endorse or promote products derived from this software without specific prior written "
+    "permission this software is provided by {{owner:1-10}} as is and any express or implied warranties including but not limited to the "
+    "implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall {{owner:1-10}} be liable for "
+    "any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or "
+    "services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict "
+    "liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility "
+    "of such damage",
+    "isc": "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted provided "
+    "that the above copyright notice and this permission notice appear in all copies the software is provided as is and {{author:1-6}} "
+    "disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall "
+    "{{author:1-6}} be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use "
+    "data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or "
+    "performance of this software",
+    "apache-2-header": "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the "
+    "license you may obtain a copy of the license at [[http]] [[https]] [[www apache org licenses license 2 0]] unless required by applicable "
+    "law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of "
+    "any kind either express or implied see the license for the specific language governing permissions and limitations under the license",
     "copyright-notice": "copyright [[c]] {{year:1-1}} [[by]] {{holder:1-6}} all rights reserved",
 }
 
