@@ -11,19 +11,22 @@ item, if that is shorter): a stretch may start at every character.
 3. Each kept region is verified by banded alignment (numpy): its stretches against the substring of the
    region, free ends in the document, until one is within the budget. Its edits are those reported.
 
-The benchmark's q-gram index is broadcast block by block: a block holds at most ``BLOCK_CHARS``
-characters of the benchmark, its proven size bound; a larger benchmark takes more passes. Documents are
+The benchmark's items are broadcast block by block: a block holds at most ``BLOCK_CHARS``
+characters of the benchmark, its proven size bound; a larger benchmark takes more passes, and a block is freed before
+the next. A worker process keeps the index of one block. Documents are
 scanned whole, without a shuffle; only with more than one block are the counts of a row summed by its number.
 
-Nulls and empty texts hold nothing. An item shorter than q characters has no q-gram: it
-contaminates documents that equal it as a whole; an empty or null item none. Repeated rows get
-equal answers. An empty table gives an empty result, an empty benchmark marks nothing. Only the named columns are read.
+Nulls and empty texts hold nothing. An item shorter than q characters has no q-gram: it is searched as it is, standing between
+blanks or text ends. An empty or null item contaminates nothing. Items of one text count each, items without an id
+count as one together and come last. Repeated rows get equal answers. An empty table gives an empty result, an empty benchmark marks nothing. Only the named columns are read.
 """
 
 from __future__ import annotations
 
 import functools
+import uuid
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -79,18 +82,23 @@ def budget(m: int, q: int = Q, edits: float = EDITS) -> int:
 class Index:
     """q-grams of some benchmark items."""
 
-    def __init__(self, items: list[tuple[int, str]], q: int = Q, window: int = WINDOW, edits: float = EDITS):
+    def __init__(self, items: list[tuple[int | None, str]], q: int = Q, window: int = WINDOW, edits: float = EDITS):
         self.q = q
-        self.whole: dict[str, int] = {}
-        self.items: list[tuple[int, np.ndarray]] = []  # item, characters
+        self.short: dict[str, list] = {}
+        self.items: list[tuple[int | None, np.ndarray]] = []  # item, characters
         for item, text in items:
             points = codes(text)
             if not len(points):
                 continue
             if len(points) < q:
-                self.whole[text] = min(item, self.whole.get(text, item))
+                self.short.setdefault(text, []).append(item)
                 continue
             self.items.append((item, points))
+        self.words = ahocorasick.Automaton()
+        for text in self.short:
+            self.words.add_word(f" {text} ", text)
+        if self.short:
+            self.words.make_automaton()
         hashes = [gram_hashes(points, q) for _, points in self.items]
         flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(hashes)), [len(h) for h in hashes])
@@ -158,10 +166,10 @@ class Index:
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
         """(item, start, end, edits) in the normalised text, one row per verified region."""
         flat = normal(text)
-        if flat in self.whole:
-            return [(self.whole[flat], 0, len(flat), 0)]
         points = codes(flat)
         found = set()
+        for end, text in self.words.iter(f" {flat} ") if self.short and flat else ():
+            found.update((item, end - 1 - len(text), end - 1, 0) for item in self.short[text])
         for item, diagonal, low, high in self.regions(points):
             name, whole = self.items[item]
             width, edits = int(self.width[item]), int(self.edits[item])
@@ -173,7 +181,7 @@ class Index:
                 if hit is not None:
                     found.add((name, a + hit[0], a + hit[1], hit[2]))
                     break
-        return sorted(found)
+        return sorted(found, key=lambda hit: (hit[0] is None, hit))
 
 
 def align(part: np.ndarray, region: np.ndarray, edits: int) -> tuple[int, int, int] | None:
@@ -205,7 +213,7 @@ def align(part: np.ndarray, region: np.ndarray, edits: int) -> tuple[int, int, i
 
 def benchmark_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", block_chars: int = BLOCK_CHARS):
     """The benchmark's normalised items in driver-sized blocks of bounded characters, one at a time."""
-    rows = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).where("t is not null and i is not null")
+    rows = benchmark.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).where("t is not null")
     block, size = [], 0
     for row in rows.toLocalIterator():
         text = normal(row["t"])
@@ -224,16 +232,45 @@ def matches(docs: DataFrame, benchmark: DataFrame, q: int = Q, window: int = WIN
     ship(spark)
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
     schema = "doc_id long, item_id long, start long, end long, edits long"
-    out = spark.createDataFrame([], schema)
-    for block in benchmark_blocks(benchmark):
-        found = named.mapInArrow(_scan(spark.sparkContext.broadcast(block), q, window, edits), schema)
-        out = out.unionByName(found)
-    return out
+    return _by_block(benchmark, BLOCK_CHARS, schema, lambda block: named.mapInArrow(_scan(block, q, window, edits), schema))
+
+
+def _by_block(benchmark: DataFrame, block_chars: int, schema: str, work) -> DataFrame:
+    """The results of ``work`` on every block; all but the only one are written and their block is freed."""
+    spark, out, waiting = benchmark.sparkSession, [], None
+    for items in benchmark_blocks(benchmark, block_chars=block_chars):
+        if waiting is not None:
+            out.append(materialize(work(waiting), "decontamination-block"))
+            waiting.shared.unpersist()
+        waiting = Block(spark, items)
+    if waiting is None:
+        return work(Block(spark, []))
+    if not out:
+        return work(waiting)
+    out.append(materialize(work(waiting), "decontamination-block"))
+    waiting.shared.unpersist()
+    return functools.reduce(DataFrame.unionByName, out)
+
+
+class Block:
+    """A broadcast run of items; a worker process keeps the index that it made last."""
+
+    _made: tuple = (None, None)
+
+    def __init__(self, spark, items):
+        self.name, self.shared = uuid.uuid4().hex, spark.sparkContext.broadcast(items)
+
+    def index(self, q: int = Q, window: int = WINDOW, edits: float = EDITS) -> Index:
+        key = (self.name, q, window, edits)
+        if Block._made[0] != key:
+            Block._made = (None, None)
+            Block._made = (key, Index(self.shared.value, q, window, edits))
+        return Block._made[1]
 
 
 def _scan(block, q, window, edits):
     def body(batches):
-        index = Index(block.value, q, window, edits)
+        index = block.index(q, window, edits)
         for batch in batches:
             rows = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -250,7 +287,7 @@ def _count(block):
     """One row per input row: its columns but the text, the ids of its items, regions and least edits."""
 
     def body(batches):
-        index = Index(block.value)
+        index = block.index()
         for batch in batches:
             hits = [index.find(t) for t in batch.column("text").to_pylist()]
             found = {name: batch.column(name) for name in batch.schema.names if name != "text"}
@@ -271,15 +308,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOC
     spark = docs.sparkSession
     ship(spark)
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    blocks = [spark.sparkContext.broadcast(b) for b in benchmark_blocks(benchmark, block_chars=block_chars)]
-    blocks = blocks or [spark.sparkContext.broadcast([])]
     schema = "doc_id long, items array<long>, n_regions long, least_edits long"
-    if len(blocks) == 1:
-        found = named.mapInArrow(_count(blocks[0]), schema)
+    if (benchmark.agg(F.sum(F.length("text") * 3)).first()[0] or 0) <= block_chars:  # one block: lower case is at most three times as long
+        found = _by_block(benchmark, 1 << 62, schema, lambda block: named.mapInArrow(_count(block), schema))
     else:
-        rows = materialize(named.withColumn("row", F.monotonically_increasing_id()), "decontamination-rows")
-        parts = [rows.select("row", "doc_id", "text").mapInArrow(_count(b), f"row long, {schema}") for b in blocks]
-        found = functools.reduce(DataFrame.unionByName, parts).groupBy("row").agg(
+        rows = materialize(named.withColumn("row", F.monotonically_increasing_id()), "decontamination-rows").select("row", "doc_id", "text")
+        parts = _by_block(benchmark, block_chars, schema, lambda block: rows.mapInArrow(_count(block), f"row long, {schema}"))
+        found = parts.groupBy("row").agg(
             F.max("doc_id").alias("doc_id"),
             F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
             F.sum("n_regions").alias("n_regions"),

@@ -264,6 +264,53 @@ def test_decontamination_finds_every_stretch():
         assert not index.find(prose(1, 30) + " Q" + part[:40] + prose(3, 9) + part[56:] + "q " + prose(2, 30))
 
 
+@pytest.mark.parametrize("block_chars", [10, 4_000_000])
+def test_decontamination_keeps_every_item(spark, block_chars):
+    """Items without an id, items of one text and short ones; short ones stand as whole words."""
+    item = prose(11, 30)
+    bench = spark.createDataFrame([(None, item), (7, "Tiny  X"), (3, "tiny x"), (4, ""), (5, None), (None, "ok?"), (6, prose(12, 30))], "item_id long, text string")
+    rows = [(1, prose(1) + item + prose(2)), (2, "so tiny x it is"), (3, "tiny xy"), (4, "this is ok?"), (5, prose(3)), (6, f"ok? TINY\tX {item}"), (7, "")]
+    found = decontamination.decontaminate(documents(spark, rows), bench, block_chars).collect()
+    got = {r["doc_id"]: (r["contaminated"], r["n_items"], r["first_item"], r["least_edits"]) for r in found}
+    clean = (False, 0, None, None)
+    assert got == {1: (True, 1, None, 0), 2: (True, 2, 3, 0), 3: clean, 4: (True, 1, None, 0), 5: clean, 6: (True, 3, 3, 0), 7: clean}
+
+
+def test_decontamination_is_brute_force(spark):
+    """Short items against the least edits of any stretch of any item and any substring of a text."""
+
+    def nearest(part, text):
+        row = [0] * (len(text) + 1)
+        for k, char in enumerate(part, 1):
+            new = [k]
+            for j, other in enumerate(text, 1):
+                new.append(min(row[j - 1] + (char != other), row[j] + 1, new[-1] + 1))
+            row = new
+        return min(row)
+
+    rng = random.Random(12)
+    items = [(k, prose(300 + k, 40)[: rng.choice((30, 60, 96, 110))].strip()) for k in range(5)]
+
+    def damaged(text, edits):
+        for _ in range(edits):
+            at = rng.randrange(len(text))
+            text = text[:at] + rng.choice(("", "q", text[at] + "z")) + text[at + 1 :]
+        return text
+
+    rows = [(k, prose(400 + k, 6) + " " + damaged(rng.choice(items)[1], k % 9) + " " + prose(500 + k, 6)) for k in range(40)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["doc_id"]: (r["contaminated"], r["n_items"], r["first_item"]) for r in decontamination.decontaminate(documents(spark, rows), bench).collect()}
+    for doc, text in rows:
+        flat, held = decontamination.normal(text), []
+        for item, words in items:
+            words = decontamination.normal(words)
+            width = min(len(words), decontamination.WINDOW)
+            stretches = [words[s : s + width] for s in range(len(words) - width + 1)]
+            if min(nearest(part, flat) for part in stretches) <= decontamination.budget(width):
+                held.append(item)
+        assert got[doc] == (bool(held), len(held), min(held, default=None)), doc
+
+
 @pytest.mark.parametrize("block_chars", [10, 4_000_000])
 def test_decontamination_answers_by_row(spark, block_chars):
     item, other = prose(11, 30), prose(12, 30)
@@ -373,6 +420,45 @@ def test_license_base_phrases_are_brute_force(spark):
     assert licenses.license_scan(documents(spark, [])).count() == 0
 
 
+def written(markup, fill="ACME, Inc."):
+    """A text of the template: capitals, punctuation, all optional parts, replaceable ones filled."""
+    text = re.sub(r"\{\{[^}]*\}\}", fill, markup).replace("[[", "").replace("]]", "")
+    return ". ".join(part.strip().capitalize() for part in re.split(r"(?<= the software) ", text))
+
+
+@pytest.mark.parametrize("label", ["mit-license", "bsd-2-clause", "bsd-3-clause", "isc", "apache-2-header"])
+def test_whole_licenses(label):
+    markup = licenses.TEMPLATES[label]
+    automaton, whole = licenses.Automaton(markup), written(markup)
+    found = licenses.words("Some words before. " + whole + " And some after.")
+    assert automaton.accept(found, 3) == len(licenses.words(whole)) + 3
+    bare = licenses.words(re.sub(r"\[\[.*?\]\]", "", re.sub(r"\{\{[^}]*\}\}", "x", markup)))
+    assert automaton.accept(bare, 0) == len(bare) and label in licenses.Scanner().scan(whole)["labels"].split(",")
+    for k in range(len(bare)):  # one mandatory word changed, left out or doubled
+        if bare[k] == b"x":
+            continue
+        for wrong in ([b"zzz"], [], [bare[k], b"zzz"]):
+            text = bare[:k] + wrong + bare[k + 1 :]
+            end = automaton.accept(text, 0)
+            beside_replaceable = b"x" in bare[max(0, k - 1) : k + 2]
+            last = k == len(bare) - 1 and wrong[:1] == [bare[k]]
+            assert end == -1 or last or beside_replaceable, (k, bare[k], wrong)
+
+
+def test_templates_are_brute_force():
+    """Every end of every start, against the markup as a regular expression over words."""
+    rng = random.Random(8)
+    for markup in ("a [[b c]] {{x:1-2}} d", "a [[b [[c]] a]] b", "{{x:0-2}} a b", "[[a]] [[b]] c {{x:2-3}}", "a {{x:0-1}} {{y:1-2}} [[d]] c"):
+        expression = re.sub(r"\{\{[^}]*:(\d)-(\d)\}\}", r"(?:\\S+ ){\1,\2}", re.sub(r"(?<![{\w:])([a-d])(?![\w:])", r"\1 ", markup))
+        expression = re.sub(r"\]\] ?", ")?", expression.replace("[[", "(?:"))
+        expression = re.compile(re.sub(r"(?<=[)}?]) +|(?<= ) +", "", expression))
+        automaton = licenses.Automaton(markup)
+        for _ in range(300):
+            text = [rng.choice("abcd") for _ in range(rng.randint(0, 9))]
+            ends = [e for e in range(len(text) + 1) if expression.fullmatch("".join(f"{w} " for w in text[:e]))]
+            assert automaton.accept([w.encode() for w in text], 0) == max(ends, default=-1), (markup, text)
+
+
 def test_template_markup():
     automaton = licenses.Automaton("a [[b c]] {{x:1-2}} d")
     accept = lambda text: automaton.accept(licenses.words(text), 0)
@@ -402,14 +488,37 @@ def test_toxicity_fit_in_chunks(monkeypatch):
     assert parts == pytest.approx(whole) and bias_too == pytest.approx(bias)
 
 
+def test_toxicity_map_is_the_likeliest():
+    rng = np.random.default_rng(3)
+    score = rng.normal(size=4000) * 3
+    label = (rng.random(4000) < 1 / (1 + np.exp(-(1.7 * score - 2)))).astype(float)
+    assert toxicity.fit_map(score, label, 0.0) == pytest.approx((1.7, -2), abs=0.25)
+    shift = toxicity.fit_map(score, label, 1.0)[1] - toxicity.fit_map(score, label, 0.0)[1]
+    assert shift == pytest.approx(np.log((label == 0).sum() / label.sum()))
+    assert toxicity.fit_map(score, np.ones(4000)) == toxicity.fit_map(-score, label) == (1.0, 0.0)
+
+
+def test_toxicity_scores_of_unseen_rows():
+    """A row's score does not depend on its own label or marks' counts."""
+    rng = np.random.default_rng(5)
+    rows = [np.flatnonzero(rng.random(30) < 0.3) for _ in range(60)]
+    label = (rng.random(60) < 0.4).astype(float)
+    counts = lambda y: [sum((np.bincount(r, minlength=30) for r, k in zip(rows, y) if k == c), np.zeros(30, int)) for c in (0, 1)]
+    scores = lambda y: toxicity.unseen_scores(rows, y, *counts(y), (int((y == 0).sum()), int(y.sum())))
+    other = label.copy()
+    other[::3] = 1 - other[::3]  # all of part 0
+    assert scores(other)[::3] == pytest.approx(scores(label)[::3])
+    assert not np.allclose(scores(other)[1::3], scores(label)[1::3])
+
+
 def test_toxicity_held_out(spark):
-    """sf0.1 marks some 260 training documents as toxic; the ranking must be right, the threshold may miss some."""
+    """sf0.1 marks some 300 training documents as toxic: the ranking is right, nine tenths are caught, clean documents left alone."""
     folder = "/root/testdata/sf0.1"
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     held = toxicity.toxicity(docs, labels).where("held_out").join(labels.select("doc_id", "toxic"), "doc_id").collect()
     toxic, clean = (np.array([r["score"] for r in held if r["toxic"] == k]) for k in (1, 0))
     assert (toxic[:, None] > clean).mean() > 0.95
-    assert (clean >= 0.7).mean() < 0.01 and (toxic >= 0.7).mean() > 0.6
+    assert (clean >= 0.7).mean() < 0.01 and (toxic >= 0.7).mean() >= 0.9
 
 
 def test_pipeline(spark, sf_dir):
@@ -445,3 +554,26 @@ def test_pipeline_decides_by_row(spark, tmp_path):
     near = [(None, long), (None, long + " x"), (None, prose(2)), (8, long + " y"), (7, prose(3)), (7, prose(3)), (7, prose(4))]
     left = corpus_pipeline.drop_near_copies(spark, documents(spark, near), str(tmp_path)).collect()
     assert sorted((r["doc_id"] or 0, r["text"]) for r in left) == sorted([(0, prose(2)), (8, long + " y"), (7, prose(3)), (7, prose(4))])
+
+
+def test_pipeline_keeps_what_it_cannot_judge(spark, tmp_path):
+    """Columns of the stages' own names stay, no language to learn keeps all rows, a script of many letters is no reason to go."""
+    import corpus_pipeline
+
+    spark.createDataFrame([(1, prose(11, 30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kind = "doc_id long, text string, lang string, source string, row string, Guess int, _row int, row_ int"
+    rng = random.Random(6)
+    han = lambda n: "".join(chr(0x4E00 + int(rng.paretovariate(0.4)) % 3000) for _ in range(n))
+    rows = [(k, han(rng.randint(15, 200)), "zh", "s", "r", 1, 2, 3) for k in range(200)]
+    rows += [(300, "12 34", "zh", "s", "r", 1, 2, 3), (301, None, "zh", "s", "r", 1, 2, 3)]
+    docs = spark.createDataFrame(rows, kind)
+    judged = corpus_pipeline.identify_language(spark, docs, str(tmp_path))
+    assert judged.columns == docs.columns and {r["doc_id"] for r in judged.collect()} == set(range(200))
+    unknown = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.identify_language(spark, unknown, str(tmp_path)).count() == 202
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        left = stage(spark, docs, str(tmp_path))
+        assert left.columns == docs.columns and left.where("Guess = 1 and _row = 2 and row_ = 3 and row = 'r'").count() == left.count() > 190
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, str(tmp_path)).count() == 0
