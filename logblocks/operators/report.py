@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,10 +85,16 @@ def run_summary(
     return report, spark.createDataFrame([tuple(row[n] for n in names)], HISTORY), failure
 
 
-def write_run(report: DataFrame, history: DataFrame | None, failure: str | None, summary_path: str, history_path: str) -> None:
-    """Writes the summary, appends the history, and only then raises a guardrail failure."""
+def write_run(
+    report: DataFrame, history: DataFrame | None, failure: str | None, summary_path: str, history_path: str, run_id: str | None = None
+) -> None:
+    """Writes the summary, adds the history row, and only then raises a guardrail failure.
+
+    With a ``run_id`` the row has a folder of its own, so a run that is written again replaces its row; without one it is appended.
+    """
     report.coalesce(1).write.mode("overwrite").text(summary_path)
     if history is not None:
-        history.coalesce(1).write.mode("append").option("header", True).csv(history_path)
+        keyed = history_path if run_id is None else f"{history_path}/run-{re.sub(r'[^0-9A-Za-z_.-]', '_', run_id)}"
+        history.coalesce(1).write.mode("append" if run_id is None else "overwrite").option("header", True).csv(keyed)
     if failure:
         raise guardrails.GuardrailError(failure)

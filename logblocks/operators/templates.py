@@ -40,8 +40,8 @@ from pyspark.sql import types as T
 
 from logblocks.functions.clusters import WILDCARD, Clusters, Rules, has_digit
 from logblocks.functions.text import words
-from logblocks.operators.ordering import number_rows
-from logblocks.operators.staging import broadcast_if_small, materialize, require_columns
+from logblocks.operators.ordering import SMALL_ROWS, number_rows
+from logblocks.operators.staging import broadcast_if_small, fits, materialize, require_columns
 from logblocks.shipping import ship
 
 FIRST_LINES = 1_000_000
@@ -289,15 +289,16 @@ def _replayed(reported: DataFrame, rules: Rules) -> DataFrame:
     columns = ["n", "node", "line_no", "tokens", "path"]
     leaves = open_rows.where(F.col("prefix") == 0).select(*columns)
     for level in range(levels):
-        open_rows = materialize(open_rows.where(F.col("prefix") > level), "open-lines")
+        open_rows = open_rows.where(F.col("prefix") > level)
+        if level:
+            open_rows = materialize(open_rows, "open-lines")
         children = materialize(_children(open_rows, level, rules), "children")
         token = F.when(F.col("path").isNotNull(), F.get("path", F.lit(level))).otherwise(F.get("tokens", F.lit(level)))
-        small = broadcast_if_small(children.withColumnRenamed("line", "begins"))
-        parted = open_rows.withColumn("token", token).join(small, ["n", "node", "token"], "left")
+        parted = open_rows.withColumn("token", token).join(children.withColumnRenamed("line", "begins"), ["n", "node", "token"], "left")
         down = F.concat("node", F.array("token")).alias("node")
         going = parted.where("begins is not null").select("n", down, "line_no", "tokens", "path", "prefix")
         beside = parted.where("begins is null")
-        kids = children.join(broadcast_if_small(beside.select("n", "node").distinct()), ["n", "node"], "left_semi").select(
+        kids = children.select(
             "n", "node", F.lit(None).cast("long").alias("line_no"), F.lit(None).cast("array<string>").alias("tokens"), F.array("token").alias("path")
         )
         undecided = beside.select(*columns).unionByName(kids).groupBy("n", "node")
@@ -481,7 +482,12 @@ def _events(clusters: DataFrame, prior: DataFrame | None) -> DataFrame:
     """Clusters with their event names, numbered by first line after the known ones, and the known ones' sizes."""
     content = [F.col("text").alias("template"), F.col("tokens").alias("log_template_tokens"), "path"]
     last = 0 if prior is None else prior.agg(F.max(F.substring("event_id", 2, 20).cast("bigint"))).first()[0] or 0
-    new = number_rows(clusters.where(F.col("line_no") >= 0), "line_no", name="_number").select(
+    fresh = clusters.where(F.col("line_no") >= 0)
+    if fits(fresh, SMALL_ROWS):
+        numbered = fresh.withColumn("_number", F.row_number().over(Window.orderBy("line_no")) - 1)
+    else:
+        numbered = number_rows(fresh, "line_no", name="_number")
+    new = numbered.select(
         "line_no",
         F.concat(F.lit("E"), (F.col("_number") + last + 1).cast("string")).alias("event_id"),
         *content,

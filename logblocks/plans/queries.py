@@ -38,7 +38,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
 
 SYSTEM_PROMPT = "You are an on-call assistant."
-SPLIT_TIME = "2024-01-16"
 
 
 def query(fn: Query) -> Query:
@@ -216,9 +215,9 @@ def template_metadata(spark, sf_dir):
 
 @query
 def template_resume(spark, sf_dir):
-    """The log in two runs, the second one from the first one's written catalog."""
-    log = logview.parsed(spark, sf_dir)
-    cut = F.unix_seconds(F.lit(SPLIT_TIME).cast("timestamp"))
+    """The log in two runs, cut at the median time; the second one starts from the first one's written catalog."""
+    log = stages.split_log(spark, sf_dir).good
+    cut = F.lit(log.agg(F.percentile_approx("timestamp", 0.5)).first()[0])
     first = templates.mine_templates(log.where(F.col("timestamp") < cut))
     path = staging_path(spark, "catalog")
     sinks.write_catalog(first.catalog, first.metadata, path)
@@ -516,7 +515,7 @@ def _run(spark, sf_dir, vocab) -> tuple[DataFrame, DataFrame, str | None]:
     made = report.run_summary(spark, labelled, stages.predictions(spark, sf_dir), checks, artifacts)
     base, raised = staging_path(spark, "run"), None
     try:
-        report.write_run(*made, f"{base}/summary", f"{base}/history")
+        report.write_run(*made, f"{base}/summary", f"{base}/history", run_id="run")
     except guardrails.GuardrailError as failure:
         raised = str(failure)
     return *tables.read_run(spark, f"{base}/summary", f"{base}/history"), raised

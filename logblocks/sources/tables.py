@@ -18,6 +18,11 @@ def _csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame
     return (reader.schema(schema) if schema else reader).csv(path)
 
 
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a metrics history, appended ones and those of keyed runs."""
+    return spark.read.option("header", True).option("escape", '"').option("recursiveFileLookup", True).schema(HISTORY).csv(path)
+
+
 def read_parsed(spark: SparkSession, path: str, message: str = "message", csv: bool = False) -> DataFrame:
     """Parsed log with ``line_no``; a CSV file gets its numbers from the file order."""
     if not csv:
@@ -92,7 +97,7 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 
 def read_run(spark: SparkSession, summary: str, history: str) -> tuple[DataFrame, DataFrame]:
     """(summary with numbers and booleans as such, metrics history)."""
-    return spark.read.json(summary), _csv(spark, history, HISTORY)
+    return spark.read.json(summary), read_history(spark, history)
 
 
 def read_anomalies(spark: SparkSession, path: str) -> DataFrame:

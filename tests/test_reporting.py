@@ -4,6 +4,7 @@ import pytest
 
 from logblocks.operators import evaluate, guardrails, incidents, report, sequences
 from logblocks.operators.guardrails import GuardrailError
+from logblocks.sources import tables
 from tests.conftest import lines_of
 
 SEQ = "block_id string, events array<string>"
@@ -176,6 +177,16 @@ def test_summary_and_history(spark, tmp_path):
     assert len(rows) == 2 and rows[0].contamination == 0.333333 and rows[0].guardrails_status == "ok"
 
 
+def test_a_run_that_is_written_again_keeps_one_row(spark, tmp_path):
+    made = run(spark, labels=True)
+    paths = str(tmp_path / "summary"), str(tmp_path / "history")
+    for run_id in ("2024-01-02T03:04:05+00:00", "2024-01-02T03:04:05+00:00", "second"):
+        report.write_run(*made, *paths, run_id=run_id)
+    assert tables.read_history(spark, paths[1]).count() == 2
+    report.write_run(*made, *paths)
+    assert tables.read_history(spark, paths[1]).count() == 3 and tables.read_history(spark, paths[1]).columns == made[1].columns
+
+
 def test_unlabelled_runs_keep_no_history(spark):
     summary, history, _ = run(spark, labels=False)
     body = json.loads(summary.first().value)
