@@ -14,45 +14,66 @@ from logblocks.llm import decontamination, exact_dedup, language_id, mixing, sim
 from logblocks.llm.common import table
 from logblocks.operators.staging import broadcast_if_small, materialize, staging_path
 
-MIN_LANGUAGE_SCORE = 0.2  # below it a text is far from every profile
+# A text goes if it is less than this share as near to its language as all but TYPICAL of that language's own texts.
+FAR, TYPICAL = 0.5, 0.01
 SHINGLE, RADIUS = 4, 4
-ROW = "_row"
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with a unique number ``ROW``, written so that every read sees the same."""
-    return materialize(docs.withColumn(ROW, F.monotonically_increasing_id()), "pipeline-rows")
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, longer if ``docs`` has a column of that name."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
-def _without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a unique number, written so that every read sees the same, and the number's name."""
+    name = _free(docs, "row")
+    return materialize(docs.withColumn(name, F.monotonically_increasing_id()), "pipeline-rows"), name
+
+
+def _without(rows: DataFrame, gone: DataFrame, number: str) -> DataFrame:
     """Numbered ``rows`` without the numbers in ``gone``."""
     gone = broadcast_if_small(materialize(gone, "pipeline-gone"))
-    return rows.join(gone, ROW, "left_anti").drop(ROW)
+    return rows.join(gone, number, "left_anti").drop(number)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without letters or in none of the learned languages go."""
-    guess = language_id.predictor(language_id.train(docs))(F.col("text"))
-    judged = docs.withColumn("_guess", guess)
-    known = (F.col("_guess")["lang_pred"] != "und") & (F.col("_guess")["score"] >= MIN_LANGUAGE_SCORE)
-    return judged.where(known).drop("_guess")
+    """Texts without letters go, and those far from every learned language.
+
+    What is far is told by each language's own texts, all of them: half the score that 99 of 100 of them reach. Where nothing can be learned,
+    all rows stay.
+    """
+    profiles = language_id.train(docs)
+    if not profiles.names:
+        return docs
+    guess = _free(docs, "guess")
+    judged = docs.withColumn(guess, language_id.predictor(profiles)(F.col("text")))  # in both passes: a written copy would be the whole corpus
+    found, score = F.col(guess)["lang_pred"], F.col(guess)["score"]
+    own = judged.where(F.col("lang") == found).groupBy(found.alias("l")).agg(F.percentile_approx(score, F.lit(TYPICAL)).alias("s"))
+    cuts = {r["l"]: r["s"] * FAR for r in own.collect()}  # one row a language
+    cut = F.lit(0.0)
+    for name, value in cuts.items():
+        cut = F.when(found == name, value).otherwise(cut)
+    return judged.where((found != "und") & (score >= cut)).drop(guess)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs)
-    return _without(rows, exact_dedup.kept_rows(rows, ROW).where(~F.col("kept")).select(ROW))
+    rows, number = _numbered(docs)
+    return _without(rows, exact_dedup.kept_rows(rows, number).where(~F.col("kept")).select(number), number)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component the row with the smallest id stays."""
-    rows = _numbered(docs)
-    return _without(rows, simhash.kept_rows(rows, ROW, SHINGLE, RADIUS).where(~F.col("kept")).select(ROW))
+    rows, number = _numbered(docs)
+    return _without(rows, simhash.kept_rows(rows, number, SHINGLE, RADIUS).where(~F.col("kept")).select(number), number)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs)
-    leaks = decontamination.matches(rows.select(F.col(ROW).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    return _without(rows, leaks.select(F.col("doc_id").alias(ROW)).distinct())
+    rows, number = _numbered(docs)
+    leaks = decontamination.matches(rows.select(F.col(number).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return _without(rows, leaks.select(F.col("doc_id").alias(number)).distinct(), number)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
