@@ -299,6 +299,29 @@ def _count(block):
     return body
 
 
+def _clean(block):
+    """The rows of a batch whose text holds no item of the block."""
+
+    def body(batches):
+        index = block.index()
+        for batch in batches:
+            yield batch.filter(pa.array([not index.find(t) for t in batch.column("text").to_pylist()], pa.bool_()))
+
+    return body
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no item, whatever their ids; one pass over them for each block, nothing written for the last."""
+    spark, waiting = docs.sparkSession, None
+    ship(spark)
+    for items in benchmark_blocks(benchmark):
+        if waiting is not None:
+            docs = materialize(docs.mapInArrow(_clean(waiting), docs.schema), "decontamination-left")
+            waiting.shared.unpersist()
+        waiting = Block(spark, items)
+    return docs if waiting is None else docs.mapInArrow(_clean(waiting), docs.schema)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """One row per document: doc_id, contaminated, n_items, n_regions, first_item (smallest), least_edits.
 
