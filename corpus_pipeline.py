@@ -1,7 +1,7 @@
 """From raw documents to a training mix: five stages, each written as Parquet and read by the next.
 
 A stage that filters decides row by row, so null and repeated ids are no special case: of a group of copies
-exactly one row stays, and only the rows that leak go. The stages on copies and leaks write the rows with a number
+exactly one row stays, and only the rows that leak go. The stages on copies write the rows with a number
 first. The list of numbers that go is broadcast only if it is short.
 """
 
@@ -49,7 +49,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     if not profiles.names:
         return docs
     guess = _free(docs, "guess")
-    judged = docs.withColumn(guess, language_id.predictor(profiles)(F.col("text")))  # in both passes: a written copy would be the whole corpus
+    judged = materialize(docs.withColumn(guess, language_id.predictor(profiles)(F.col("text"))), "pipeline-guesses")
     found, score = F.col(guess)["lang_pred"], F.col(guess)["score"]
     own = judged.where(F.col("lang") == found).groupBy(found.alias("l")).agg(F.percentile_approx(score, F.lit(TYPICAL)).alias("s"))
     cuts = {r["l"]: r["s"] * FAR for r in own.collect()}  # one row a language
@@ -71,9 +71,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows, number = _numbered(docs)
-    leaks = decontamination.matches(rows.select(F.col(number).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
-    return _without(rows, leaks.select(F.col("doc_id").alias(number)).distinct(), number)
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
