@@ -60,11 +60,15 @@ def reject_counts(lines: DataFrame, line: str = "line", order: str = "line_no")
 
 @dataclass
 class SplitLog:
-    """One written pass over a log: ``good`` as ``parse_lines`` gives them, ``rejected`` with their reason, lines by verdict."""
+    """One written pass over a log: ``good`` as ``parse_lines`` gives them, ``rejected`` with their reason, lines by verdict.
+
+    ``without_block`` counts the good lines whose message names no block.
+    """
 
     good: DataFrame
     rejected: DataFrame
     counts: dict[str, int]
+    without_block: int
 
 
 def split_lines(lines: DataFrame, line: str = "line", order: str = "line_no") -> SplitLog:
@@ -85,10 +89,12 @@ def split_lines(lines: DataFrame, line: str = "line", order: str = "line_no") ->
         verdict.alias("verdict"),
     )
     seen, path = Observation(), staging_path(spark, "split-log")
+    lost = F.sum((F.col("message").isNotNull() & text.first_block_id(F.col("message")).isNull()).cast("int")).alias("lost")
     counts = [F.sum((F.col("verdict") == name).cast("int")).alias(f"n{k}") for k, name in enumerate((GOOD, *REASONS))]
     # files keep the order of their lines, as the writer needs them by verdict
-    fields.observe(seen, *counts).sortWithinPartitions("verdict", order).write.partitionBy("verdict").parquet(path)
+    fields.observe(seen, *counts, lost).sortWithinPartitions("verdict", order).write.partitionBy("verdict").parquet(path)
     table = spark.read.schema(fields.schema).parquet(path)
     found = {name: seen.get[f"n{k}"] or 0 for k, name in enumerate((GOOD, *REASONS))}
     good = table.where(F.col("verdict") == GOOD).select(order, *PARSED)
-    return SplitLog(good, table.where(F.col("verdict") != GOOD).select(order, "line", F.col("verdict").alias("reason")), found)
+    rejected = table.where(F.col("verdict") != GOOD).select(order, "line", F.col("verdict").alias("reason"))
+    return SplitLog(good, rejected, found, seen.get["lost"] or 0)

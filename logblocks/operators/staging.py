@@ -12,7 +12,7 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -92,6 +92,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``materialize`` and aggregates over the rows, taken by the job that writes them.
+
+    They sit above the whole plan, in the tasks that write, where an attempt that is repeated counts once. A sum over no rows is 0.
+    """
+    seen = Observation()
+    table = materialize(df.observe(seen, *[c.alias(n) for n, c in counts.items()]), name)
+    return table, {n: seen.get[n] or 0 for n in counts}
+
+
 def _width(field: T.StructField) -> Column:
     """About the bytes of one value."""
     column, kind = F.col(f"`{field.name}`"), field.dataType

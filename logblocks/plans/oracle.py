@@ -390,6 +390,11 @@ _SELECTS = {
         from counts join vocab on event = event_id group by block_id""",
     "unseen_events": "select distinct event_id from refs where event_id not in (select event_id from info_vocab)",
     "matrix_shape": "select (select count(*) from totals) as blocks, (select count(*) from vocab) as features",
+    "run_counters": """select (select count(*) from kinds) as messages, (select count(*) from judged where reason is not null) as rejected,
+        (select count(*) from kinds where block_id is null) as without_block,
+        (select count(*) from labels_ where label_row not in (select label_row from labelled)) as missing_blocks,
+        (select count(*) from labelled) as blocks, (select sum(label) from labelled)::bigint as anomalies,
+        (select sum(n_events) from labelled)::bigint as events, (select count(*) from vocab) as features""",
     "label_stats": "select * from label_counts",
     "contamination": "select greatest(sum(label) / count(label), 1e-6::double) as contamination from labelled",
     "stratified_split": "select block_id, label, is_test from split",

@@ -305,6 +305,13 @@ def matrix_shape(spark, sf_dir):
     return features.shape(features.count_vectors(stages.rows(spark, sf_dir), vocab), vocab)
 
 
+@query
+def run_counters(spark, sf_dir):
+    """Warnings and sizes of a run, as the jobs that write its tables count them on the way."""
+    found = stages.counters(spark, sf_dir)
+    return spark.createDataFrame([tuple(found.values())], ", ".join(f"{name} long" for name in found))
+
+
 @query
 def label_stats(spark, sf_dir):
     return evaluate.label_stats(stages.labelled(spark, sf_dir))
@@ -557,7 +564,7 @@ def metrics_history_row(spark, sf_dir):
 
 
 def _features(spark, sf_dir) -> int:
-    return stages.vocabulary(spark, sf_dir).count()
+    return stages.feature_count(spark, sf_dir)
 
 
 def _forest(spark, sf_dir):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from logblocks.functions.text import first_block_id
 from logblocks.operators import calibrate, features, parse, score, sequences, splits
-from logblocks.operators.staging import hadoop_path, materialize, published
+from logblocks.operators.staging import hadoop_path, materialize, materialize_counted, published
 from logblocks.operators.templates import Templates, mine_templates
 from logblocks.plans import detect, logview
 
@@ -60,8 +60,13 @@ def warns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, sf_dir, "warns", lambda: materialize(logview.block_warns(logview.parsed(spark, sf_dir)), "warns"))
 
 
+def _labels(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, int]]:
+    build = lambda: materialize_counted(logview.labels(warns(spark, sf_dir)), "labels", rows=F.count("*"))
+    return _once(spark, sf_dir, "labels", build)
+
+
 def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "labels", lambda: materialize(logview.labels(warns(spark, sf_dir)), "labels"))
+    return _labels(spark, sf_dir)[0]
 
 
 def totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,18 +83,46 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _sequences(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, int]]:
+    def build():
+        found = sequences.labelled_sequences(sequences.block_sequences(rows(spark, sf_dir)), labels(spark, sf_dir))
+        return materialize_counted(found, "sequences", rows=F.count("*"), anomalies=F.sum("label"), events=F.sum("n_events"))
+
+    return _once(spark, sf_dir, "sequences", build)
+
+
 def sequence_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sequence artifact: labelled blocks with their events in order."""
+    return _sequences(spark, sf_dir)[0]
 
-    def build():
-        built = sequences.block_sequences(rows(spark, sf_dir))
-        return materialize(sequences.labelled_sequences(built, labels(spark, sf_dir)), "sequences")
 
-    return _once(spark, sf_dir, "sequences", build)
+def _vocabulary(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, int]]:
+    build = lambda: materialize_counted(features.vocabulary(rows(spark, sf_dir)), "vocabulary", rows=F.count("*"))
+    return _once(spark, sf_dir, "vocabulary", build)
 
 
 def vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _once(spark, sf_dir, "vocabulary", lambda: materialize(features.vocabulary(rows(spark, sf_dir)), "vocabulary"))
+    return _vocabulary(spark, sf_dir)[0]
+
+
+def feature_count(spark: SparkSession, sf_dir: str) -> int:
+    """The size of the vocabulary, as the job that wrote it counted."""
+    return _vocabulary(spark, sf_dir)[1]["rows"]
+
+
+def counters(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+    """What a run warns of or reports, counted by the jobs that write its tables; no table is read again for it."""
+    log, (_, found) = split_log(spark, sf_dir), _sequences(spark, sf_dir)
+    return {
+        "messages": log.counts[parse.GOOD],
+        "rejected": sum(n for verdict, n in log.counts.items() if verdict != parse.GOOD),
+        "without_block": log.without_block,
+        "missing_blocks": _labels(spark, sf_dir)[1]["rows"] - found["rows"],
+        "blocks": found["rows"],
+        "anomalies": found["anomalies"],
+        "events": found["events"],
+        "features": feature_count(spark, sf_dir),
+    }
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,13 +158,13 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def detector(spark: SparkSession, sf_dir: str) -> detect.Detector:
     """The calibrated isolation forest with its default settings."""
-    build = lambda: detect.train(vectors(spark, sf_dir), vocabulary(spark, sf_dir).count())
+    build = lambda: detect.train(vectors(spark, sf_dir), feature_count(spark, sf_dir))
     return _once(spark, sf_dir, "detector", build)
 
 
 def supervised_detector(spark: SparkSession, sf_dir: str) -> detect.Detector:
     """The calibrated random-forest baseline at its full size."""
     build = lambda: detect.train(
-        vectors(spark, sf_dir), vocabulary(spark, sf_dir).count(), score.RANDOM_FOREST, allow_supervised=True
+        vectors(spark, sf_dir), feature_count(spark, sf_dir), score.RANDOM_FOREST, allow_supervised=True
     )
     return _once(spark, sf_dir, "supervised-detector", build)

@@ -107,6 +107,7 @@ def test_one_pass_split_equals_the_parts(spark):
     assert sorted(map(tuple, whole.rejected.collect()), key=str) == sorted(map(tuple, parse.rejected_lines(lines).collect()), key=str)
     counts = {r.reason: r["lines"] for r in parse.reject_counts(lines).collect()}
     assert {k: n for k, n in whole.counts.items() if n} == counts | {parse.GOOD: rows(whole.good).__len__()}
+    assert whole.without_block == 1  # the good line that names none
     assert "PartitionFilters" in whole.good._jdf.queryExecution().toString()
     empty = parse.split_lines(lines.limit(0))
-    assert empty.good.count() == 0 and set(empty.counts.values()) == {0}
+    assert empty.good.count() == 0 and set(empty.counts.values()) == {0} and empty.without_block == 0

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logblocks.operators import features, ordering, sequences, splits
-from logblocks.operators.staging import broadcast_if_small, materialize
+from logblocks.operators.staging import broadcast_if_small, materialize, materialize_counted
 
 
 def rows_of(spark, events):
@@ -163,3 +163,18 @@ def test_broadcasts_are_bounded_by_rows_and_bytes(spark):
 
     wide = spark.range(10).select(F.repeat(F.lit("x"), 1000).alias("t"), F.array(F.lit("é"), F.lit(None)).alias("a"), F.lit(None).alias("n"))
     assert fits(wide, 10) and not fits(wide, 9) and not fits(wide, 10, 10_000) and fits(wide.limit(0), 0, 0)
+
+
+def test_counters_are_taken_by_the_job_that_writes(spark):
+    rows = spark.range(1000, numPartitions=7).select("id", (F.col("id") % 3 == 0).cast("int").alias("third"))
+    counts = {"rows": F.count(F.lit(1)), "thirds": F.sum("third")}
+    jobs = {}
+    for name, run in (("plain", lambda: materialize(rows, "plain")), ("counted", lambda: materialize_counted(rows, "counted", **counts))):
+        spark.sparkContext.setJobGroup(name, name)
+        found = run()
+        jobs[name] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    table, seen = found
+    assert seen == {"rows": 1000, "thirds": 334} and table.count() == 1000
+    assert jobs["counted"] == jobs["plain"] > 0
+    assert materialize_counted(rows.where("id < 0"), "none", **counts)[1] == {"rows": 0, "thirds": 0}
