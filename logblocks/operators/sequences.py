@@ -66,7 +66,12 @@ def labelled_blocks(totals: DataFrame, labels: DataFrame) -> DataFrame:
 
 def labelled_sequences(sequences: DataFrame, labels: DataFrame) -> DataFrame:
     """Sequences of labelled blocks; ``label_row`` is their order."""
-    return sequences.join(first_labels(labels), "block_id")
+    return with_first_labels(sequences, first_labels(labels))
+
+
+def with_first_labels(sequences: DataFrame, first: DataFrame) -> DataFrame:
+    """As ``labelled_sequences`` with ``first_labels`` at hand; without an exchange if both are bucketed by block."""
+    return sequences.join(first, "block_id")
 
 
 def missing_blocks(totals: DataFrame, labels: DataFrame) -> DataFrame:

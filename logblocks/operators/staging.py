@@ -21,6 +21,7 @@ BROADCAST_MAX_BYTES = 128 << 20
 
 _local_root: dict[str, str] = {}
 _scopes: list[list[str]] = []
+_tables: dict[str, str] = {}  # path of a bucketed table to its name in the session's catalog
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -54,6 +55,8 @@ def hadoop_path(spark: SparkSession, path: str):
 
 
 def _delete(spark: SparkSession, path: str) -> None:
+    for inside in [p for p in _tables if p == path or p.startswith(f"{path}/")]:
+        spark.sql(f"drop table if exists {_tables.pop(inside)}")
     files, found = hadoop_path(spark, path)
     files.delete(found, True)
 
@@ -92,6 +95,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_bucketed(df: DataFrame, name: str, key: str, buckets: int | None = None) -> DataFrame:
+    """``materialize`` in sorted buckets of ``key``: joins and groupings of such tables on it need no exchange.
+
+    For keys that are unique or nearly so, since all rows of one key share a bucket. Tables meet without an exchange if they
+    have equally many buckets, which is the number of shuffle partitions unless told otherwise.
+    """
+    spark = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = staging_path(spark, name)
+    _tables[path] = path.rsplit("/", 1)[1].replace("-", "_")
+    dealt = df.repartition(buckets, key)  # one file a bucket
+    dealt.write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(_tables[path])
+    return spark.table(_tables[path])
+
+
 def materialize_counted(df: DataFrame, name: str, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
     """``materialize`` and aggregates over the rows, taken by the job that writes them.
 

@@ -242,8 +242,7 @@ def ordered_events(spark, sf_dir):
 
 @query
 def labelled_sequences(spark, sf_dir):
-    built = sequences.block_sequences(stages.rows(spark, sf_dir))
-    found = sequences.labelled_sequences(built, stages.labels(spark, sf_dir))
+    found = sequences.with_first_labels(stages.every_sequence(spark, sf_dir), stages.first_labels(spark, sf_dir))
     return found.select("label_row", "block_id", joined("events"), "label")
 
 

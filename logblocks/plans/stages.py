@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from logblocks.functions.text import first_block_id
 from logblocks.operators import calibrate, features, parse, score, sequences, splits
-from logblocks.operators.staging import hadoop_path, materialize, materialize_counted, published
+from logblocks.operators.staging import hadoop_path, materialize, materialize_bucketed, materialize_counted, published
 from logblocks.operators.templates import Templates, mine_templates
 from logblocks.plans import detect, logview
 
@@ -79,13 +79,25 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark,
         sf_dir,
         "labelled",
-        lambda: materialize(sequences.labelled_blocks(totals(spark, sf_dir), labels(spark, sf_dir)), "labelled"),
+        lambda: materialize_bucketed(sequences.labelled_blocks(totals(spark, sf_dir), labels(spark, sf_dir)), "labelled", "block_id"),
     )
 
 
+def first_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per labelled block, in buckets of it."""
+    build = lambda: materialize_bucketed(sequences.first_labels(labels(spark, sf_dir)), "first-labels", "block_id")
+    return _once(spark, sf_dir, "first-labels", build)
+
+
+def every_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per logged block with its events in order, in buckets of it."""
+    build = lambda: materialize_bucketed(sequences.block_sequences(rows(spark, sf_dir)), "every-sequence", "block_id")
+    return _once(spark, sf_dir, "every-sequence", build)
+
+
 def _sequences(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict[str, int]]:
     def build():
-        found = sequences.labelled_sequences(sequences.block_sequences(rows(spark, sf_dir)), labels(spark, sf_dir))
+        found = sequences.with_first_labels(every_sequence(spark, sf_dir), first_labels(spark, sf_dir))
         return materialize_counted(found, "sequences", rows=F.count("*"), anomalies=F.sum("label"), events=F.sum("n_events"))
 
     return _once(spark, sf_dir, "sequences", build)
@@ -151,7 +163,7 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     def build():
         scored = scores(spark, sf_dir)
         flagged = score.apply_threshold(scored.drop("label"), calibrate.calibrate(scored))
-        return materialize(flagged, "predictions")
+        return materialize_bucketed(flagged, "predictions", "block_id")
 
     return _once(spark, sf_dir, "predictions", build)
 

@@ -3,8 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from logblocks.operators import features, ordering, sequences, splits
-from logblocks.operators.staging import broadcast_if_small, materialize, materialize_counted
+from logblocks.operators import evaluate, features, ordering, sequences, splits
+from logblocks.operators.staging import broadcast_if_small, materialize, materialize_bucketed, materialize_counted, scope
 
 
 def rows_of(spark, events):
@@ -178,3 +178,29 @@ def test_counters_are_taken_by_the_job_that_writes(spark):
     assert seen == {"rows": 1000, "thirds": 334} and table.count() == 1000
     assert jobs["counted"] == jobs["plain"] > 0
     assert materialize_counted(rows.where("id < 0"), "none", **counts)[1] == {"rows": 0, "thirds": 0}
+
+
+def test_bucketed_tables_join_without_an_exchange(spark):
+    rows = rows_of(spark, [(f"blk_{i % 50}", f"E{i % 7}") for i in range(600)])
+    labels = labels_of(spark, [(f"blk_{i}", "Anomaly" if i % 5 == 0 else "Normal") for i in range(10, 60)] + [("blk_11", "Anomaly")])
+    predictions = sequences.block_totals(rows).select("block_id", (F.col("first_line") % 2).cast("int").alias("prediction"))
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        with scope(spark):
+            built = materialize_bucketed(sequences.block_sequences(rows), "built", "block_id")
+            first = materialize_bucketed(sequences.first_labels(labels), "first", "block_id")
+            met = sequences.with_first_labels(built, first)
+            assert "SortMergeJoin" in plan(met) and "Exchange" not in plan(met)
+            plain = sequences.labelled_sequences(sequences.block_sequences(rows), labels)
+            assert sorted(map(tuple, met.select(plain.columns).collect())) == sorted(map(tuple, plain.collect()))
+            flagged = materialize_bucketed(predictions.join(met.select("block_id"), "block_id"), "flagged", "block_id")
+            pairs = evaluate.with_labels(flagged, first.join(built.select("block_id"), "block_id"))
+            assert "FullOuter" in plan(pairs) and "Exchange" not in plan(pairs)
+            assert evaluate.confusion(pairs).first()["true_positives"] is not None
+            assert len(spark.catalog.listTables()) >= 3
+        left = [t.name for t in spark.catalog.listTables() if t.name.split("_")[0] in ("built", "first", "flagged")]
+        assert left == []
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
