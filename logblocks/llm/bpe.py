@@ -9,7 +9,7 @@ A task splits its texts into words, puts the distinct words that it has not met
 and walks the trie depth-first, with the last tokens of the current path in one list. What words
 share at their start is computed once. The trie is kept in preorder: its words sorted, each with the depth where it forks off. Texts are taken in pieces of ``PIECE`` words, so neither a long text nor
 a long table fills the memory: a task holds the trie of one piece, ``KNOWN`` finished words and the ids of
-one batch. There is no shuffle; the vocabulary (a few MB) is the only broadcast.
+one batch. A worker that decodes holds the tokens' bytes only, nothing of an encoder. There is no shuffle; the vocabulary (a few MB) is the only broadcast.
 
 ``encode`` gives ids, ``decode`` gives texts; both leave the other columns as they are. A null text counts as empty,
 a null list of ids as empty; both give an empty result. Added tokens of the file are found in the text
@@ -70,6 +70,26 @@ class Trie:
             self.forks[k] = min(shared, end)  # heads are filled up with zeros
 
 
+class Spelling:
+    """The bytes of each token, all that decoding needs."""
+
+    def __init__(self, bytes_of: dict[int, bytes]):
+        self.numbers = pa.array(sorted(bytes_of), pa.int32())
+        self.spelled = pa.array([bytes_of[t] for t in sorted(bytes_of)], pa.binary())
+
+    def decode(self, lists: pa.ListArray) -> pa.Array:
+        """The text of each list of ids; null and unknown ids stand for nothing."""
+        places = pc.index_in(lists.flatten(), self.numbers)  # null where unknown
+        spelled = pc.fill_null(pc.take(self.spelled, places), b"")
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        whole = pc.binary_join(pa.ListArray.from_arrays(offsets, spelled), b"")
+        try:
+            return whole.cast(pa.string())
+        except pa.ArrowInvalid:  # bytes that form no character
+            return pa.array([b.decode("utf-8", "replace") for b in whole.to_pylist()], pa.string())
+
+
 class Coder:
     """The vocabulary of a tokenizer file, ready to encode and decode."""
 
@@ -89,8 +109,7 @@ class Coder:
         self.bytes_of |= {number: text.encode() for text, number in self.added.items()}
         self.added_pattern = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))) if added else None
         self.pattern = regex.compile(SPLIT)
-        self.numbers = pa.array(sorted(self.bytes_of), pa.int32())
-        self.spelled = pa.array([self.bytes_of[t] for t in sorted(self.bytes_of)], pa.binary())
+        self.spelling = Spelling(self.bytes_of)
         self._read_merges(model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]], spelled)
         self.known: dict[str, tuple] = {}
 
@@ -233,16 +252,7 @@ class Coder:
         yield from flush()
 
     def decode(self, lists: pa.ListArray) -> pa.Array:
-        """The text of each list of ids; null and unknown ids stand for nothing."""
-        places = pc.index_in(lists.flatten(), self.numbers)  # null where unknown
-        spelled = pc.fill_null(pc.take(self.spelled, places), b"")
-        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
-        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
-        whole = pc.binary_join(pa.ListArray.from_arrays(offsets, spelled), b"")
-        try:
-            return whole.cast(pa.string())
-        except pa.ArrowInvalid:  # bytes that form no character
-            return pa.array([b.decode("utf-8", "replace") for b in whole.to_pylist()], pa.string())
+        return self.spelling.decode(lists)
 
 
 @functools.lru_cache(maxsize=2)
@@ -250,8 +260,19 @@ def _coder(file: bytes) -> Coder:
     return Coder(file)
 
 
-def _mapped(docs: DataFrame, path: str, column: str, kind: T.DataType, fn) -> DataFrame:
-    """``docs`` with ``column`` set to what ``fn(coder, batch)`` yields: arrays for the first, next, ... rows."""
+@functools.lru_cache(maxsize=2)
+def _read_spelling(file: bytes) -> Spelling:
+    return Coder(file).spelling
+
+
+def _spelling(file: bytes) -> Spelling:
+    """For a worker that decodes; what it remembers from encoding before goes."""
+    _coder.cache_clear()
+    return _read_spelling(file)
+
+
+def _mapped(docs: DataFrame, path: str, column: str, kind: T.DataType, read, fn) -> DataFrame:
+    """``docs`` with ``column`` set to what ``fn(read(file), batch)`` yields: arrays for the first, next, ... rows."""
     spark = docs.sparkSession
     ship(spark)
     with open(path, "rb") as source:
@@ -259,7 +280,7 @@ def _mapped(docs: DataFrame, path: str, column: str, kind: T.DataType, fn) -> Da
     kept = [f for f in docs.schema.fields if f.name != column]
 
     def body(batches):
-        coder = _coder(shared.value)
+        coder = read(shared.value)
         for batch in batches:
             done = 0
             for found in fn(coder, batch):
@@ -284,17 +305,17 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
         if len(offsets) > 1:
             yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
 
-    return _mapped(docs, path, ids_col, T.ArrayType(T.IntegerType()), ids_of)
+    return _mapped(docs, path, ids_col, T.ArrayType(T.IntegerType()), _coder, ids_of)
 
 
 def decode(rows: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``rows`` with the text that each list of ids stands for; a null or unknown id stands for nothing."""
 
-    def texts_of(coder: Coder, batch):
+    def texts_of(coder: Spelling, batch):
         for start in range(0, batch.num_rows, 256):
             yield coder.decode(batch.column(ids_col).slice(start, 256))
 
-    return _mapped(rows, path, text_col, T.StringType(), texts_of)
+    return _mapped(rows, path, text_col, T.StringType(), _spelling, texts_of)
 
 
 def sha256(text: Column) -> Column:

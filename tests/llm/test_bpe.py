@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -116,3 +117,14 @@ def test_trie_forks_where_words_part():
 def test_other_kinds_of_files_are_refused():
     with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as file, pytest.raises(ValueError):
         bpe.Coder(file.read())
+
+
+def test_a_worker_that_decodes_drops_its_encoder(coder):
+    with open(PATH, "rb") as file:
+        content = file.read()
+    bpe._coder(content).encode_piece(["some", " words"])
+    spelling = bpe._spelling(content)
+    assert bpe._coder.cache_info().currsize == 0 and set(vars(spelling)) == {"numbers", "spelled"}
+    assert bpe._spelling(content) is spelling
+    ids = pa.array([list(coder.encode_piece([" words"])[0]), None, [-1]], pa.list_(pa.int32()))
+    assert spelling.decode(ids).to_pylist() == [" words", "", ""]
