@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,7 @@ GROW_ROWS = 200_000
 DRAW_CELLS = 4096
 CELL_VECTORS = 64
 BROADCAST_NODES = 2_000_000
+RUN_NODES = 400_000  # of a run of trees that a task walks: what a Python worker holds
 MATRIX_CELLS = 4_000_000
 PACKED_NODES = 200_000
 
@@ -253,7 +255,7 @@ class ForestModel:
     def path_lengths(self, vectors: DataFrame, prefixes: list[int] | None = None) -> DataFrame:
         """Adds ``paths``: summed path lengths over the first k trees, per k in ``prefixes``.
 
-        The trees go to the tasks in runs whose nodes fit one broadcast.
+        The trees go to the tasks in runs of bounded size.
         """
         prefixes = prefixes or [self.params.n_trees]
         sizes = sorted(tuple(r) for r in self.nodes.groupBy("tree").count().collect())  # one row per tree
@@ -356,33 +358,46 @@ class ForestModel:
 def add_path_sums(nodes: DataFrame, columns, make, vectors: DataFrame, n_features: int, prefixes: list[int], sizes=None) -> DataFrame:
     """Adds ``paths``: the values at each vector's leaves, summed over the first k trees, per k in ``prefixes``.
 
-    ``make`` lays the node ``columns`` of some trees out for walking; trees go to the tasks in runs whose nodes fit one broadcast.
+    ``make`` lays the node ``columns`` of some trees out for walking; trees go to the tasks in runs of ``RUN_NODES``, or of one
+    larger tree. Each run is walked by tasks of its own, for distinct vectors, so a worker holds one run however many there are.
     """
     sizes = sizes or sorted(tuple(r) for r in nodes.groupBy("tree").count().collect())  # one row per tree
     runs, room = [], 0
     for tree, count in sizes:
         if count > room:
             runs.append([tree, tree])
-            room = BROADCAST_NODES
+            room = min(RUN_NODES, BROADCAST_NODES)
         runs[-1][1] = tree
         room -= count
-    summed = vectors.withColumn("paths", F.array_repeat(F.lit(0.0), len(prefixes)))
-    for first, last in runs:
-        part = nodes.where(F.col("tree").between(first, last)).toArrow()  # at most BROADCAST_NODES rows, or one tree
-        summed = _add_paths(summed, make, [part[c].to_numpy() for c in columns], n_features, prefixes)
-    return summed
+    if not runs:
+        return vectors.withColumn("paths", F.array_repeat(F.lit(0.0), len(prefixes)))
+
+    def walked(rows: DataFrame, first: int, last: int) -> DataFrame:
+        part = nodes.where(F.col("tree").between(first, last)).toArrow()  # at most RUN_NODES rows, or one tree
+        return _add_paths(rows, make, [part[c].to_numpy() for c in columns], n_features, prefixes)
+
+    if len(runs) == 1:
+        return walked(vectors, *runs[0])
+    key = ["idxs", "cnts"]
+    distinct = materialize(vectors.select(*key).distinct(), "walked-vectors")
+    of_runs = [walked(distinct, *run).withColumn("run", F.lit(k)) for k, run in enumerate(runs)]
+    parts = F.array_sort(F.collect_list(F.struct("run", "paths")))
+    by_run = reduce(DataFrame.unionByName, of_runs).groupBy(*key).agg(parts.alias("_runs"))
+    total = lambda j: F.aggregate("_runs", F.lit(0.0), lambda upto, run: upto + run["paths"][j])  # in the order of the runs
+    sums = materialize(by_run.select(*key, F.array(*[total(j) for j in range(len(prefixes))]).alias("paths")), "path-sums")
+    return vectors.join(broadcast_if_small(sums), key).select(*vectors.columns, "paths")
 
 
 def _add_paths(rows: DataFrame, make, arrays: list[np.ndarray], n_features: int, prefixes: list[int]) -> DataFrame:
-    """Adds the leaf values of some trees to the running sums, batch by batch."""
+    """Adds the leaf values of some trees, summed over the first k trees, batch by batch."""
     ship(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(arrays)
-    schema = T.StructType([f for f in rows.schema if f.name != "paths"] + [rows.schema["paths"]])
-    names = schema.names
+    names = rows.columns
+    schema = T.StructType([*rows.schema.fields, T.StructField("paths", T.ArrayType(T.DoubleType()))])
 
     def walk(batches):
         forest = make(*shared.value)
-        within = [forest.trees < k for k in prefixes]
+        within = np.searchsorted(forest.trees, prefixes)  # how many of these trees are among the first k
         for batch in batches:
             # blocks repeat few vectors: each distinct one of the batch is walked once
             keys = [i.tobytes() + b"|" + c.tobytes() for i, c in zip(_lists(batch.column("idxs")), _lists(batch.column("cnts")))]
@@ -395,13 +410,13 @@ def _add_paths(rows: DataFrame, make, arrays: list[np.ndarray], n_features: int,
             sums = np.zeros((len(first), len(prefixes)))
             for i in range(0, len(first), step):
                 lengths = forest.paths(_matrix(chosen.slice(i, step), n_features))
-                for j, mask in enumerate(within):
-                    sums[i : i + step, j] = lengths[:, mask].sum(axis=1)
-            old = batch.column("paths").flatten().to_numpy(zero_copy_only=False).reshape(len(keys), len(prefixes))
-            new = (old + sums[place]).reshape(-1)
+                upto = np.cumsum(lengths, axis=1)  # tree by tree, so that a sum does not depend on the other rows
+                for j, k in enumerate(within):
+                    if k:
+                        sums[i : i + step, j] = upto[:, k - 1]
+            flat = pa.array(sums[place].reshape(-1))
             offsets = pa.array(np.arange(len(keys) + 1) * len(prefixes), pa.int32())
-            columns = [batch.column(n) for n in names[:-1]] + [pa.ListArray.from_arrays(offsets, pa.array(new))]
-            yield pa.RecordBatch.from_arrays(columns, names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.ListArray.from_arrays(offsets, flat)], [*names, "paths"])
 
     return rows.mapInArrow(walk, schema)
 

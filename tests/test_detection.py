@@ -185,6 +185,18 @@ def test_walks_agree(spark, monkeypatch):
         assert in_runs[block] == pytest.approx(whole[block]) and by_join[block] == pytest.approx(whole[block])
 
 
+def test_many_runs_of_trees_are_not_chained_in_a_task(spark, monkeypatch):
+    vectors = cloud(spark).unionByName(cloud(spark))  # rows that come twice
+    nodes, size = grow_forest(vectors, 6, ForestParams(6, 64, 0.75, None))
+    model = ForestModel(nodes, 6, size, ForestParams(6, 64, 0.75, None))
+    rows = lambda df: sorted((r.block_id, r.label, [round(p, 9) for p in r.paths]) for r in df.collect())
+    whole = model.path_lengths(vectors, [2, 6])
+    monkeypatch.setattr(iforest, "BROADCAST_NODES", nodes.groupBy("tree").count().agg(F.max("count")).first()[0])
+    in_runs = model.path_lengths(vectors, [2, 6])
+    assert in_runs._jdf.queryExecution().executedPlan().toString().count("MapInArrow") <= 1
+    assert in_runs.columns == whole.columns and rows(in_runs) == rows(whole)
+
+
 def test_fit_with_trees_too_large_to_broadcast(spark, monkeypatch):
     vectors = cloud(spark)
     params = ForestParams(4, 64, 1.0, 0.1)
