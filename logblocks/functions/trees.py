@@ -10,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 LEAF = -1
+DRAW_CELLS = 1 << 18  # probabilities that a draw holds at a time
 
 EULER_GAMMA = 0.5772156649
 
@@ -49,33 +50,52 @@ def pick(seed: int, tree, node, choices) -> np.ndarray:
     return np.minimum((uniform(seed, 1, tree, node) * choices).astype(np.int64), np.asarray(choices) - 1)
 
 
-def hypergeometric(good: int, total: int, drawn: int, chance: float) -> int:
-    """How many of ``drawn`` rows out of ``total`` are among the ``good`` ones, at the given chance in [0, 1).
+def hypergeometric(good: int, total: int, drawn, chance):
+    """How many of ``drawn`` rows out of ``total`` are among the ``good`` ones, at the given chance in [0, 1); numbers or arrays.
 
     The distribution is summed outward over 12 standard deviations around its mean from the ratios of
     neighbouring probabilities; beyond lies less than a double can tell.
     """
-    least, most = max(0, drawn - (total - good)), min(good, drawn)
+    drawn, chance = np.asarray(drawn, np.int64), np.asarray(chance, np.float64)
+    if drawn.ndim == 0:
+        return int(hypergeometric(good, total, drawn[None], chance[None])[0])
+    least, most = np.maximum(0, drawn - (total - good)), np.minimum(good, drawn)
     mean = drawn * (good / total)
     spread = 12 * np.sqrt(mean * (1 - good / total) * (total - drawn) / max(total - 1, 1)) + 20
-    first, last = max(least, int(mean - spread)), min(most, int(mean + spread))
-    x = np.arange(first, last, dtype=np.float64)
-    up = np.log((good - x) * (drawn - x)) - np.log((x + 1) * (total - good - drawn + x + 1))
-    upto = np.concatenate([[0.0], np.cumsum(up)])
-    upto = np.cumsum(np.exp(upto - upto.max()))
-    return first + min(int(np.searchsorted(upto, chance * upto[-1], side="right")), len(upto) - 1)
+    first, last = np.maximum(least, (mean - spread).astype(np.int64)), np.minimum(most, (mean + spread).astype(np.int64))
+    steps = last - first
+    width, found = int(steps.max(initial=0)), np.zeros(len(drawn), np.int64)
+    rows = max(1, DRAW_CELLS // (width + 1))
+    for i in range(0, len(drawn), rows):
+        here = slice(i, i + rows)
+        start, d, n = first[here, None], drawn[here, None], steps[here, None]
+        place = np.arange(width)
+        x = (start + place).astype(np.float64)
+        with np.errstate(divide="ignore", invalid="ignore"):  # beyond a row's own range
+            up = np.log((good - x) * (d - x)) - np.log((x + 1) * (total - good - d + x + 1))
+        upto = np.zeros((len(d), width + 1))
+        np.cumsum(np.where(place < n, up, -np.inf), axis=1, out=upto[:, 1:])
+        upto = np.cumsum(np.exp(upto - upto.max(axis=1, keepdims=True)), axis=1)
+        found[here] = np.minimum((upto <= chance[here, None] * upto[:, -1:]).sum(axis=1), steps[here])
+    return first + found
+
+
+def deal_all(weights: np.ndarray, drawn: np.ndarray, chances: np.ndarray) -> np.ndarray:
+    """``deal`` for many trees at once: ``drawn`` rows a tree, ``chances`` and the answer as trees x groups."""
+    taken = np.zeros(chances.shape, np.int64)
+    left, drawn = int(weights.sum()), np.array(drawn, np.int64)
+    for i, weight in enumerate(weights.tolist()):
+        if not drawn.any():
+            break
+        taken[:, i] = hypergeometric(weight, left, drawn, chances[:, i])
+        drawn -= taken[:, i]
+        left -= weight
+    return taken
 
 
 def deal(weights: np.ndarray, drawn: int, chances: np.ndarray) -> np.ndarray:
     """``drawn`` rows without replacement from groups of the given sizes: rows per group."""
-    taken = np.zeros(len(weights), np.int64)
-    left = int(weights.sum())
-    for i, (weight, chance) in enumerate(zip(weights.tolist(), chances.tolist())):
-        if not drawn:
-            break
-        taken[i] = hypergeometric(weight, left, drawn, chance)
-        drawn, left = drawn - int(taken[i]), left - weight
-    return taken
+    return deal_all(weights, [drawn], chances[None])[0]
 
 
 def average_path(size) -> np.ndarray:

@@ -65,8 +65,8 @@ def draw_samples(whole: DataFrame, total: int, size: int, params: ForestParams)
     """Exactly ``size`` of ``total`` rows per tree without replacement, as ``(tree, idxs, cnts, weight)``.
 
     ``whole`` holds the distinct vectors with their multiplicities. A tree's rows are first dealt to hash cells
-    of vectors, then inside each cell to its vectors, by hypergeometric draws. So only distinct vectors
-    move, and a cell without drawn rows moves none.
+    of vectors, then inside each cell to its vectors, by hypergeometric draws, for all trees together. So only
+    distinct vectors move, once each, and a cell without drawn rows gives none.
     """
     cells = min(DRAW_CELLS, -(-whole.count() // CELL_VECTORS))
     hashed = whole.withColumn("_h", F.xxhash64("idxs", "cnts")).withColumn("cell", F.pmod("_h", F.lit(cells)).cast("int"))
@@ -75,26 +75,28 @@ def draw_samples(whole: DataFrame, total: int, size: int, params: ForestParams)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for tree in batch.column(0).to_pylist():
-                taken = trees.deal(rows, size, trees.uniform(params.seed, 3, np.full(len(rows), tree), number))
-                used = taken > 0
+            for start in range(0, batch.num_rows, 64):
+                tree = batch.column(0).slice(start, 64).to_numpy()
+                taken = trees.deal_all(rows, np.full(len(tree), size), trees.uniform(params.seed, 3, tree[:, None], number))
+                of, at = np.nonzero(taken)
                 yield pa.RecordBatch.from_pydict(
-                    {"tree": np.full(used.sum(), tree, np.int32), "cell": number[used].astype(np.int32), "taken": taken[used]}
+                    {"tree": tree[of].astype(np.int32), "cell": number[at].astype(np.int32), "taken": taken[of, at]}
                 )
 
-    def draw(table: pa.Table) -> pa.Table:
-        table = table.sort_by("_h")
-        tree = np.full(len(table), table["tree"][0].as_py(), np.int32)
-        chance = trees.uniform(params.seed, 4, tree, table["_h"].to_numpy().view(np.uint64))
-        weight = trees.deal(table["weight"].to_numpy(), table["taken"][0].as_py(), chance)
-        found = pa.table([pa.array(tree), table["idxs"], table["cnts"], pa.array(weight)], names=["tree", "idxs", "cnts", "weight"])
-        return found.filter(pa.array(weight > 0))
+    def draw(table: pa.Table, taken: pa.Table) -> pa.Table:
+        table, taken = table.sort_by("_h"), taken.sort_by("tree")
+        tree = taken["tree"].to_numpy()
+        chance = trees.uniform(params.seed, 4, tree[:, None], table["_h"].to_numpy().view(np.uint64))
+        weight = trees.deal_all(table["weight"].to_numpy(), taken["taken"].to_numpy(), chance)
+        of, at = np.nonzero(weight)
+        found = table.select(["idxs", "cnts"]).take(pa.array(at))
+        return pa.table([pa.array(tree[of]), found["idxs"], found["cnts"], pa.array(weight[of, at])], names=["tree", "idxs", "cnts", "weight"])
 
     spark = whole.sparkSession
     dealt = materialize(spark.range(params.n_trees).mapInArrow(deal, "tree int, cell int, taken long"), "dealt")
     kinds = {f.name: f.dataType.simpleString() for f in whole.schema}
     schema = f"tree int, idxs {kinds['idxs']}, cnts {kinds['cnts']}, weight long"
-    return hashed.join(broadcast_if_small(dealt), "cell").groupBy("tree", "cell").applyInArrow(draw, schema)
+    return hashed.groupBy("cell").cogroup(dealt.groupBy("cell")).applyInArrow(draw, schema)
 
 
 def _matrix(table, n_features: int) -> np.ndarray:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logblocks.functions import metrics, trees
 from logblocks.operators import calibrate, evaluate, iforest, ordering, score, supervised, tuning
-from logblocks.operators.iforest import ForestModel, ForestParams, fit_forest, grow_forest
+from logblocks.operators.iforest import ForestModel, ForestParams, distinct_vectors, fit_forest, grow_forest
 from logblocks.plans import detect
 
 
@@ -197,6 +197,26 @@ def test_many_runs_of_trees_are_not_chained_in_a_task(spark, monkeypatch):
     assert in_runs.columns == whole.columns and rows(in_runs) == rows(whole)
 
 
+def test_draws_of_all_trees_equal_those_of_each(monkeypatch):
+    draw = np.random.default_rng(6)
+    weights, drawn, chances = draw.integers(1, 5000, 40), draw.integers(0, 60_000, 30), draw.random((30, 40))
+    drawn = np.minimum(drawn, weights.sum())
+    each = [trees.deal(weights, n, c) for n, c in zip(drawn, chances)]
+    assert (trees.deal_all(weights, drawn, chances) == each).all()
+    monkeypatch.setattr(trees, "DRAW_CELLS", 1)  # one tree at a time
+    assert (trees.deal_all(weights, drawn, chances) == each).all()
+
+
+def test_a_draw_moves_vectors_once_and_not_by_tree(spark):
+    whole = distinct_vectors(cloud(spark))
+    sample = iforest.draw_samples(whole, 401, 300, ForestParams(5, 300, 1.0, None))
+    assert "CoGroup" in sample._jdf.queryExecution().executedPlan().toString()
+    weights = {(tuple(r.idxs), tuple(r.cnts)): r.weight for r in whole.collect()}
+    rows = sample.collect()
+    assert all(0 < r.weight <= weights[tuple(r.idxs), tuple(r.cnts)] for r in rows)
+    assert [sum(r.weight for r in rows if r.tree == t) for t in range(5)] == [300] * 5
+
+
 def test_fit_with_trees_too_large_to_broadcast(spark, monkeypatch):
     vectors = cloud(spark)
     params = ForestParams(4, 64, 1.0, 0.1)
