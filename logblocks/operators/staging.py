@@ -145,6 +145,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Dat
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
+def spread(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """``df`` dealt evenly if its files come in splits that would leave cores idle; rows and columns stay.
+
+    A file of one row group is one task's work, however large. Counting rows by split reads no column.
+    """
+    splits = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("part")).count().collect()]  # one row per split
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if max(splits, default=0) <= max(rows, 2 * sum(splits) // cores):
+        return df
+    return df.repartition(max(cores, sum(splits) // (20 * rows)), *df.columns)
+
+
 def require_columns(df: DataFrame, names, what: str = "table") -> DataFrame:
     missing = sorted(set(names) - set(df.columns))
     if missing:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from logblocks.functions import text
 from logblocks.operators.parse import parse_lines
+from logblocks.operators.staging import spread
 
 _LINES = """
 with e as (select *, {stamp} as tsx,
@@ -44,7 +45,7 @@ def lines_sql(stamp: str, events: str) -> str:
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(line_no, line)``, one line per ``events`` row."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spread(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value"))
     return spark.sql(lines_sql("date_format(ts,'yyMMdd HHmmss')", "{events}"), events=events)
 
 

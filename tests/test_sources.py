@@ -1,7 +1,9 @@
 import pytest
+from pyspark.sql import functions as F
 
 from logblocks.operators import sequences
-from logblocks.operators.staging import materialize, staging_root
+from logblocks.operators.staging import materialize, spread, staging_root
+from logblocks.plans import logview
 from logblocks.sources import lines, sinks, tables
 
 
@@ -125,3 +127,18 @@ def test_staging_folder_comes_from_the_session(spark):
     assert staging_root(spark) == spark.conf.get("spark.checkpoint.dir")
     staged = materialize(spark.range(3), "three")
     assert all(staging_root(spark) in f for f in staged.inputFiles()) and staged.count() == 3
+
+
+def test_a_file_of_one_row_group_is_read_by_all_cores(spark, tmp_path):
+    rows = spark.range(200_000).selectExpr(
+        "id as event_id", "timestamp'2024-01-01' as ts", "id % 50 as user_id", "'view' as event_type", "1.0D as value"
+    )
+    rows.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    rows.limit(10).coalesce(1).write.parquet(f"{tmp_path}/few/events.parquet")
+    read = spark.read.parquet(f"{tmp_path}/events.parquet")
+    log = logview.log_lines(spark, str(tmp_path))
+    parts = [r["count"] for r in log.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(parts) == 200_000 and max(parts) < 60_000
+    assert spread(read).exceptAll(read).isEmpty() and read.exceptAll(spread(read)).isEmpty()
+    assert spread(read.limit(0)).count() == 0
+    assert "Exchange" not in logview.log_lines(spark, f"{tmp_path}/few")._jdf.queryExecution().executedPlan().toString()
