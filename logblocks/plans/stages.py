@@ -85,7 +85,7 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per labelled block, in buckets of it."""
-    build = lambda: materialize_bucketed(sequences.first_labels(labels(spark, sf_dir)), "first-labels", "block_id")
+    build = lambda: materialize_bucketed(sequences.first_labels(labels(spark, sf_dir)), "block-labels", "block_id")
     return _once(spark, sf_dir, "first-labels", build)
 
 
