@@ -5,11 +5,14 @@ encoding of a shorter prefix. So one number per trie node holds the encodings of
 a node is the only token that ends there and stays apart from the last token of the node where it begins. Two
 tokens stay apart if no merge joins across their border before both are whole.
 
-A task splits its texts into words, puts the distinct words that it has not met into a trie
+A task cuts its texts into words by arrays over their characters, puts the distinct words that it has not met into a trie
 and walks the trie depth-first, with the last tokens of the current path in one list. What words
-share at their start is computed once. The trie is kept in preorder: its words sorted, each with the depth where it forks off. Texts are taken in pieces of ``PIECE`` words, so neither a long text nor
-a long table fills the memory: a task holds the trie of one piece, ``KNOWN`` finished words and the ids of
-one batch. A worker that decodes holds the tokens' bytes only, nothing of an encoder. There is no shuffle; the vocabulary (a few MB) is the only broadcast.
+share at their start is computed once. The trie is kept in preorder: its words sorted, each with the depth where it forks off.
+The tokens that end at a node are known from the longest end of its path that begins a token. Python sees distinct words only;
+their places in the texts stay in Arrow. Texts are taken in pieces of ``PIECE`` characters, so neither a long text nor
+a long table fills the memory: a task holds the trie of one piece, about ``KNOWN`` finished words and the ids of
+one batch. Of the finished words those that are met again stay. A worker that decodes holds the tokens' bytes only, nothing of an
+encoder. There is no shuffle; the vocabulary (a few MB) is the only broadcast.
 
 ``encode`` gives ids, ``decode`` gives texts; both leave the other columns as they are. A null text counts as empty,
 a null list of ids as empty; both give an empty result. Added tokens of the file are found in the text
@@ -21,8 +24,8 @@ from __future__ import annotations
 
 import functools
 import json
+import sys
 from array import array
-from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,17 +37,21 @@ from pyspark.sql import types as T
 
 from logblocks.shipping import ship
 
-PIECE = 1 << 18  # words that share a trie
-KNOWN = 400_000  # finished words that a task remembers
+PIECE = 1 << 21  # characters whose words share a trie
+KNOWN = 800_000  # words that a task remembers, with their ids packed
 KNOWN_BYTES = 256  # longer words are not remembered
 PAIRS = 1_000_000  # pairs of tokens that a task remembers
 BATCH_IDS = 1 << 20
-LONG = 1 << 20  # characters; longer texts are cut into words one by one
+LONG = 1 << 20  # characters; longer texts are taken in parts
 NEVER = 1 << 62
 HEAD = 32  # bytes that are compared together
 
-# How byte-level BPE cuts a text into words.
+# How byte-level BPE cuts a text into words, and the kinds of characters and shortened words in it.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+SHORTENED = (("s", ""), ("t", ""), ("r", "e"), ("v", "e"), ("m", ""), ("l", "l"), ("d", ""))
+LETTER, NUMBER, SPACE, OTHER = range(4)
+# The end of a run of one kind, where a text can be cut in two whose words are found apart.
+RUN_END = r"\p{L}(?!\p{L})|\p{N}(?!\p{N})|[^\s\p{L}\p{N}'](?=[\s\p{L}\p{N}])"
 
 
 def byte_characters() -> dict[str, int]:
@@ -54,20 +61,73 @@ def byte_characters() -> dict[str, int]:
     return {chr(b): b for b in printable} | {chr(0x100 + k): b for k, b in enumerate(others)}
 
 
+@functools.cache
+def character_kinds() -> np.ndarray:
+    """The kind of each code point."""
+    kinds, every = np.full(sys.maxunicode + 1, OTHER, np.uint8), "".join(map(chr, range(sys.maxunicode + 1)))
+    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
+        for run in regex.finditer(pattern, every):
+            kinds[run.start() : run.end()] = kind
+    return kinds
+
+
+def cut_words(parts: list[tuple[str, bool]]) -> tuple[np.ndarray, pa.Array]:
+    """Where the words begin, in characters of all parts together, and the words.
+
+    All parts are cut at once, as ``SPLIT`` cuts each by itself; a part marked as whole is one word. Words are runs
+    of one kind of characters. The last of some spaces before another run is a word of its own, or opens that run if it is U+0020.
+    """
+    text = "".join(part for part, _ in parts)
+    if not text:
+        return np.zeros(0, np.int64), pa.array([], pa.binary())
+    data = text.encode()
+    codes = np.frombuffer(data, np.uint8) if len(data) == len(text) else np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    kinds = character_kinds()[codes]
+    opens = np.cumsum([0, *(len(part) for part, _ in parts)])
+    first = np.zeros(len(codes) + 3, bool)  # of a part; those behind the end save a check
+    first[opens] = True
+    cut = first.copy()
+    cut[1 : len(codes)] |= kinds[1:] != kinds[:-1]
+    spaces = np.flatnonzero((kinds[:-1] == SPACE) & (kinds[1:] != SPACE))
+    spaces = spaces[~first[spaces + 1]]
+    cut[spaces] = True
+    cut[spaces[codes[spaces] == ord(" ")] + 1] = False
+    marks = np.flatnonzero(codes == ord("'"))
+    marks = marks[cut[marks] & ~first[marks + 1]]  # where a word begins and its text goes on
+    near = codes[marks + 1]
+    far = np.where(first[marks + 2], 0, codes[np.minimum(marks + 2, len(codes) - 1)])
+    for one, two in SHORTENED:
+        hit = marks[(near == ord(one)) & (far == ord(two))] if two else marks[near == ord(one)]
+        cut[hit + 1] = False
+        cut[hit + len(one + two) + 1] = True
+    for k, (_, whole) in enumerate(parts):
+        if whole:
+            cut[opens[k] + 1 : opens[k + 1]] = False
+    starts = np.flatnonzero(cut[: len(codes)])
+    offsets = starts
+    if len(data) != len(text):
+        sizes = 1 + (codes >= 0x80).astype(np.int8) + (codes >= 0x800) + (codes >= 0x10000)
+        offsets = np.concatenate([[0], np.cumsum(np.add.reduceat(sizes, starts, dtype=np.int64))[:-1]])
+    offsets = np.append(offsets, len(data)).astype(np.int32)
+    return starts, pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
 class Trie:
     """Distinct words as a trie in preorder: sorted, each with the depth at which it leaves the path of the word before it."""
 
     def __init__(self, words):
         self.words = sorted(words)
-        self.forks = [0] * len(self.words)
         heads = np.array(self.words, f"S{HEAD}").view(np.uint8).reshape(-1, HEAD)
         same = np.logical_and.accumulate(heads[1:] == heads[:-1], axis=1).sum(axis=1)
-        for k, shared in enumerate(same.tolist(), 1):
-            before, word = self.words[k - 1], self.words[k]
-            end = min(len(before), len(word))
-            while HEAD <= shared < end and before[shared] == word[shared]:
+        sizes = np.array([*map(len, self.words)], np.int64)
+        ends = np.minimum(sizes[1:], sizes[:-1])
+        forks = np.append(np.zeros(min(len(sizes), 1), np.int64), np.minimum(same, ends))  # heads are filled up with zeros
+        for k in np.flatnonzero((same == HEAD) & (ends > HEAD)).tolist():
+            before, word, shared, end = self.words[k], self.words[k + 1], HEAD, int(ends[k])
+            while shared < end and before[shared] == word[shared]:
                 shared += 1
-            self.forks[k] = min(shared, end)  # heads are filled up with zeros
+            forks[k + 1] = shared
+        self.forks = forks.tolist()
 
 
 class Spelling:
@@ -90,28 +150,37 @@ class Spelling:
             return pa.array([b.decode("utf-8", "replace") for b in whole.to_pylist()], pa.string())
 
 
-class Coder:
-    """The vocabulary of a tokenizer file, ready to encode and decode."""
+class Vocabulary:
+    """The tokens of a tokenizer file; other kinds of files are refused."""
 
     def __init__(self, file: bytes):
         spec = json.loads(file)
-        model, added = spec["model"], spec.get("added_tokens") or []
+        self.model, added = spec["model"], spec.get("added_tokens") or []
         splitter, maker = spec.get("pre_tokenizer") or {}, spec.get("decoder") or {}
-        odd = [k for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if model.get(k)]
+        odd = [k for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges") if self.model.get(k)]
         odd += [k for k in ("single_word", "lstrip", "rstrip") for token in added if token.get(k)]
         plain = splitter.get("type") == maker.get("type") == "ByteLevel" and splitter.get("use_regex", True)
-        if model.get("type") != "BPE" or odd or not plain or splitter.get("add_prefix_space") or spec.get("normalizer"):
+        if self.model.get("type") != "BPE" or odd or not plain or splitter.get("add_prefix_space") or spec.get("normalizer"):
             raise ValueError(f"only plain byte-level BPE files are read {odd}")
         code = byte_characters()
-        spelled = {token: bytes(code[c] for c in token) for token in model["vocab"] if all(c in code for c in token)}
-        self.bytes_of = {number: spelled.get(token, token.encode()) for token, number in model["vocab"].items()}
+        self.spelled = {token: bytes(code[c] for c in token) for token in self.model["vocab"] if all(c in code for c in token)}
+        self.bytes_of = {number: self.spelled.get(token, token.encode()) for token, number in self.model["vocab"].items()}
         self.added = {token["content"]: token["id"] for token in added}
         self.bytes_of |= {number: text.encode() for text, number in self.added.items()}
-        self.added_pattern = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))) if added else None
-        self.pattern = regex.compile(SPLIT)
+
+
+class Coder:
+    """The vocabulary of a tokenizer file, ready to encode and decode."""
+
+    def __init__(self, file: bytes):
+        read = Vocabulary(file)
+        model, self.bytes_of, self.added = read.model, read.bytes_of, read.added
+        self.added_pattern = regex.compile("|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True))) if self.added else None
+        self.run_end = regex.compile(RUN_END)
         self.spelling = Spelling(self.bytes_of)
-        self._read_merges(model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]], spelled)
-        self.known: dict[str, tuple] = {}
+        self._read_merges(model["vocab"], [m.split(" ") if isinstance(m, str) else m for m in model["merges"]], read.spelled)
+        self.whole = {text.encode(): array("i", (number,)).tobytes() for text, number in self.added.items()}
+        self.known, self.older = dict(self.whole), {}  # the packed ids of words met lately, and of those met before them
 
     def _read_merges(self, vocab: dict, merges: list, spelled: dict) -> None:
         self.rank, self.merged, self.parts = {}, {}, {}
@@ -131,11 +200,18 @@ class Coder:
         self.tokens = {self.bytes_of[t]: (t, {}) for t in (*single.values(), *real)}
         self.pairs = 0
         self.size = {t: len(spelled) for spelled, (t, _) in self.tokens.items()}
-        lengths: dict[bytes, set[int]] = {}  # of the tokens by their last four bytes
-        for token in self.tokens:
-            if len(token) > 3:
-                lengths.setdefault(token[-4:], set()).add(len(token))
-        self.lengths = {ends: (*sorted(found, reverse=True), 3, 2, 1) for ends, found in lengths.items()}
+        self.beginnings = {spelled[:k] for spelled in self.tokens for k in range(len(spelled) + 1)}
+        self.endings: dict[bytes, tuple] = {}
+
+    def _ending(self, path: bytes) -> tuple:
+        """The longest end of ``path`` that begins a token, by the next byte what follows it, and the tokens that end with it, longest first."""
+        while path not in self.beginnings:
+            path = path[1:]
+        found = self.endings.get(path)
+        if found is None:
+            ends = [path[k:] for k in range(len(path)) if path[k:] in self.tokens]
+            found = self.endings[path] = path, {}, [(len(end), *self.tokens[end]) for end in ends]
+        return found
 
     def _edge(self, token: int, side: int) -> list[int]:
         """The tokens at one edge of ``token`` while it is built, the whole first, a byte last."""
@@ -167,27 +243,31 @@ class Coder:
         ``last[d]`` is the last token of the first d bytes of the path: of the tokens that end there the one that
         stays apart from the last token before it.
         """
-        last, found, trie = [0], {}, Trie(words)
-        tokens, lengths, sizes, short = self.tokens.get, self.lengths.get, self.size, (3, 2, 1)
+        last, endings, found, trie, sizes = [0], [self._ending(b"")], {}, Trie(words), self.size
         if self.pairs > PAIRS:
             for _, beside in self.tokens.values():
                 beside.clear()
             self.pairs = 0
         for word, fork in zip(trie.words, trie.forks):
-            del last[fork + 1 :]
-            for end in range(fork + 1, len(word) + 1):
-                for size in lengths(word[end - 4 : end], short) if end > 3 else short:
-                    start = end - size
-                    if start < 0 or (token := tokens(word[start:end])) is None:
-                        continue
-                    if start:
-                        apart = token[1].get(last[start])
+            del last[fork + 1 :], endings[fork + 1 :]
+            ending, end = endings[fork], fork
+            for byte in word[fork:]:
+                end += 1
+                longer = ending[1].get(byte)
+                if longer is None:
+                    longer = ending[1][byte] = self._ending(ending[0] + bytes((byte,)))
+                ending = longer
+                endings.append(ending)
+                for size, token, beside in ending[2]:
+                    if size < end:
+                        before = last[end - size]
+                        apart = beside.get(before)
                         if apart is None:
-                            apart = token[1][last[start]] = self._stay_apart(last[start], token[0])
+                            apart = beside[before] = self._stay_apart(before, token)
                             self.pairs += 1
                         if not apart:
                             continue
-                    last.append(token[0])
+                    last.append(token)
                     break
             ids, end = [], len(word)
             while end:
@@ -196,57 +276,68 @@ class Coder:
             found[word] = tuple(ids[::-1])
         return found
 
-    def words(self, text: str):
-        """The text's words and added tokens in order."""
+    def text_parts(self, text: str):
+        """``(part, whether it is an added token)`` of a text in order; the parts are cut into words one by one."""
         start = 0
         for hit in self.added_pattern.finditer(text) if self.added_pattern else ():
-            yield from self._cut(text, start, hit.start())
-            yield hit.group()
+            yield from self._runs(text, start, hit.start())
+            yield hit.group(), True
             start = hit.end()
-        yield from self._cut(text, start, len(text))
-
-    def _cut(self, text: str, start: int, end: int):
-        if end - start < LONG:
-            return self.pattern.findall(text, start, end)
-        return (m.group() for m in self.pattern.finditer(text, start, end))
-
-    def encode_piece(self, words: list[str]) -> list[tuple[int, ...]]:
-        """The ids of each word; words that are new share one trie."""
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        self.known.update((text, (number,)) for text, number in self.added.items())
-        spelled = {w: w.encode() for w in set(words) if w not in self.known}
-        fresh = self.encode_words(spelled.values())
-        self.known.update((w, fresh[b]) for w, b in spelled.items())
-        found = [self.known[w] for w in words]
-        for w, b in spelled.items():
-            if len(b) > KNOWN_BYTES:
-                del self.known[w]
-        return found
+        yield from self._runs(text, start, len(text))
+
+    def _runs(self, text: str, start: int, end: int):
+        while end - start > LONG and (hit := self.run_end.search(text, start + LONG - 1, end)):
+            yield text[start : hit.end()], False
+            start = hit.end()
+        if start < end:
+            yield text[start:end], False
+
+    def encode_piece(self, words) -> pa.ListArray:
+        """The ids of each word; distinct words are looked up once, those that are new share one trie."""
+        found = pa.array(words).cast(pa.binary()).dictionary_encode()
+        distinct = found.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.known) > KNOWN // 2:  # what was not met since the last time goes
+            self.known, self.older = dict(self.whole), self.known
+        ids = [*map(self.known.get, distinct)]
+        places = [k for k, packed in enumerate(ids) if packed is None]
+        for k in places:
+            ids[k] = self.older.get(distinct[k])
+        fresh = self.encode_words([distinct[k] for k in places if ids[k] is None])
+        for k in places:
+            if ids[k] is None:
+                ids[k] = array("i", fresh[distinct[k]]).tobytes()
+            if len(distinct[k]) <= KNOWN_BYTES:
+                self.known[distinct[k]] = ids[k]
+        ends = np.cumsum([0, *map(len, ids)]) // 4
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+        return lists.take(found.indices)
 
     def encode_batch(self, texts):
         """``(number of the text, its ids)`` in order; the words of a piece come from many texts or a part of one."""
-        piece, ends, open_ids = [], [], array("i")
+        piece, size, ends, before = [], 0, [], []
 
         def flush():
-            nonlocal open_ids
-            found, start = self.encode_piece(piece), 0
-            for number, end in ends:
-                open_ids.extend(chain.from_iterable(found[start:end]))
-                yield number, open_ids
-                open_ids, start = array("i"), end
-            open_ids.extend(chain.from_iterable(found[start:]))
+            nonlocal size, before
+            starts, words = cut_words(piece)
+            found = self.encode_piece(words)
+            ids = found.flatten().to_numpy()
+            borders = found.offsets.to_numpy()[np.searchsorted(starts, [end for _, end in ends])].tolist()
+            start = 0
+            for (number, _), border in zip(ends, borders):
+                yield number, np.concatenate([*before, ids[start:border]]) if before else ids[start:border]
+                before, start = [], border
+            before.append(ids[start:])
             piece.clear()
             ends.clear()
+            size = 0
 
         for number, text in enumerate(texts):
-            words = iter(self.words(text or ""))
-            while True:
-                piece.extend(islice(words, PIECE - len(piece)))
-                if len(piece) < PIECE:
-                    break
-                yield from flush()
-            ends.append((number, len(piece)))
+            for part in self.text_parts(text or ""):
+                piece.append(part)
+                size += len(part[0])
+                if size >= PIECE:
+                    yield from flush()
+            ends.append((number, size))
             if len(ends) >= PIECE:
                 yield from flush()
         yield from flush()
@@ -262,7 +353,7 @@ def _coder(file: bytes) -> Coder:
 
 @functools.lru_cache(maxsize=2)
 def _read_spelling(file: bytes) -> Spelling:
-    return Coder(file).spelling
+    return Spelling(Vocabulary(file).bytes_of)
 
 
 def _spelling(file: bytes) -> Spelling:
@@ -295,15 +386,15 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "i
     """``docs`` with the ids of each text in ``ids_col``; ``path`` names a tokenizer file that the driver can read."""
 
     def ids_of(coder: Coder, batch):
-        flat, offsets = array("i"), array("i", [0])
+        found, offsets = [], [0]
         for _, ids in coder.encode_batch(t.as_py() for t in batch.column(text_col)):
-            flat.extend(ids)
-            offsets.append(len(flat))
-            if len(flat) >= BATCH_IDS:
-                yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
-                flat, offsets = array("i"), array("i", [0])
-        if len(offsets) > 1:
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
+            found.append(ids)
+            offsets.append(offsets[-1] + len(ids))
+            if offsets[-1] >= BATCH_IDS:
+                yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found)))
+                found, offsets = [], [0]
+        if found:
+            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found)))
 
     return _mapped(docs, path, ids_col, T.ArrayType(T.IntegerType()), _coder, ids_of)
 

@@ -2,10 +2,12 @@
 
 import hashlib
 import random
+from itertools import accumulate
 
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from logblocks.llm import bpe
@@ -128,3 +130,44 @@ def test_a_worker_that_decodes_drops_its_encoder(coder):
     assert bpe._spelling(content) is spelling
     ids = pa.array([list(coder.encode_piece([" words"])[0]), None, [-1]], pa.list_(pa.int32()))
     assert spelling.decode(ids).to_pylist() == [" words", "", ""]
+
+
+def test_texts_are_cut_as_the_pattern_does():
+    rng = random.Random(5)
+    letters = "srvemtlldS'' \n\t\xa0\x1c\u20281é½!-日\U0001f469"
+    parts = [("".join(rng.choice(letters) for _ in range(rng.randint(1, 12))), False) for _ in range(20_000)]
+    parts += [("' 's  'll\n've 'r 'e", False), ("<|x 's|>", True), (" ", False), ("'", False), ("s", False)]
+    for some in (parts, [("it's  we'll", False), (" 'tis", False)], []):
+        want = [w for part, whole in some for w in ([part] if whole else regex.findall(bpe.SPLIT, part))]
+        starts, words = bpe.cut_words(some)
+        assert [w.decode() for w in words.to_pylist()] == want
+        assert starts.tolist() == [0, *accumulate(map(len, want))][: len(want)]
+
+
+def test_words_that_return_are_walked_once(coder, monkeypatch):
+    walked = []
+    walk = coder.encode_words
+    monkeypatch.setattr(coder, "encode_words", lambda words: walked.extend(words) or walk(words))
+    monkeypatch.setattr(bpe, "KNOWN", 40)
+    monkeypatch.setattr(bpe, "PIECE", 100)
+    texts = [f"zqreturning vx{k}yw" for k in range(200)]  # new words fill the memory again and again
+    assert len(list(coder.encode_batch(texts))) == 200
+    assert len(coder.known) + len(coder.older) < 100 and walked.count(b"zqreturning") == 1
+
+
+def test_texts_without_words(coder):
+    assert [(k, list(ids)) for k, ids in coder.encode_batch([None, "", ""])] == [(0, []), (1, []), (2, [])]
+    assert list(coder.encode_batch([])) == []
+
+
+def test_a_worker_that_decodes_builds_no_encoder(coder, monkeypatch):
+    def refuse(file):
+        raise AssertionError("only the tokens' bytes are needed")
+
+    monkeypatch.setattr(bpe, "Coder", refuse)
+    bpe._read_spelling.cache_clear()
+    with open(PATH, "rb") as file:
+        spelling = bpe._spelling(file.read())
+    assert spelling.numbers == coder.spelling.numbers and spelling.spelled == coder.spelling.spelled
+    with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as file, pytest.raises(ValueError):
+        bpe._spelling(file.read())
