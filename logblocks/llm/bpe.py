@@ -37,8 +37,8 @@ from pyspark.sql import types as T
 
 from logblocks.shipping import ship
 
-PIECE = 1 << 21  # characters whose words share a trie
-KNOWN = 800_000  # words that a task remembers, with their ids packed
+PIECE = 1 << 20  # characters whose words share a trie
+KNOWN = 400_000  # words that a task remembers, with their ids packed
 KNOWN_BYTES = 256  # longer words are not remembered
 PAIRS = 1_000_000  # pairs of tokens that a task remembers
 BATCH_IDS = 1 << 20
