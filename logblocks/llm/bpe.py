@@ -40,7 +40,7 @@ from logblocks.shipping import ship
 PIECE = 1 << 20  # characters whose words share a trie
 KNOWN = 400_000  # words that a task remembers, with their ids packed
 KNOWN_BYTES = 256  # longer words are not remembered
-PAIRS = 1_000_000  # pairs of tokens that a task remembers
+PAIRS = 1_000_000  # pairs of tokens, and of an ending and a byte, that a task remembers
 BATCH_IDS = 1 << 20
 LONG = 1 << 20  # characters; longer texts are taken in parts
 NEVER = 1 << 62
@@ -243,11 +243,12 @@ class Coder:
         ``last[d]`` is the last token of the first d bytes of the path: of the tokens that end there the one that
         stays apart from the last token before it.
         """
-        last, endings, found, trie, sizes = [0], [self._ending(b"")], {}, Trie(words), self.size
         if self.pairs > PAIRS:
             for _, beside in self.tokens.values():
                 beside.clear()
+            self.endings.clear()
             self.pairs = 0
+        last, endings, found, trie, sizes = [0], [self._ending(b"")], {}, Trie(words), self.size
         for word, fork in zip(trie.words, trie.forks):
             del last[fork + 1 :], endings[fork + 1 :]
             ending, end = endings[fork], fork
@@ -256,6 +257,7 @@ class Coder:
                 longer = ending[1].get(byte)
                 if longer is None:
                     longer = ending[1][byte] = self._ending(ending[0] + bytes((byte,)))
+                    self.pairs += 1
                 ending = longer
                 endings.append(ending)
                 for size, token, beside in ending[2]:

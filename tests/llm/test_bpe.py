@@ -171,3 +171,14 @@ def test_a_worker_that_decodes_builds_no_encoder(coder, monkeypatch):
     assert spelling.numbers == coder.spelling.numbers and spelling.spelled == coder.spelling.spelled
     with open(public_tokenizers.path("word_bpe_49k.json"), "rb") as file, pytest.raises(ValueError):
         bpe._spelling(file.read())
+
+
+def test_what_the_walk_remembers_is_bounded(coder, monkeypatch):
+    monkeypatch.setattr(bpe, "PAIRS", 50)
+    for k in range(3):
+        words = [f"walk{k}ing thr{j}ough \u00e9t\u00e9s" for j in range(20)]
+        found = coder.encode_words({w.encode() for w in words})
+        assert [list(found[w.encode()]) for w in words] == [merged(coder, w.encode()) for w in words]
+        assert coder.pairs > 50  # so the next walk starts anew
+    coder.encode_words([])
+    assert coder.pairs == 0 and set(coder.endings) == {b""} and not any(beside for _, beside in coder.tokens.values())
